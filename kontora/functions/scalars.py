@@ -116,9 +116,13 @@ def flag(test: Column) -> Column:
 
 
 def draw(key: ColumnLike | Sequence[ColumnLike], salt: str, n: int = 100) -> Column:
-    """A repeatable number in 0..n-1, one per key and salt."""
+    """A repeatable number in 0..n-1, one per key and salt.
+
+    Taken from an MD5 digest, so any engine can draw the same number.
+    """
     keys = [key] if isinstance(key, (str, Column)) else list(key)
-    return F.pmod(F.xxhash64(*[col(k) for k in keys], F.lit(salt)), F.lit(n))
+    digest = F.md5(F.concat_ws("|", *[col(k).cast("string") for k in keys], F.lit(salt)))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % n
 
 
 def pick(options: Sequence[str], index: Column) -> Column:

@@ -78,7 +78,7 @@ def asof_join(
     """For every probe, the newest history row with history_time <= probe_time.
 
     Both sides go into one sequence per key and the last history row is carried
-    forward, cut by day, so neither a long history nor a busy key meets in one
+    forward, cut by minute, so neither a long history nor a busy key meets in one
     task and no time range is ever cross joined. Needs one history row per key
     and time. ``ttl`` drops matches older than that.
     """
@@ -102,7 +102,7 @@ def asof_join(
         h.unionByName(p),
         keys,
         ["_t", "_kind", probe_id],
-        F.date_trunc("hour", "_t"),
+        F.date_trunc("minute", "_t"),
         ["_matched", *values],
     ).where("_kind = 1")
     if ttl is not None:
@@ -123,8 +123,9 @@ def asof_at(history: DataFrame, keys: Sequence[str], time: str, as_of: dt.dateti
 
 def full_stitch(left: DataFrame, right: DataFrame, dims: Sequence[str]) -> DataFrame:
     """Full outer join on dimensions where NULL equals NULL."""
-    if not dims:
-        return left.crossJoin(right)  # one row each
+    if not dims:  # one row each
+        one = F.lit(1).alias("_one")
+        return left.select(one, "*").join(right.select(one, "*"), "_one", "full_outer").drop("_one")
     r = right.select(*[F.col(d).alias(f"_r_{d}") for d in dims], *[c for c in right.columns if c not in dims])
     on = [F.col(d).eqNullSafe(F.col(f"_r_{d}")) for d in dims]
     condition = on[0]
@@ -158,6 +159,22 @@ def day_spine(df: DataFrame, start: ColumnLike, end: ColumnLike, name: str = "da
     return df.withColumn(name, F.explode(span))
 
 
+def with_each(df: DataFrame, small: DataFrame, name: str) -> DataFrame:
+    """Every row with every row of a small relation, as a struct column.
+
+    The relation is read once as an array through a scalar subquery and exploded
+    in place: no join and no shuffle of the large side. It must be a relation of
+    declared, bounded size such as a registry.
+    """
+    items = small.agg(F.sort_array(F.collect_list(F.struct(*small.columns))).alias("items"))
+    return df.withColumn(name, F.explode(items.scalar()))
+
+
+def with_row(df: DataFrame, one: DataFrame, name: str) -> DataFrame:
+    """Every row with the columns of a one-row relation, as a struct column."""
+    return df.withColumn(name, one.select(F.struct(*one.columns)).scalar())
+
+
 def presence(required: DataFrame, actual: DataFrame, key: str) -> DataFrame:
     """Required names against what exists: PASS or FAIL."""
     found = actual.select(key).distinct().withColumn("_found", F.lit(True))

@@ -36,7 +36,7 @@ def top_per_key(df: DataFrame, keys: Sequence[ColumnLike], order: Sequence[Colum
 
 def sample_per_key(df: DataFrame, keys: Sequence[str], row_id: str, k: int, salt: str = "sample") -> DataFrame:
     """k rows per key picked by a hash of the row id: the same rows on every run."""
-    return top_per_key(df, keys, [F.xxhash64(col(row_id), F.lit(salt)), F.col(row_id)], k)
+    return top_per_key(df, keys, [F.md5(F.concat_ws("|", col(row_id).cast("string"), F.lit(salt))), F.col(row_id)], k)
 
 
 def sample_share(df: DataFrame, row_id: str, percent: int, salt: str = "share") -> DataFrame:

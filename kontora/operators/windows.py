@@ -45,23 +45,23 @@ def running(
 ) -> DataFrame:
     """Add inclusive running sums per key. ``order`` must leave no ties."""
     names = list(sums)
-    work = df.withColumn("_k", _key(keys)).withColumn("_s", slices)
+    work = df.withColumn("__k", _key(keys)).withColumn("__s", slices)
     for i, name in enumerate(names):
-        work = work.withColumn(f"_v{i}", col(sums[name]))
-    totals = work.groupBy("_k", "_s").agg(*[F.sum(f"_v{i}").alias(f"_t{i}") for i in range(len(names))])
-    earlier = Window.partitionBy("_k").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    shift = totals.select("_k", "_s", *[F.sum(f"_t{i}").over(earlier).alias(f"_b{i}") for i in range(len(names))])
+        work = work.withColumn(f"__v{i}", col(sums[name]))
+    totals = work.groupBy("__k", "__s").agg(*[F.sum(f"__v{i}").alias(f"__t{i}") for i in range(len(names))])
+    earlier = Window.partitionBy("__k").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
+    shift = totals.select("__k", "__s", *[F.sum(f"__t{i}").over(earlier).alias(f"__b{i}") for i in range(len(names))])
     inside = (
-        Window.partitionBy("_k", "_s")
+        Window.partitionBy("__k", "__s")
         .orderBy(*[col(o) for o in order])
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    local = work.select("*", *[F.sum(f"_v{i}").over(inside).alias(f"_l{i}") for i in range(len(names))])
-    out = local.join(shift, ["_k", "_s"])
+    local = work.select("*", *[F.sum(f"__v{i}").over(inside).alias(f"__l{i}") for i in range(len(names))])
+    out = local.join(shift, ["__k", "__s"])
     return out.select(
         *[F.col(c) for c in df.columns],
         *[
-            (F.coalesce(F.col(f"_l{i}"), F.lit(0)) + F.coalesce(F.col(f"_b{i}"), F.lit(0))).alias(name)
+            (F.coalesce(F.col(f"__l{i}"), F.lit(0)) + F.coalesce(F.col(f"__b{i}"), F.lit(0))).alias(name)
             for i, name in enumerate(names)
         ],
     )
@@ -92,21 +92,21 @@ def framed(
     """
     if preceding >= chunk_rows:
         raise ValueError("a frame must be shorter than a chunk")
-    ranked = numbered(df.withColumn("_k", _key(keys)), ["_k"], order, slices, "_rn")
-    index = F.col("_rn") - 1
+    ranked = numbered(df.withColumn("__k", _key(keys)), ["__k"], order, slices, "__rn")
+    index = F.col("__rn") - 1
     chunk = F.floor(index / chunk_rows)
     tail = index % chunk_rows >= chunk_rows - preceding
     placed = (
-        ranked.withColumn("_c", chunk)
-        .withColumn("_p", F.explode(F.when(tail, F.array("_c", F.col("_c") + 1)).otherwise(F.array("_c"))))
+        ranked.withColumn("__c", chunk)
+        .withColumn("__p", F.explode(F.when(tail, F.array("__c", F.col("__c") + 1)).otherwise(F.array("__c"))))
     )
-    columns = build(Window.partitionBy("_k", "_p").orderBy("_rn"))
+    columns = build(Window.partitionBy("__k", "__p").orderBy("__rn"))
     kept = [F.col(c) for c in df.columns]
     if number:
-        kept.append(F.col("_rn").alias(number))
+        kept.append(F.col("__rn").alias(number))
     return (
         placed.select("*", *[c.alias(n) for n, c in columns.items()])
-        .where(F.col("_p") == F.col("_c"))
+        .where(F.col("__p") == F.col("__c"))
         .select(*kept, *[F.col(n) for n in columns])
     )
 
@@ -123,21 +123,21 @@ def carried(
     All columns in ``values`` are carried together from the newest row on which
     the first of them is set.
     """
-    work = df.withColumn("_k", _key(keys)).withColumn("_s", slices)
+    work = df.withColumn("__k", _key(keys)).withColumn("__s", slices)
     position = F.struct(*[col(o).alias(f"o{i}") for i, o in enumerate(order)])
     packed = F.when(F.col(values[0]).isNotNull(), F.struct(*values))
-    work = work.withColumn("_o", position).withColumn("_v", packed)
-    ends = work.where("_v IS NOT NULL").groupBy("_k", "_s").agg(F.max_by("_v", "_o").alias("_e"))
-    slots = work.select("_k", "_s").distinct().join(ends, ["_k", "_s"], "left")
-    earlier = Window.partitionBy("_k").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    before = slots.select("_k", "_s", F.last("_e", ignorenulls=True).over(earlier).alias("_before"))
-    inside = Window.partitionBy("_k", "_s").orderBy("_o").rowsBetween(Window.unboundedPreceding, 0)
-    local = work.select("*", F.last("_v", ignorenulls=True).over(inside).alias("_local"))
-    out = local.join(before, ["_k", "_s"])
-    found = F.coalesce(F.col("_local"), F.col("_before"))
-    return out.withColumn("_f", found).select(
+    work = work.withColumn("__o", position).withColumn("__v", packed)
+    ends = work.where("__v IS NOT NULL").groupBy("__k", "__s").agg(F.max_by("__v", "__o").alias("__e"))
+    slots = work.select("__k", "__s").distinct().join(ends, ["__k", "__s"], "left")
+    earlier = Window.partitionBy("__k").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
+    before = slots.select("__k", "__s", F.last("__e", ignorenulls=True).over(earlier).alias("__before"))
+    inside = Window.partitionBy("__k", "__s").orderBy("__o").rowsBetween(Window.unboundedPreceding, 0)
+    local = work.select("*", F.last("__v", ignorenulls=True).over(inside).alias("__local"))
+    out = local.join(before, ["__k", "__s"])
+    found = F.coalesce(F.col("__local"), F.col("__before"))
+    return out.withColumn("__f", found).select(
         *[F.col(c) for c in df.columns if c not in values],
-        *[F.col(f"_f.{v}").alias(v) for v in values],
+        *[F.col(f"__f.{v}").alias(v) for v in values],
     )
 
 
@@ -147,6 +147,6 @@ def over_key(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column
     The grouping combines on the map side and the join may be split by adaptive
     execution, which a window over the key cannot.
     """
-    work = df.withColumn("_k", _key(keys))
-    grouped = work.groupBy("_k").agg(*[c.alias(n) for n, c in aggregates.items()])
-    return work.join(grouped, "_k").select(*df.columns, *aggregates)
+    work = df.withColumn("__k", _key(keys))
+    grouped = work.groupBy("__k").agg(*[c.alias(n) for n, c in aggregates.items()])
+    return work.join(grouped, "__k").select(*df.columns, *aggregates)

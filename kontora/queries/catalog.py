@@ -6,7 +6,7 @@ import importlib
 
 from kontora.queries.base import QUERIES, SQL
 
-MODULES = ["views"]
+MODULES = ["views", "relational", "aggregation", "windowing", "scalar", "features", "health"]
 
 MODULE_OF: dict[str, str] = {}
 

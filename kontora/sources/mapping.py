@@ -255,9 +255,9 @@ _LOG_FEATURE = "CASE l_partkey % 6 " + " ".join(
 MAPPING["feature_compute_logs"] = Mapped("lineitem", {
     "compute_id": "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '-', CAST(l_partkey AS STRING), '-', CAST(l_suppkey AS STRING))",
     "feature_id": _LOG_FEATURE,
-    "compute_start": "CAST(l_shipdate AS TIMESTAMP_NTZ)",
-    "compute_end": "CAST(l_shipdate AS TIMESTAMP_NTZ) + {seconds}",
-    "rows_processed": "CAST(l_extendedprice AS BIGINT)",
+    "compute_start": "CAST(l_shipdate AS {ntz})",
+    "compute_end": "CAST(l_shipdate AS {ntz}) + {seconds}",
+    "rows_processed": "CAST(floor(l_extendedprice) AS BIGINT)",
     "compute_status": "CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 'FAILED' ELSE 'SUCCESS' END",
     "pool": "CASE WHEN l_linestatus = 'F' THEN 'FEATURE_POOL' ELSE 'LEGACY_POOL' END",
     "credits_used": "CAST(l_tax AS DECIMAL(10,4))",

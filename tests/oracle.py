@@ -70,6 +70,9 @@ def compare(df, con, sql: str) -> str:
     """'' when equal, else the first difference found."""
     rel = con.execute(sql)
     want_cols = [d[0] for d in rel.description]
+    loose = [d[0] for d in rel.description if str(d[1]).startswith(("HUGEINT", "DECIMAL"))]
+    if loose:
+        return f"sql columns need a cast: {loose}"
     want = rel.fetchall()
     got_cols = df.columns
     if sorted(got_cols) != sorted(want_cols):
