@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
 from collections.abc import Sequence
 
@@ -37,6 +38,12 @@ def months_before(as_of: dt.date, n: int) -> Column:
     return F.add_months(F.lit(as_of), -n)
 
 
+def month_earlier(as_of: dt.date) -> dt.date:
+    """One calendar month earlier, as a Python date."""
+    year, month = (as_of.year, as_of.month - 1) if as_of.month > 1 else (as_of.year - 1, 12)
+    return dt.date(year, month, min(as_of.day, calendar.monthrange(year, month)[1]))
+
+
 _SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 

@@ -6,7 +6,7 @@ import importlib
 
 from kontora.queries.base import QUERIES, SQL
 
-MODULES = ["views", "relational", "aggregation", "windowing", "scalar", "features", "health"]
+MODULES = ["views", "relational", "aggregation", "windowing", "scalar", "features", "health", "metrics", "search"]
 
 MODULE_OF: dict[str, str] = {}
 
