@@ -18,6 +18,7 @@ from kontora.functions.scalars import (
 from kontora.operators.joins import Child, join_children
 from kontora.operators.ranking import latest_per_key
 from kontora.plans.feature_store import split_rows
+from kontora.session import shared_dir
 
 FRAUD, ADVANCE, LTV = "FRAUD_DETECTION_MODEL", "ADVANCE_ELIGIBILITY_MODEL", "CUSTOMER_LTV_MODEL"
 
@@ -170,6 +171,7 @@ def prepared(df: DataFrame, spec: ModelSpec) -> DataFrame:
 def train(b, name: str) -> tuple[PipelineModel, DataFrame]:
     """Fit on four fifths of the rows; also returns the rest with predictions."""
     spec = SPECS[name]
+    shared_dir(b.spark)  # boosting cuts its lineage by checkpoints there
     fit_rows, test_rows = split_rows(spec.rows(b), spec.row_id)
     model = pipeline(spec).fit(prepared(fit_rows, spec))
     return model, model.transform(prepared(test_rows, spec))

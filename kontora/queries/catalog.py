@@ -6,7 +6,7 @@ import importlib
 
 from kontora.queries.base import QUERIES, SQL
 
-MODULES = ["views", "relational", "aggregation", "windowing", "scalar", "features", "health", "metrics", "search", "streams", "ml"]
+MODULES = ["views", "relational", "aggregation", "windowing", "scalar", "features", "health", "metrics", "search", "streams", "workloads", "ml"]
 
 MODULE_OF: dict[str, str] = {}
 
