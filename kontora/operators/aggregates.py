@@ -21,21 +21,23 @@ def exact_percentiles(
 ) -> DataFrame:
     """Interpolated exact percentiles per key.
 
-    Equal values are counted first. Each key's range is then cut into slices;
-    only the slices that hold a wanted rank are ordered, each on its own, so a
-    key with any number of rows is never gathered in one task.
+    Equal values are counted first. Each key's range is then cut into slices on a
+    logarithmic scale, which keeps a few outliers from pushing everything else
+    into one slice. Only the slices that hold a wanted rank are ordered, each on
+    its own, so a key with any number of rows is never gathered in one task.
     """
     work = df.select(*keys, col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
     if not keys:
         work = work.withColumn("_all", F.lit(1))
     by = list(keys) or ["_all"]
     counts = work.groupBy(*by, "_v").agg(F.count("*").alias("_n"))
+    scale = F.signum("_v") * F.log1p(F.abs("_v"))  # never falls as the value rises
     spread = counts.groupBy(*by).agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total")
+        F.min(scale).alias("_lo"), F.max(scale).alias("_hi"), F.sum("_n").alias("_total")
     )
     width = F.col("_hi") - F.col("_lo")
     place = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("_v") - F.col("_lo")) / width * slices), F.lit(slices - 1))
+        F.least(F.floor((scale - F.col("_lo")) / width * slices), F.lit(slices - 1))
     )
     placed = counts.join(spread.select(*[F.col(b).alias(f"_k_{b}") for b in by], "_lo", "_hi", "_total"),
                          _null_safe(by)).drop(*[f"_k_{b}" for b in by]).withColumn("_s", place)
@@ -96,7 +98,7 @@ def histogram(df: DataFrame, value: ColumnLike, low: float, high: float, buckets
     )
 
 
-def connected_groups(links: DataFrame, left: str, right: str, rounds: int = 30) -> DataFrame:
+def connected_groups(links: DataFrame, left: str, right: str) -> DataFrame:
     """Smallest reachable member for every node of an undirected link table.
 
     Each round a node takes the smallest label among its neighbours, and then
@@ -114,7 +116,7 @@ def connected_groups(links: DataFrame, left: str, right: str, rounds: int = 30)
         .checkpoint()
     )
     labels = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).checkpoint()
-    for _ in range(rounds):
+    while True:
         offered = (
             both.join(labels.select(F.col("a").alias("b"), "label"), "b")
             .groupBy("a").agg(F.min("label").alias("offer"))
@@ -130,4 +132,3 @@ def connected_groups(links: DataFrame, left: str, right: str, rounds: int = 30)
         labels = nxt.drop("old")
         if changed == 0:
             return labels.select(F.col("a").alias("node"), F.col("label").alias("group_id"))
-    raise RuntimeError(f"groups still changing after {rounds} rounds")

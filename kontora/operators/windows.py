@@ -127,8 +127,8 @@ def carried(
     position = F.struct(*[col(o).alias(f"o{i}") for i, o in enumerate(order)])
     packed = F.when(F.col(values[0]).isNotNull(), F.struct(*values))
     work = work.withColumn("__o", position).withColumn("__v", packed)
-    ends = work.where("__v IS NOT NULL").groupBy("__k", "__s").agg(F.max_by("__v", "__o").alias("__e"))
-    slots = work.select("__k", "__s").distinct().join(ends, ["__k", "__s"], "left")
+    # max_by leaves out rows whose ordering is NULL, so a slice without values ends in NULL
+    slots = work.groupBy("__k", "__s").agg(F.max_by("__v", F.when(F.col("__v").isNotNull(), F.col("__o"))).alias("__e"))
     earlier = Window.partitionBy("__k").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
     before = slots.select("__k", "__s", F.last("__e", ignorenulls=True).over(earlier).alias("__before"))
     inside = Window.partitionBy("__k", "__s").orderBy("__o").rowsBetween(Window.unboundedPreceding, 0)

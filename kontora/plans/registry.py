@@ -69,10 +69,11 @@ def lineage(spark: SparkSession) -> DataFrame:
     )
 
 
-def lineage_closure(edges: DataFrame, max_depth: int = 10) -> DataFrame:
+def lineage_closure(edges: DataFrame) -> DataFrame:
     """All ancestors of every node, with the shortest distance.
 
-    ``edges`` holds (node, parent). One join per level, until no level adds a row.
+    ``edges`` holds (node, parent). One join per level, until no level adds a
+    pair; pairs already found are left out, so a cycle ends too.
     """
     from kontora.session import shared_dir
 
@@ -81,7 +82,9 @@ def lineage_closure(edges: DataFrame, max_depth: int = 10) -> DataFrame:
     found = direct.withColumn("depth", F.lit(1))
     front = found
     step = direct.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
-    for depth in range(2, max_depth + 1):
+    depth = 1
+    while True:
+        depth += 1
         grown = (
             front.join(step, "parent").select("node", F.col("above").alias("parent")).distinct()
             .join(found, ["node", "parent"], "left_anti")
@@ -92,7 +95,6 @@ def lineage_closure(edges: DataFrame, max_depth: int = 10) -> DataFrame:
             return found
         found = found.unionByName(grown).checkpoint()
         front = grown
-    raise RuntimeError(f"lineage deeper than {max_depth} levels, or a cycle")
 
 
 @dataclass(frozen=True)

@@ -62,9 +62,13 @@ def index_terms(index: DataFrame) -> DataFrame:
 
 
 def write_index(docs: DataFrame, path: str, buckets: int = 64) -> None:
-    """Store the postings by a hash of the term, so a search reads a few folders."""
+    """Store the postings by a hash of the term, so a search reads a few folders.
+
+    The rebalance hint splits the bucket of a very common word over several files.
+    """
     rows = postings(docs).withColumn("bucket", F.pmod(F.hash("term"), F.lit(buckets)))
-    rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
+    rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+    corpus_size(docs).write.mode("overwrite").parquet(f"{path}/size")
 
 
 def corpus_size(docs: DataFrame) -> DataFrame:
@@ -79,24 +83,39 @@ def words_of(query: str) -> list[str]:
     return list(dict.fromkeys(w for w in re.split(r"[^\w]+", query.lower()) if w))
 
 
+def _ranked(found: DataFrame, size: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """BM25 over the postings of the asked words; ties by document id."""
+    df = found.groupBy("term").agg(F.count("*").alias("df"))  # one row per asked word
+    hits = found.join(asked, "term").join(df, "term").withColumn("size", size.select(F.struct("n", "avg_length")).scalar())
+    idf = F.log(1 + (F.col("size.n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    norm = F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("size.avg_length"))
+    scored = hits.groupBy("query_id", "doc_id").agg(F.round(F.sum(idf * F.col("tf") * (K1 + 1) / norm), 9).alias("score"))
+    return top_per_key(scored, ["query_id"], [F.desc("score"), F.asc("doc_id")], k, rank="rank")
+
+
+def _asked(spark, queries: Sequence[tuple[str, str]]) -> tuple[DataFrame, list[str]]:
+    rows = [(q, w) for q, text in queries for w in words_of(text)]
+    return spark.createDataFrame(rows, "query_id string, term string"), sorted({w for _, w in rows})
+
+
 def search_topk(docs: DataFrame, queries: Sequence[tuple[str, str]], k: int = 5) -> DataFrame:
-    """The k best documents per query by BM25, ties by document id.
+    """The k best documents per query, straight from the texts.
 
     ``queries`` is what a caller asks, a handful of strings. Their words are
     picked out during the scan, so only matching words are shuffled, and each
     task keeps its own best k before the final ranking.
     """
-    spark = docs.sparkSession
-    asked = [(q, w) for q, text in queries for w in words_of(text)]
-    terms = spark.createDataFrame(asked, "query_id string, term string")
-    found = postings(docs, sorted({w for _, w in asked}))
-    df = found.groupBy("term").agg(F.count("*").alias("df"))  # one row per asked word
-    size = corpus_size(docs).select(F.struct("n", "avg_length"))
-    hits = found.join(terms, "term").join(df, "term").withColumn("size", size.scalar())
-    idf = F.log(1 + (F.col("size.n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("size.avg_length"))
-    scored = hits.groupBy("query_id", "doc_id").agg(F.round(F.sum(idf * F.col("tf") * (K1 + 1) / norm), 9).alias("score"))
-    return top_per_key(scored, ["query_id"], [F.desc("score"), F.asc("doc_id")], k, rank="rank")
+    asked, terms = _asked(docs.sparkSession, queries)
+    return _ranked(postings(docs, terms), corpus_size(docs), asked, k)
+
+
+def search_index(spark, path: str, queries: Sequence[tuple[str, str]], k: int = 5, buckets: int = 64) -> DataFrame:
+    """The same from a stored index: only the buckets of the asked words are read."""
+    asked, terms = _asked(spark, queries)
+    folders = [F.pmod(F.hash(F.lit(t)), F.lit(buckets)) for t in terms]
+    index = spark.read.parquet(f"{path}/postings")
+    found = index.where(F.col("bucket").isin(*folders) & F.col("term").isin(*terms)).drop("bucket")
+    return _ranked(found, spark.read.parquet(f"{path}/size"), asked, k)
 
 
 def results_json(ranked: DataFrame, columns: Sequence[str]) -> DataFrame:

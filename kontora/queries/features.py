@@ -84,7 +84,7 @@ def feature_set(b):
 def feature_values_long(b):
     path = scratch_path(b.spark, "feature-values")
     rows = b.feature_values.withColumn("feature_date", F.to_date("feature_timestamp"))
-    rows.write.partitionBy("feature_date").parquet(path)
+    rows.hint("rebalance", "feature_date").write.partitionBy("feature_date").parquet(path)
     return b.spark.read.parquet(path).select("entity_id", "entity_type", "feature_id", "feature_value", "feature_timestamp")
 
 

@@ -56,7 +56,7 @@ def build_search_index(b):
 
     path = scratch_path(b.spark, "index")
     r.write_index(docs(b), path)
-    return r.index_terms(b.spark.read.parquet(path))
+    return r.index_terms(b.spark.read.parquet(f"{path}/postings"))
 
 
 _ASK = "ask(query_id, term) AS (VALUES " + ", ".join(f"('{q}', '{w}')" for q, t in ASKED for w in r.words_of(t)) + ")"
@@ -72,6 +72,15 @@ def search_topk(b):
     return r.search_topk(docs(b), ASKED, 5)
 
 
+@query("search_index_topk", f"WITH {_RANKED} SELECT query_id, doc_id, score, rank FROM ranked")
+def search_index_topk(b):
+    from kontora.session import scratch_path
+
+    path = scratch_path(b.spark, "index")
+    r.write_index(docs(b), path)
+    return r.search_index(b.spark, path, ASKED, 5)
+
+
 _ENGLISH = _tok(where="lang = 'en' AND ")
 
 

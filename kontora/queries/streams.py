@@ -49,7 +49,7 @@ _WINDOW = """SELECT customer_id, date_trunc('hour', transaction_timestamp) AS wi
 
 @query("stream_tumbling", _WINDOW)
 def stream_tumbling(b):
-    table = storage.Versions(b.spark, scratch_path(b.spark, "hourly"))
+    table = storage.UpsertLog(b.spark, scratch_path(b.spark, "hourly"), ["customer_id", "window_start"])
     _batches(b, jobs.tumbling(jobs.transactions(b.spark, b.folder)), jobs.upsert_windows(table), "hourly", "update")
     return _ntz(table.read(), "window_start", "window_end").drop("last_time")
 
@@ -66,7 +66,7 @@ SELECT customer_id, w AS window_start, w + INTERVAL 1 HOUR AS window_end, count(
 FROM (SELECT *, unnest(generate_series(time_bucket(INTERVAL 5 MINUTE, transaction_timestamp) - INTERVAL 55 MINUTE, time_bucket(INTERVAL 5 MINUTE, transaction_timestamp), INTERVAL 5 MINUTE)) AS w FROM transactions)
 GROUP BY 1, 2, 3""")
 def stream_rolling_hour(b):
-    table = storage.Versions(b.spark, scratch_path(b.spark, "rolling"))
+    table = storage.UpsertLog(b.spark, scratch_path(b.spark, "rolling"), ["customer_id", "window_start"])
     _batches(b, jobs.tumbling(jobs.transactions(b.spark, b.folder), "1 hour", "5 minutes"), jobs.upsert_windows(table), "rolling", "update")
     return _ntz(table.read(), "window_start", "window_end", "last_time")
 
@@ -76,7 +76,7 @@ WITH e AS (SELECT max(transaction_timestamp) AS t FROM transactions)
 SELECT CAST(customer_id AS VARCHAR) AS entity_id, CAST(count(*) AS DOUBLE) AS transaction_count_1h, CAST(max(amount) AS DOUBLE) AS max_amount_1h, max(e.t) AS last_updated
 FROM transactions, e WHERE transaction_timestamp >= e.t - INTERVAL 1 HOUR GROUP BY 1""")
 def stream_online_upsert(b):
-    table = storage.Versions(b.spark, scratch_path(b.spark, "online"))
+    table = storage.UpsertLog(b.spark, scratch_path(b.spark, "online"), ["entity_id", "entity_type"])
     _batches(b, jobs.transactions(b.spark, b.folder), jobs.upsert_online(table), "online")
     v = F.col("feature_vector")
     return table.read().select("entity_id", v["transaction_count_1h"].alias("transaction_count_1h"), v["max_amount_1h"].alias("max_amount_1h"), "last_updated")
@@ -88,7 +88,7 @@ WITH r AS (SELECT transaction_id, customer_id, transaction_timestamp, merchant_c
   lag(merchant_city) OVER (PARTITION BY customer_id ORDER BY transaction_timestamp, transaction_id) AS prev_city FROM transactions)
 SELECT transaction_id, customer_id, prev_time, prev_city, CASE WHEN date_diff('minute', prev_time, transaction_timestamp) < 5 AND merchant_city <> prev_city THEN 1 ELSE 0 END AS impossible_travel FROM r""")
 def stream_velocity(b):
-    state = storage.Versions(b.spark, scratch_path(b.spark, "last-seen"))
+    state = storage.UpsertLog(b.spark, scratch_path(b.spark, "last-seen"), ["customer_id"])
     flags = scratch_path(b.spark, "flags")
     _batches(b, jobs.transactions(b.spark, b.folder), jobs.velocity(state, flags), "velocity")
     return _ntz(b.spark.read.parquet(flags), "prev_time").select("transaction_id", "customer_id", "prev_time", "prev_city", "impossible_travel")

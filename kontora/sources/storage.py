@@ -57,14 +57,19 @@ def prepared(df: DataFrame, table: str, now: dt.datetime) -> DataFrame:
     return align(with_defaults(df, spec.defaults, now), spec.schema)
 
 
+def _laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of one folder together, large folders over several files."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def append_rows(df: DataFrame, path: str, table: str, now: dt.datetime, partition_by: Sequence[str] = ()) -> None:
     """INSERT ... SELECT, matching columns by name."""
-    prepared(df, table, now).write.mode("append").partitionBy(*partition_by).parquet(path)
+    _laid_out(prepared(df, table, now), partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def reload_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace the whole table. Not for a path the plan itself reads; use Versions."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    _laid_out(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 class Versions:
@@ -109,6 +114,50 @@ class Versions:
         return self.publish(step(self.read()), token)
 
 
+class UpsertLog:
+    """Keyed rows kept as a base and the changes after it.
+
+    Each batch writes only the rows it touched; a read takes the newest row per
+    key. ``compact`` folds the changes into a new base. A token that was already
+    written is skipped, so a repeated micro-batch changes nothing.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], compact_every: int = 50):
+        self.spark, self.root, self.keys, self.compact_every = spark, root.rstrip("/"), list(keys), compact_every
+        self.log = Versions(spark, f"{self.root}/log")
+
+    def _entries(self) -> list:
+        # one short row per batch since the last compaction
+        pointers = self.log._pointers()
+        return [] if pointers is None else pointers.orderBy("version").collect()
+
+    def read(self) -> DataFrame | None:
+        entries = self._entries()
+        if not entries:
+            return None
+        base = max((i for i, e in enumerate(entries) if e.token.startswith("base:")), default=0)
+        out = None
+        for e in entries[base:]:
+            part = self.spark.read.parquet(f"{self.log.root}/v{e.version}").withColumn("_version", F.lit(e.version))
+            out = part if out is None else out.unionByName(part)
+        return latest_per_key(out, self.keys, ["_version"]).drop("_version")
+
+    def matching(self, rows: DataFrame) -> DataFrame | None:
+        """Current rows of the keys that occur in ``rows``."""
+        now = self.read()
+        return None if now is None else now.join(rows.select(*self.keys).distinct(), self.keys, "left_semi")
+
+    def done(self, token: str) -> bool:
+        return any(e.token.removeprefix("base:") == token for e in self._entries())
+
+    def put(self, rows: DataFrame, token: str) -> None:
+        if self.done(token):
+            return
+        self.log.publish(rows, token)
+        if len(self._entries()) % self.compact_every == 0:
+            self.log.publish(self.read(), f"base:{token}")
+
+
 def merge_rows(
     target: DataFrame,
     source: DataFrame,

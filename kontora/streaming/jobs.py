@@ -82,67 +82,62 @@ def sessions(stream: DataFrame, gap: str = "30 minutes", late: str = WATERMARK)
     )
 
 
-def upsert_windows(table: storage.Versions) -> Callable[[DataFrame, int], None]:
+def upsert_windows(table: storage.UpsertLog) -> Callable[[DataFrame, int], None]:
     """Keep the newest state of every (customer, window) that an update-mode stream emits."""
-    keys = ["customer_id", "window_start"]
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        def change(old):
-            return batch if old is None else old.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
-
-        table.change(change, token=str(batch_id))
+        table.put(batch, str(batch_id))
 
     return step
 
 
-def upsert_online(table: storage.Versions, hours: int = 1) -> Callable[[DataFrame, int], None]:
+def upsert_online(table: storage.UpsertLog, hours: int = 1) -> Callable[[DataFrame, int], None]:
     """Merge each batch's last-hour features into the online vectors.
 
-    The hour ends at the newest event of the batch; the batch time is that event's.
+    The hour ends at the newest event of the batch. Only the vectors of customers
+    in the batch are read, merged and written.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
+        if table.done(str(batch_id)):
+            return
         end = batch.agg(F.max("transaction_timestamp").alias("end")).first().end
         if end is None:
             return
+        stamp = F.lit(end).cast("timestamp_ntz")
         recent = batch.where(F.col("transaction_timestamp") >= F.lit(end) - F.expr(f"INTERVAL {hours} HOURS"))
         fresh = recent.groupBy("customer_id").agg(
-            F.count("*").cast("double").alias("n"), F.max("amount").cast("double").alias("m"), F.max("transaction_timestamp").alias("t")
+            F.count("*").cast("double").alias("n"), F.max("amount").cast("double").alias("m")
         ).select(
             F.col("customer_id").cast("string").alias("entity_id"), F.lit("CUSTOMER").alias("entity_type"),
             F.create_map(F.lit("transaction_count_1h"), "n", F.lit("max_amount_1h"), "m").alias("feature_vector"),
-            F.col("t").cast("timestamp_ntz").alias("last_updated"),
+            stamp.alias("last_updated"),
         )
-        stamp = F.lit(end).cast("timestamp_ntz")
-
-        def change(old):
-            if old is None:
-                return fresh.withColumn("last_updated", stamp)
-            return storage.merge_rows(
+        old = table.matching(fresh)
+        if old is not None:
+            fresh = storage.merge_rows(
                 old, fresh, ["entity_id", "entity_type"],
                 {"feature_vector": storage.overlay(F.col("t.feature_vector"), F.col("s.feature_vector")), "last_updated": stamp},
             )
-
-        table.change(change, token=str(batch_id))
+        table.put(fresh, str(batch_id))
 
     return step
 
 
-def velocity(table: storage.Versions, flags: str) -> Callable[[DataFrame, int], None]:
+def velocity(table: storage.UpsertLog, flags: str) -> Callable[[DataFrame, int], None]:
     """Flag impossible travel against the customer's previous transaction.
 
-    The last transaction per customer is carried from batch to batch in a small
-    table. Inside a batch the rows are lined up by the chunked window, so a busy
-    customer does not meet in one task, and no Python state is kept.
+    The last transaction per customer is carried from batch to batch. Inside a
+    batch the rows are lined up by the chunked window, so a busy customer does
+    not meet in one task, and no Python state is kept.
     """
     cols = ["customer_id", "transaction_id", "transaction_timestamp", "merchant_city", "amount"]
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        at = table.current()
-        if at and at[1] == str(batch_id):
+        if table.done(str(batch_id)):
             return
-        known = table.read()
         rows = batch.select(*cols).withColumn("_new", F.lit(True))
+        known = table.matching(rows)
         if known is not None:
             rows = rows.unionByName(known.withColumn("_new", F.lit(False)))
         lined = framed(
@@ -154,7 +149,6 @@ def velocity(table: storage.Versions, flags: str) -> Callable[[DataFrame, int],
         lined.where("_new").select(*cols, "prev_time", "prev_city", flag(travel).alias("impossible_travel")).write.mode("overwrite").parquet(
             f"{flags}/batch={batch_id}"
         )
-        newest = latest_per_key(rows.drop("_new"), ["customer_id"], ["transaction_timestamp", "transaction_id"])
-        table.publish(newest, token=str(batch_id))
+        table.put(latest_per_key(rows.drop("_new"), ["customer_id"], ["transaction_timestamp", "transaction_id"]), str(batch_id))
 
     return step
