@@ -13,7 +13,7 @@ from kontora.operators.aggregates import connected_groups, exact_percentiles
 from kontora.operators.joins import Child, join_children, shared_attribute_links
 from kontora.operators.ranking import top_per_key
 from kontora.plans import activity, customers, monitoring, semantic
-from kontora.plans.retrieval import corpus, postings
+from kontora.plans.retrieval import corpus, counted
 
 SCORE_BANDS = [(750, "EXCELLENT"), (700, "GOOD"), (650, "FAIR")]
 
@@ -351,7 +351,7 @@ def support_deflection(b) -> DataFrame:
     """Tickets per topic against documents that speak of it; topics without any are gaps."""
     topics = b.support_interactions.groupBy(F.lower("category").alias("term")).agg(F.count("*").alias("tickets"), F.sum("resolution_time_minutes").alias("minutes"))
     words = ["account", "transaction", "card", "advance", "general"]
-    found = postings(corpus(b.raw("documents"), "doc_id", "text"), words).groupBy("term").agg(F.count("*").alias("articles"))
+    found = counted(corpus(b.raw("documents"), "doc_id", "text"), words).groupBy("term").agg(F.count("*").alias("articles"))
     return topics.join(found, "term", "left").na.fill(0, ["articles"]).withColumn("is_gap", F.col("articles") == 0).withColumnRenamed("term", "topic")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from kontora.functions.scalars import ColumnLike, col
 from kontora.operators.joins import with_each
 from kontora.operators.ranking import top_per_key
+from kontora.session import shared_dir
 
 K1, B = 1.2, 0.75
 PART_TURNS = 256
@@ -42,20 +43,29 @@ def tokens(text: ColumnLike):
     return F.filter(F.split(F.lower(col(text)), r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
-def postings(docs: DataFrame, terms: Sequence[str] | None = None) -> DataFrame:
-    """(doc_id, term, tf, length). With ``terms`` only those words leave the scan."""
+def postings(docs: DataFrame) -> DataFrame:
+    """(doc_id, term, tf, length) of every word."""
     words = docs.select("doc_id", tokens("text").alias("words")).withColumn("length", F.size("words"))
-    kept = F.col("words")
-    if terms is not None:
-        wanted = F.array(*[F.lit(t) for t in terms])
-        kept = F.filter("words", lambda t: F.array_contains(wanted, t))
     return (
-        words.select("doc_id", "length", F.explode(kept).alias("term"))
+        words.select("doc_id", "length", F.explode_outer("words").alias("term")).where("term IS NOT NULL")
         .groupBy("doc_id", "term", "length")
         .agg(F.count("*").alias("tf"))
     )
 
 
+def counted(docs: DataFrame, terms: Sequence[str]) -> DataFrame:
+    """(doc_id, length, term, tf) of the asked words, and one row with term '' per document.
+
+    Each document's words are counted where it is read, so at most one row per
+    asked word and document is shuffled. The outer explode keeps the optimizer
+    from adding a test on the array, which would split every text twice.
+    """
+    words = docs.select("doc_id", tokens("text").alias("words")).select(
+        "doc_id", F.size("words").alias("length"), F.explode_outer(F.array_append("words", F.lit(""))).alias("term")
+    )
+    return words.where(F.col("term").isin("", *terms)).groupBy("doc_id", "length", "term").agg(F.count("*").alias("tf"))
+
+
 def index_terms(index: DataFrame) -> DataFrame:
     """Documents per term."""
     return index.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("occurrences"))
@@ -83,39 +93,47 @@ def words_of(query: str) -> list[str]:
     return list(dict.fromkeys(w for w in re.split(r"[^\w]+", query.lower()) if w))
 
 
-def _ranked(found: DataFrame, size: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    """BM25 over the postings of the asked words; ties by document id."""
-    df = found.groupBy("term").agg(F.count("*").alias("df"))  # one row per asked word
-    hits = found.join(asked, "term").join(df, "term").withColumn("size", size.select(F.struct("n", "avg_length")).scalar())
-    idf = F.log(1 + (F.col("size.n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("size.avg_length"))
-    scored = hits.groupBy("query_id", "doc_id").agg(F.round(F.sum(idf * F.col("tf") * (K1 + 1) / norm), 9).alias("score"))
-    return top_per_key(scored, ["query_id"], [F.desc("score"), F.asc("doc_id")], k, rank="rank")
+def _asked(queries: Sequence[tuple[str, str]]) -> tuple[list[tuple[str, list[str]]], list[str]]:
+    split = [(q, words_of(text)) for q, text in queries]
+    return split, sorted({w for _, words in split for w in words})
+
 
+def _best(found: DataFrame, size: DataFrame, asked: Sequence[tuple[str, list[str]]], k: int) -> DataFrame:
+    """BM25 over the counts of the asked words; ties by document id.
 
-def _asked(spark, queries: Sequence[tuple[str, str]]) -> tuple[DataFrame, list[str]]:
-    rows = [(q, w) for q, text in queries for w in words_of(text)]
-    return spark.createDataFrame(rows, "query_id string, term string"), sorted({w for _, w in rows})
+    Each task keeps its own best k per query before the final ranking.
+    """
+    pairs = found.sparkSession.createDataFrame([(q, w) for q, words in asked for w in words], "query_id string, term string")
+    df = found.groupBy("term").agg(F.count("*").alias("df"))  # one row per asked word
+    hits = found.join(pairs, "term").join(df, "term").withColumn("s", size.select(F.struct("n", "avg_length")).scalar())
+    n, d, tf = F.col("s.n"), F.col("df"), F.col("tf")
+    idf = F.log(1 + (n - d + 0.5) / (d + 0.5))
+    weight = tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("length") / F.col("s.avg_length")))
+    scored = hits.groupBy("query_id", "doc_id").agg(F.round(F.sum(idf * weight), 9).alias("score"))
+    return top_per_key(scored, ["query_id"], [F.desc("score"), F.asc("doc_id")], k, rank="rank")
 
 
 def search_topk(docs: DataFrame, queries: Sequence[tuple[str, str]], k: int = 5) -> DataFrame:
     """The k best documents per query, straight from the texts.
 
-    ``queries`` is what a caller asks, a handful of strings. Their words are
-    picked out during the scan, so only matching words are shuffled, and each
-    task keeps its own best k before the final ranking.
+    ``queries`` is what a caller asks, a handful of strings. The texts are read
+    once: the counts of the asked words go to the shared folder, and corpus
+    size, document frequencies and scores all come from there.
     """
-    asked, terms = _asked(docs.sparkSession, queries)
-    return _ranked(postings(docs, terms), corpus_size(docs), asked, k)
+    asked, terms = _asked(queries)
+    shared_dir(docs.sparkSession)
+    found = counted(docs, terms).checkpoint()
+    size = found.where("term = ''").agg(F.count("*").cast("double").alias("n"), (F.sum("length").cast("double") / F.count("*")).alias("avg_length"))
+    return _best(found.where("term <> ''"), size, asked, k)
 
 
 def search_index(spark, path: str, queries: Sequence[tuple[str, str]], k: int = 5, buckets: int = 64) -> DataFrame:
-    """The same from a stored index: only the buckets of the asked words are read."""
-    asked, terms = _asked(spark, queries)
+    """The same from a stored index: only the folders of the asked words are read."""
+    asked, terms = _asked(queries)
     folders = [F.pmod(F.hash(F.lit(t)), F.lit(buckets)) for t in terms]
     index = spark.read.parquet(f"{path}/postings")
     found = index.where(F.col("bucket").isin(*folders) & F.col("term").isin(*terms)).drop("bucket")
-    return _ranked(found, spark.read.parquet(f"{path}/size"), asked, k)
+    return _best(found, spark.read.parquet(f"{path}/size"), asked, k)
 
 
 def results_json(ranked: DataFrame, columns: Sequence[str]) -> DataFrame:
