@@ -108,6 +108,21 @@ def mean(value: ColumnLike) -> Column:
     return F.try_divide(F.sum(value).cast("double"), F.count(value).cast("double"))
 
 
+def slope(y: ColumnLike, x: ColumnLike) -> Column:
+    """Least-squares slope over rows where both are set, from exact sums.
+
+    ``y`` and ``x`` are decimals or integers, so the order of rows does not matter.
+    """
+    both = col(y).isNotNull() & col(x).isNotNull()
+    y, x = F.when(both, col(y)), F.when(both, col(x))
+
+    def total(c: Column) -> Column:
+        return F.sum(c).cast("double")
+
+    n = F.count(y).cast("double")
+    return F.try_divide(n * total(x * y) - total(x) * total(y), n * total(x * x) - total(x) * total(x))
+
+
 def count_if(test: Column) -> Column:
     return F.count(F.when(test, F.lit(1)))
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from kontora.functions.scalars import (
-    band, count_if, date_diff, day, days_before, flag, is_weekend, mean, moment, ratio, sum_if,
+    band, count_if, date_diff, day, days_before, flag, is_weekend, mean, moment, ratio, slope, sum_if,
 )
 from kontora.operators.aggregates import connected_groups, exact_percentiles
 from kontora.operators.joins import Child, join_children, shared_attribute_links
@@ -94,9 +94,9 @@ def feature_cost(b, k: int = 5) -> DataFrame:
 
 def deposit_loss(b) -> DataFrame:
     """Customers whose deposits shrink or have stopped."""
-    epoch = F.datediff("deposit_date", F.lit("2024-01-01").cast("date")).cast("double")
+    at = F.datediff("deposit_date", F.lit("2024-01-01").cast("date"))
     dep = b.direct_deposits.groupBy("customer_id").agg(
-        F.count("*").alias("deposits"), F.round(F.regr_slope(F.col("amount").cast("double"), epoch), 4).alias("amount_trend"),
+        F.count("*").alias("deposits"), slope("amount", at).alias("amount_trend"),
         date_diff("day", F.max("deposit_date"), day(b.as_of)).alias("days_since_deposit"),
     )
     held = b.accounts.groupBy("customer_id").agg(F.sum("current_balance").alias("balance"))
@@ -322,7 +322,7 @@ def cash_flow(b) -> DataFrame:
     return per.join(last, "customer_id").select(
         "customer_id", "deposits", "avg_deposit", F.round(cv, 6).alias("variation"), "expected_next",
         F.when(cv.isNull(), "UNKNOWN").when(cv < 0.4, "STABLE").otherwise("VARIABLE").alias("income"),
-        F.least(F.lit(500.0), F.round(F.col("total_deposits").cast("double") * 0.1, 2)).alias("advance_limit"),
+        F.least(F.lit(500), F.round(F.col("total_deposits") * F.lit(0.1).cast("decimal(2,1)"), 2)).cast("double").alias("advance_limit"),
     )
 
 

@@ -46,9 +46,10 @@ ask("q_fraud_merchants", q.fraud_merchants, f"SELECT merchant_name, count(*) AS
 _SECS = "date_diff('second', compute_start, compute_end)"
 ask("q_feature_perf", q.feature_cost, f"SELECT feature_id, {total('credits_used')} AS credits, {avg(_SECS)} AS avg_seconds, count(*) AS runs FROM feature_compute_logs GROUP BY 1 ORDER BY credits DESC, feature_id LIMIT 5")
 
+_N, _SX, _SY = "CAST(count(*) AS DOUBLE)", total("x"), total("amount")
 ask("q_deposit_loss", q.deposit_loss, f"""
-WITH d AS (SELECT customer_id, count(*) AS deposits, round(regr_slope(CAST(amount AS DOUBLE), date_diff('day', DATE '2024-01-01', deposit_date)), 4) AS amount_trend,
-  date_diff('day', max(deposit_date), {TODAY}) AS days_since_deposit FROM direct_deposits GROUP BY 1)
+WITH d AS (SELECT customer_id, count(*) AS deposits, ({_N} * {total("x * amount")} - {_SX} * {_SY}) / nullif({_N} * {total("x * x")} - {_SX} * {_SX}, 0) AS amount_trend,
+  date_diff('day', max(deposit_date), {TODAY}) AS days_since_deposit FROM (SELECT *, date_diff('day', DATE '2024-01-01', deposit_date) AS x FROM direct_deposits) GROUP BY 1)
 SELECT d.*, h.balance, coalesce(s.n, 0) AS contacts, coalesce(amount_trend < 0, false) AS declining, days_since_deposit > 45 AS stopped
 FROM d JOIN (SELECT customer_id, {total("current_balance")} AS balance FROM accounts GROUP BY 1) h USING (customer_id) LEFT JOIN (SELECT customer_id, count(*) AS n FROM support_interactions GROUP BY 1) s USING (customer_id)""")
 
@@ -144,10 +145,10 @@ SELECT group_id, count(*) AS members, CAST(sum(h.x) AS DOUBLE) AS exposure FROM
 
 _CV = "sd / avg_deposit"
 ask("q_cash_flow", q.cash_flow, f"""
-WITH p AS (SELECT customer_id, count(*) AS deposits, {avg("amount")} AS avg_deposit, stddev_samp(CAST(amount AS DOUBLE)) AS sd, {total("amount")} AS tot FROM direct_deposits GROUP BY 1),
+WITH p AS (SELECT customer_id, count(*) AS deposits, {avg("amount")} AS avg_deposit, stddev_samp(CAST(amount AS DOUBLE)) AS sd, sum(amount) AS tot FROM direct_deposits GROUP BY 1),
 l AS (SELECT customer_id, {avg("amount")} AS expected_next FROM (SELECT * FROM direct_deposits QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY deposit_date DESC, deposit_id DESC) <= 6) GROUP BY 1)
 SELECT customer_id, deposits, avg_deposit, round({_CV}, 6) AS variation, expected_next, CASE WHEN {_CV} IS NULL THEN 'UNKNOWN' WHEN {_CV} < 0.4 THEN 'STABLE' ELSE 'VARIABLE' END AS income,
-  least(500.0::DOUBLE, round(tot * 0.1, 2)) AS advance_limit FROM p JOIN l USING (customer_id)""")
+  CAST(least(500, round(tot * 0.1, 2)) AS DOUBLE) AS advance_limit FROM p JOIN l USING (customer_id)""")
 
 ask("q_compliance_score", q.compliance_score, f"""
 WITH e AS (SELECT customer_id, count(CASE WHEN event_type = 'SAR' THEN 1 END) AS s, count(CASE WHEN event_type = 'CTR' THEN 1 END) AS t FROM compliance_events GROUP BY 1),
