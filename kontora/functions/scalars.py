@@ -123,6 +123,16 @@ def slope(y: ColumnLike, x: ColumnLike) -> Column:
     return F.try_divide(n * total(x * y) - total(x) * total(y), n * total(x * x) - total(x) * total(x))
 
 
+def corr(y: ColumnLike, x: ColumnLike) -> Column:
+    """Correlation over rows where both are set; NULL where one side does not vary.
+
+    The built-in raises a division error there.
+    """
+    both = col(y).isNotNull() & col(x).isNotNull()
+    y, x = F.when(both, col(y).cast("double")), F.when(both, col(x).cast("double"))
+    return F.try_divide(F.covar_pop(y, x), F.stddev_pop(y) * F.stddev_pop(x))
+
+
 def count_if(test: Column) -> Column:
     return F.count(F.when(test, F.lit(1)))
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from kontora.functions.scalars import (
-    band, count_if, date_diff, day, days_before, flag, is_weekend, mean, moment, ratio, slope, sum_if,
+    band, corr, count_if, date_diff, day, days_before, flag, is_weekend, mean, moment, ratio, slope, sum_if,
 )
 from kontora.operators.aggregates import connected_groups, exact_percentiles
 from kontora.operators.joins import Child, join_children, shared_attribute_links
@@ -42,7 +42,7 @@ def ltv_by_channel(b) -> DataFrame:
         F.count("*").alias("customers"), mean("lifetime_value").alias("avg_ltv"), mean("kept").alias("retention")
     )
     link = base.groupBy("acquisition_channel").agg(
-        F.round(F.corr(F.col("has_direct_deposit").cast("double"), F.col("kept").cast("double")), 6).alias("deposit_retention_corr")
+        F.round(corr(F.col("has_direct_deposit").cast("int"), "kept"), 6).alias("deposit_retention_corr")
     )
     return grouped.join(link, "acquisition_channel")
 
@@ -56,7 +56,7 @@ def advance_default(b) -> DataFrame:
     return rows.groupBy("score_band").agg(
         F.count("*").alias("advances"), mean(flag(bad)).alias("default_rate"), mean("advance_amount").alias("avg_amount"),
         fees.alias("fees_collected"), lost.alias("default_volume"), (fees - lost).alias("profit"),
-        F.round(F.corr("avg_deposit", flag(paid).cast("double")), 6).alias("deposit_repay_corr"),
+        F.round(corr("avg_deposit", flag(paid)), 6).alias("deposit_repay_corr"),
         mean(F.when(bad, date_diff("day", "advance_date", "repayment_date"))).alias("avg_days_to_default"),
     )
 
@@ -201,7 +201,7 @@ def savings_growth(b) -> DataFrame:
     age = date_diff("day", "opening_date", day(b.as_of)).cast("double")
     return b.accounts.where("account_type = 'SAVINGS'").groupBy("apy_rate").agg(
         F.count("*").alias("accounts"), mean("current_balance").alias("avg_balance"), mean(flag(F.col("auto_save_enabled"))).alias("auto_save_share"),
-        F.round(F.corr(F.col("current_balance").cast("double"), age), 6).alias("balance_age_corr"),
+        F.round(corr("current_balance", age), 6).alias("balance_age_corr"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kontora.functions import scalars as S
 from kontora.operators.aggregates import exact_percentiles, histogram
-from kontora.queries.base import NOW, TODAY, avg, query, share0, total
+from kontora.queries.base import NOW, TODAY, avg, corr, query, share0, total
 
 _SECS = "date_diff('second', compute_start, compute_end)"
 
@@ -243,13 +243,14 @@ def having(b):
     return b.transactions.groupBy("customer_id").agg(F.count("*").alias("n"), S.mean("fraud_score").alias("score")).where("n > 70 OR score > 0.55")
 
 
-@query("agg_corr", """
-SELECT transaction_category, round(corr(CAST(amount AS DOUBLE), CAST(fraud_score AS DOUBLE)), 6) AS r, round(covar_samp(CAST(amount AS DOUBLE), CAST(fraud_score AS DOUBLE)), 4) AS cov,
-  round(regr_slope(CAST(amount AS DOUBLE), CAST(fraud_score AS DOUBLE)), 4) AS slope FROM transactions GROUP BY 1""")
+@query("agg_corr", f"""
+SELECT transaction_category, round({corr("CAST(amount AS DOUBLE)", "CAST(fraud_score AS DOUBLE)")}, 6) AS r, round(covar_samp(CAST(amount AS DOUBLE), CAST(fraud_score AS DOUBLE)), 4) AS cov,
+  (CAST(count(*) AS DOUBLE) * {total("amount * fraud_score")} - {total("fraud_score")} * {total("amount")})
+    / nullif(CAST(count(*) AS DOUBLE) * {total("fraud_score * fraud_score")} - {total("fraud_score")} * {total("fraud_score")}, 0) AS slope FROM transactions GROUP BY 1""")
 def agg_corr(b):
     x, y = F.col("fraud_score").cast("double"), F.col("amount").cast("double")
     return b.transactions.groupBy("transaction_category").agg(
-        F.round(F.corr(y, x), 6).alias("r"), F.round(F.covar_samp(y, x), 4).alias("cov"), F.round(F.regr_slope(y, x), 4).alias("slope")
+        F.round(S.corr(y, x), 6).alias("r"), F.round(F.covar_samp(y, x), 4).alias("cov"), S.slope("amount", "fraud_score").alias("slope")
     )
 
 

@@ -116,11 +116,11 @@ FROM events"""
 TABLE_SQL["session_rows"] = """
 SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session_no FROM session_marks"""
 TABLE_SQL["device_sessions"] = f"""
-SELECT concat_ws('-', CAST(user_id AS VARCHAR), CAST(CAST(epoch(min(ts)) AS BIGINT) AS VARCHAR)) AS session_id,
+SELECT concat_ws('-', CAST(user_id AS VARCHAR), CAST(CAST(floor(epoch(min(ts))) AS BIGINT) AS VARCHAR)) AS session_id,
        user_id AS customer_id, concat('D', CAST(user_id % 40 AS VARCHAR)) AS device_id,
        CASE user_id % 3 WHEN 0 THEN 'IOS' WHEN 1 THEN 'ANDROID' ELSE 'WEB' END AS device_type,
        concat('10.0.0.', CAST(user_id % 60 AS VARCHAR)) AS ip_address,
-       concat('S', CAST(CAST(epoch(min(ts)) AS BIGINT) % 5 AS VARCHAR)) AS geolocation,
+       concat('S', CAST(CAST(floor(epoch(min(ts))) AS BIGINT) % 5 AS VARCHAR)) AS geolocation,
        min(ts) AS session_start, max(ts) AS session_end, count(*) AS actions,
        bool_or({DUCKDB.k} % 2 = 0) AS biometric_used, bool_or(event_type = 'error') AS suspicious_activity_flag
 FROM session_rows GROUP BY user_id, session_no"""
@@ -167,6 +167,12 @@ def total(expr: str) -> str:
     return f"CAST(sum({expr}) AS DOUBLE)"
 
 
+def corr(y: str, x: str) -> str:
+    """Over rows where both are set; neither may be an aggregate."""
+    ys, xs = (f"CASE WHEN ({y}) IS NOT NULL AND ({x}) IS NOT NULL THEN CAST({e} AS DOUBLE) END" for e in (y, x))
+    return f"(covar_pop({ys}, {xs}) / nullif(stddev_pop({ys}) * stddev_pop({xs}), 0))"
+
+
 def share0(top: str, bottom: str) -> str:
     return (
         f"CASE WHEN coalesce(CAST({bottom} AS DOUBLE), 0) = 0 THEN 0.0::DOUBLE "

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from kontora.plans import questions as q
-from kontora.queries.base import NOW, TODAY, avg, query, total
+from kontora.queries.base import NOW, TODAY, avg, corr, query, total
 from kontora.queries.health import DRIFT
 from kontora.queries.views import _C360, _c360
 
@@ -24,14 +24,14 @@ ask("q_ltv_by_channel", q.ltv_by_channel, f"""
 WITH x AS (SELECT c.customer_id, acquisition_channel, lifetime_value, {_flag("customer_status = 'ACTIVE'")} AS kept,
   c.customer_id IN (SELECT customer_id FROM direct_deposits) AS has_direct_deposit, (SELECT count(*) FROM accounts a WHERE a.customer_id = c.customer_id) AS product_count FROM customers c)
 SELECT g.*, l.r AS deposit_retention_corr FROM (SELECT acquisition_channel, product_count, has_direct_deposit, count(*) AS customers, {avg("lifetime_value")} AS avg_ltv, {avg("kept")} AS retention FROM x GROUP BY 1, 2, 3) g
-JOIN (SELECT acquisition_channel, round(corr(CAST(has_direct_deposit AS INT), kept), 6) AS r FROM x GROUP BY 1) l USING (acquisition_channel)""")
+JOIN (SELECT acquisition_channel, round({corr("CAST(has_direct_deposit AS INT)", "kept")}, 6) AS r FROM x GROUP BY 1) l USING (acquisition_channel)""")
 
 _PAID = "CASE WHEN advance_status = 'REPAID' THEN fee_amount ELSE 0 END"
 _LOST = "CASE WHEN advance_status = 'DEFAULTED' THEN advance_amount ELSE 0 END"
 ask("q_advance_default", q.advance_default, f"""
 SELECT {_band("credit_score")} AS score_band, count(*) AS advances, {avg(_flag("advance_status = 'DEFAULTED'"))} AS default_rate, {avg("advance_amount")} AS avg_amount,
   {total(_PAID)} AS fees_collected, {total(_LOST)} AS default_volume, CAST(sum({_PAID}) - sum({_LOST}) AS DOUBLE) AS profit,
-  round(corr(d.a, {_flag("advance_status = 'REPAID'")}), 6) AS deposit_repay_corr, {avg("CASE WHEN advance_status = 'DEFAULTED' THEN date_diff('day', advance_date, repayment_date) END")} AS avg_days_to_default
+  round({corr("d.a", _flag("advance_status = 'REPAID'"))}, 6) AS deposit_repay_corr, {avg("CASE WHEN advance_status = 'DEFAULTED' THEN date_diff('day', advance_date, repayment_date) END")} AS avg_days_to_default
 FROM cash_advances v JOIN customers c USING (customer_id) LEFT JOIN (SELECT customer_id, {avg("amount")} AS a FROM direct_deposits GROUP BY 1) d USING (customer_id) GROUP BY 1""")
 
 ask("q_fraud_24h", q.fraud_24h, f"""
@@ -90,7 +90,7 @@ SELECT CASE WHEN dayofweek(transaction_date) IN (0, 6) THEN 'WEEKEND' ELSE 'WEEK
 
 ask("q_savings_growth", q.savings_growth, f"""
 SELECT CAST(apy_rate AS DOUBLE) AS apy_rate, count(*) AS accounts, {avg("current_balance")} AS avg_balance, {avg(_flag("auto_save_enabled"))} AS auto_save_share,
-  round(corr(CAST(current_balance AS DOUBLE), date_diff('day', opening_date, {TODAY})), 6) AS balance_age_corr FROM accounts WHERE account_type = 'SAVINGS' GROUP BY 1""")
+  round({corr("current_balance", f"date_diff('day', opening_date, {TODAY})")}, 6) AS balance_age_corr FROM accounts WHERE account_type = 'SAVINGS' GROUP BY 1""")
 
 ask("q_international", q.international, f"SELECT is_international, merchant_state, count(*) AS transactions, {total('abs(amount)')} AS volume, {avg(_flag('fraud_score > 0.7'))} AS fraud_rate FROM transactions GROUP BY 1, 2")
 
