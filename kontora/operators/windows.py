@@ -141,12 +141,16 @@ def carried(
     )
 
 
-def over_key(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column]) -> DataFrame:
+def over_key(
+    df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column], source: DataFrame | None = None
+) -> DataFrame:
     """Whole-key aggregates on every row, as a grouped result joined back.
 
     The grouping combines on the map side and the join may be split by adaptive
-    execution, which a window over the key cannot.
+    execution, which a window over the key cannot. ``source`` holds the same rows
+    before other steps were added to ``df``, so these are not computed twice.
     """
-    work = df.withColumn("__k", _key(keys))
-    grouped = work.groupBy("__k").agg(*[c.alias(n) for n, c in aggregates.items()])
-    return work.join(grouped, "__k").select(*df.columns, *aggregates)
+    grouped = (df if source is None else source).withColumn("__k", _key(keys)).groupBy("__k").agg(
+        *[c.alias(n) for n, c in aggregates.items()]
+    )
+    return df.withColumn("__k", _key(keys)).join(grouped, "__k").select(*df.columns, *aggregates)

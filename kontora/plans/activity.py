@@ -52,7 +52,7 @@ def cash_advance_analytics(b, as_of: dt.date | None = None) -> DataFrame:
         lambda w: {"previous_advance_date": F.lag("advance_date").over(w)},
         number="advance_sequence_number",
     )
-    history = over_key(history, ["customer_id"], {"total_advances_by_customer": F.count("*")})
+    history = over_key(history, ["customer_id"], {"total_advances_by_customer": F.count("*")}, source=b.cash_advances)
     who = b.customers.select(
         "customer_id", F.concat_ws(" ", "first_name", "last_name").alias("customer_name"),
         "credit_score", "income_verified",
@@ -81,7 +81,8 @@ def direct_deposit_analytics(b) -> DataFrame:
             "_prev": F.lag("deposit_date").over(w),
         },
     )
-    steady = over_key(moving, keys, {"amount_volatility": F.stddev_samp(F.col("amount").cast("double"))})
+    volatility = F.stddev_samp(F.col("amount").cast("double"))
+    steady = over_key(moving, keys, {"amount_volatility": volatility}, source=b.direct_deposits)
     who = b.customers.select("customer_id", F.concat_ws(" ", "first_name", "last_name").alias("customer_name"))
     return steady.join(who, "customer_id").withColumns({
         "days_early": date_diff("day", "expected_date", "deposit_date"),

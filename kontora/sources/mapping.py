@@ -270,12 +270,3 @@ MAPPING["transactions_large"] = Mapped("lineitem", {
     "transaction_date": "CAST(l_shipdate AS DATE)",
     "amount": f"CAST(l_extendedprice AS {MONEY})",
 })
-
-MAPPING["accounts_large"] = Mapped("orders", {
-    "account_id": "o_orderkey",
-    "customer_id": "o_custkey",
-    "current_balance": f"CAST(o_totalprice AS {MONEY})",
-    "account_type": "CASE WHEN o_orderpriority LIKE '1%' OR o_orderpriority LIKE '2%' THEN 'CHECKING' "
-                    "WHEN o_orderpriority LIKE '3%' THEN 'SAVINGS' ELSE 'BELIEVE_CARD' END",
-    "opening_date": "CAST(o_orderdate AS DATE)",
-})

@@ -136,11 +136,8 @@ class UpsertLog:
         if not entries:
             return None
         base = max((i for i, e in enumerate(entries) if e.token.startswith("base:")), default=0)
-        out = None
-        for e in entries[base:]:
-            part = self.spark.read.parquet(f"{self.log.root}/v{e.version}").withColumn("_version", F.lit(e.version))
-            out = part if out is None else out.unionByName(part)
-        return latest_per_key(out, self.keys, ["_version"]).drop("_version")
+        parts = self.spark.read.parquet(*[f"{self.log.root}/v{e.version}" for e in entries[base:]])
+        return latest_per_key(parts, self.keys, ["_version"]).drop("_version")
 
     def matching(self, rows: DataFrame) -> DataFrame | None:
         """Current rows of the keys that occur in ``rows``."""
@@ -150,12 +147,17 @@ class UpsertLog:
     def done(self, token: str) -> bool:
         return any(e.token.removeprefix("base:") == token for e in self._entries())
 
+    def _write(self, rows: DataFrame, token: str) -> None:
+        at = self.log.current()
+        version = 1 if at is None else at[0] + 1
+        self.log.publish(rows.withColumn("_version", F.lit(version)), token)
+
     def put(self, rows: DataFrame, token: str) -> None:
         if self.done(token):
             return
-        self.log.publish(rows, token)
+        self._write(rows, token)
         if len(self._entries()) % self.compact_every == 0:
-            self.log.publish(self.read(), f"base:{token}")
+            self._write(self.read(), f"base:{token}")
 
 
 def merge_rows(

@@ -63,3 +63,14 @@ def test_update_and_retention(spark):
     assert {r.id for r in kept.collect()} == {1, 3} and {r.id for r in old.collect()} == {2}
     changed = storage.update_where(df, F.col("t") < F.lit("2024-01-15").cast("timestamp_ntz"), {"id": F.lit(0)})
     assert sorted(r.id for r in changed.collect()) == [0, 1, 3]
+
+
+def test_every_declared_table_takes_an_append(spark):
+    from kontora.schemas import TABLES
+
+    root = scratch_path(spark, "all")
+    for name, table in TABLES.items():
+        df = spark.range(1).select(*[F.lit("1").cast("string").alias(k) for k in table.key if k != "feature_timestamp"])
+        storage.append_rows(df, f"{root}/{name}", name, NOW)
+        back = storage.scan_table(spark, f"{root}/{name}", name)
+        assert back.count() == 1 and back.columns == table.schema.names
