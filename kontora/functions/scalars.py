@@ -44,9 +44,6 @@ def month_earlier(as_of: dt.date) -> dt.date:
     return dt.date(year, month, min(as_of.day, calendar.monthrange(year, month)[1]))
 
 
-_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
-
-
 def date_diff(unit: str, start: ColumnLike, end: ColumnLike) -> Column:
     """Number of unit boundaries crossed from start to end.
 
@@ -59,14 +56,22 @@ def date_diff(unit: str, start: ColumnLike, end: ColumnLike) -> Column:
     if unit in ("month", "year"):
         years = F.year(end) - F.year(start)
         return years if unit == "year" else years * 12 + F.month(end) - F.month(start)
+    return _clock_index(unit, end) - _clock_index(unit, start)
+
+
+def _clock_index(unit: str, c: Column) -> Column:
+    """Number of the unit a wall-clock time lies in, without going through a time zone."""
+    hours = F.datediff(c, F.lit(dt.date(1970, 1, 1))).cast("long") * 24 + F.hour(c)
+    if unit == "hour":
+        return hours
+    minutes = hours * 60 + F.minute(c)
+    if unit == "minute":
+        return minutes
+    if unit == "second":
+        return minutes * 60 + F.second(c)
     if unit == "millisecond":
-        return F.unix_millis(end.cast("timestamp")) - F.unix_millis(start.cast("timestamp"))
-    size = _SECONDS[unit]
-
-    def index(c: Column) -> Column:
-        return F.floor(F.unix_seconds(c.cast("timestamp")) / size)
-
-    return index(end) - index(start)
+        return minutes * 60000 + F.floor(F.date_part(F.lit("SECOND"), c) * 1000).cast("long")
+    raise ValueError(unit)
 
 
 def ratio0(top: ColumnLike, bottom: ColumnLike) -> Column:

@@ -22,6 +22,23 @@ def test_date_diff_counts_boundaries(spark):
     assert one(spark, S.date_diff("minute", b, a), S.date_diff("millisecond", a, b)) == (-1, 2000)
 
 
+def test_date_diff_does_not_depend_on_the_session_zone(spark):
+    a, b = ts("2024-03-10 00:30:00.250"), ts("2024-03-10 05:15:00.5")  # clocks change in New York that night
+    units = ["hour", "minute", "second", "millisecond", "day"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert one(spark, *[S.date_diff(u, a, b) for u in units]) == (5, 285, 17100, 17100250, 0)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_constant_side_has_no_correlation(spark):
+    df = spark.createDataFrame([(1, 2.0, 5), (1, 4.0, 7), (1, 6.0, 9), (1, None, 1)], "k int, x double, y int")
+    r = df.agg(S.corr("k", "x").alias("c"), S.corr("y", "x").alias("d"), S.slope("y", F.col("x").cast("int")).alias("s")).first()
+    assert r.c is None and abs(r.d - 1) < 1e-12 and r.s == 1.0
+
+
 def test_ratios(spark):
     n = F.lit(None).cast("int")
     assert one(spark, S.ratio0(F.lit(4), F.lit(0)), S.ratio0(F.lit(4), n), S.ratio0(F.lit(1), F.lit(4))) == (0.0, 0.0, 0.25)
