@@ -52,6 +52,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def in_order(df: DataFrame, *order: Column) -> DataFrame:
+    """Stored rows with ``part`` and ``at``: both grow with the order, and parts hold about as many rows each."""
+    spread = df.repartitionByRange(partitions(df.sparkSession), *order).sortWithinPartitions(*order)
+    at = F.monotonically_increasing_id()
+    return stored(spread.select("*", F.shiftright(at, 33).alias("part"), at.alias("at")), "ordered")
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once per row, also where the body's lambdas use it."""
     return F.element_at(F.transform(F.array(value), body), 1)
