@@ -149,7 +149,7 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> Da
     epochs = parts.groupBy("d", "h", "copy").agg(F.sort_array(F.collect_list(F.struct("epoch", "n", "cuts"))).alias("epochs"))
     chosen = stored(epochs.join(at.select("d", "h", "copy", "size"), ["d", "h", "copy"]), "chosen")
     body = packed(docs).withColumn("copy", F.row_number().over(Window.partitionBy("d", "h").orderBy(F.col("row.source"))))
-    body = body.join(chosen, ["d", "h", "copy"]).withColumn("tokens", F.regexp_extract_all("row.text", F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), F.lit(0)))
+    body = body.join(chosen.hint("merge"), ["d", "h", "copy"]).withColumn("tokens", F.regexp_extract_all("row.text", F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), F.lit(0)))
     body = body.withColumn("e", F.explode("epochs"))
     some = let(F.col("tokens"), lambda t: F.array_join(F.transform("e.cuts", lambda c: F.array_join(F.slice(t, (c["low"] + 1).cast("int"), c["words"].cast("int")), "")), ""))
     text = F.when(F.col("e.n") == F.col("size"), F.col("row.text")).otherwise(some)

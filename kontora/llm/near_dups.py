@@ -1,10 +1,11 @@
 """Near-duplicate documents by SetSketch registers: banding, joint likelihood, exact confirmation.
 
-Every document's set of word shingles becomes 128 registers: the least of exponential variates per register, rounded on a
+Every document's set of word shingles becomes 256 registers: the least of exponential variates per register, rounded on a
 logarithmic scale. Equal sets give equal registers, so copies are folded into one representative first. Bands of four
-registers deal the representatives into buckets. In a bucket everyone is compared with one leader, the member that meets
-most others overall; only members that this leaves outside the bucket's largest component are compared with the rest. A pair
-is first judged by the likelihood of its registers, five standard deviations below the threshold, then by its whole sets.
+registers, from the first half, deal the representatives into buckets. In a bucket everyone is compared with one leader, the
+member that meets most others overall; only members that this leaves outside the bucket's largest component are compared with
+the rest, in blocks of registers, each pair in the first bucket that it shares. A pair is first judged by the likelihood of its
+registers, 4.5 standard deviations below the threshold, then by its whole sets.
 """
 
 from __future__ import annotations
@@ -14,18 +15,21 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from kontora.llm.common import SPACE, Scan, id_of, keyed, mix, packed, stored, texts
 from kontora.llm.components import components
 
-REGISTERS = 128
+REGISTERS = 256
 BAND = 4
+BANDS = 32
 BASE = 1.001
 RATE = 20.0
 TOP = (1 << 16) - 1
-#: A pair whose likeliest similarity is this far below the threshold is not worth reading its texts: 5 standard deviations.
-MARGIN = 5 * 0.4 / REGISTERS**0.5
+#: A pair whose likeliest similarity is this far below the threshold is not worth reading its texts: 4.5 standard deviations.
+MARGIN = 4.5 * 0.4 / REGISTERS**0.5
+#: Members of a bucket that are compared at a time, with so many of the others.
+OTHERS, MEMBERS = 64, 512
 
 
 def shingle_sets(blobs: list[bytes], width: int) -> list[np.ndarray]:
@@ -108,7 +112,7 @@ def _sketcher(width: int):
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """``d, h, n`` (set size), ``s1, s2`` (hash of the set) and ``bands`` (the registers, four to a long) of every row."""
+    """``d, h, n`` (set size), ``s1, s2`` (hash of the set) and ``bands`` (all registers, four to a long) of every row."""
     return docs.select("d", "h", F.col("text").cast("binary").alias("text")).mapInArrow(_sketcher(width), _SKETCH_SCHEMA)
 
 
@@ -167,17 +171,76 @@ def _confirm(width: int, percent: int):
 
 
 _PAIR = "ad long, ah long, bd long, bh long"
-def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` that the registers allow and the whole sets confirm."""
+def _starred(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The keys of the pairs ``a, b`` that their registers allow."""
     ra = reps.select(F.col("v").alias("a"), F.col("n").alias("na"), F.col("bands").alias("ra"))
     rb = reps.select(F.col("v").alias("b"), F.col("n").alias("nb"), F.col("bands").alias("rb"))
-    sized = pairs.join(ra, "a").join(rb, "b").filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
-    likely = sized.select("a.d", "a.h", "b.d", "b.h", "na", "nb", "ra", "rb").toDF("ad", "ah", "bd", "bh", "na", "nb", "ra", "rb")
-    likely = stored(likely.mapInPandas(_likely(percent), _PAIR), "likely")
+    sized = pairs.join(ra.hint("merge"), "a").join(rb.hint("merge"), "b").filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
+    sized = sized.select("a.d", "a.h", "b.d", "b.h", "na", "nb", "ra", "rb").toDF("ad", "ah", "bd", "bh", "na", "nb", "ra", "rb")
+    return sized.mapInPandas(_likely(percent), _PAIR)
+
+
+def _blocked(percent: int):
+    low = percent / 100 - MARGIN
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                band = batch.column("band")[k].as_py()
+                one, two = (_table(batch.column(c)[k].values) for c in ("others", "members"))
+                d1, h1, c1, n1, r1, _ = one
+                d2, h2, c2, n2, r2, main = two
+                on = 100 * np.minimum(n1[:, None], n2[None, :]) >= percent * np.maximum(n1[:, None], n2[None, :])
+                on &= c1[:, None] != c2[None, :]
+                earlier = (d1[:, None] < d2[None, :]) | ((d1[:, None] == d2[None, :]) & (h1[:, None] < h2[None, :]))
+                on &= main[None, :] | earlier
+                i, j = np.nonzero(on)
+                first = (r1[i, :BANDS] == r2[j, :BANDS]).argmax(axis=1) == band
+                i, j = i[first], j[first]
+                keep = [np.zeros(0, np.int64)]
+                for at in range(0, len(i), 1000):
+                    a, b = i[at : at + 1000], j[at : at + 1000]
+                    near = likeliest(r1[a].view(np.uint16), r2[b].view(np.uint16), n1[a].astype(float), n2[b].astype(float)) >= low
+                    keep.append(at + np.flatnonzero(near))
+                i, j = i[np.concatenate(keep)], j[np.concatenate(keep)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (d1[i], h1[i], d2[j], h2[j])], names=["ad", "ah", "bd", "bh"])
+
+    return run
+
+
+def _table(rows: pa.StructArray) -> list[np.ndarray]:
+    columns = [np.asarray(rows.field(c)) for c in ("d", "h", "c", "n")]
+    return [*columns, np.asarray(rows.field("bands").flatten()).reshape(len(rows), -1), np.asarray(rows.field("main").to_pylist(), bool)]
+
+
+def _rest(own: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs of members of a bucket that lie in different components, but for pairs inside its largest component.
+
+    A bucket is cut into blocks of members and blocks of those outside the largest component; a row holds one block of each.
+    """
+    shares = own.groupBy("band", "value", "comp").agg(F.count("*").alias("n"))
+    mixed = shares.groupBy("band", "value").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("comps"))
+    mixed = stored(mixed.filter("comps > 1").select("band", "value", F.col("top.comp").alias("most"), F.col("top.n").alias("inside"), "all"), "mixed")
+    some = own.join(mixed, ["band", "value"]).join(reps.select("v", "n", "bands").hint("merge"), "v")
+    row = F.struct(F.col("v.d").alias("d"), F.col("v.h").alias("h"), F.xxhash64("comp").alias("c"), "n", "bands", (F.col("comp") == F.col("most")).alias("main"))
+    some = stored(some.select("band", "value", "inside", "all", row.alias("row")), "some")
+
+    def block(size: int, count: Column) -> Column:
+        return F.pmod(F.xxhash64("row.h", F.lit(size)), F.ceil(count / size))
+
+    members = some.groupBy("band", "value", block(MEMBERS, F.col("all")).alias("block")).agg(F.collect_list("row").alias("members")).drop("block")
+    others = some.filter("not row.main").groupBy("band", "value", block(OTHERS, F.col("all") - F.col("inside")).alias("block")).agg(F.collect_list("row").alias("others")).drop("block")
+    pairs = stored(others, "others").join(stored(members, "blocks").hint("merge"), ["band", "value"])
+    return pairs.select("band", "others", "members").mapInArrow(_blocked(percent), _PAIR)
+
+
+def _confirmed(likely: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` among likely ones whose whole sets are linked."""
     ends = likely.select("ad", "ah").union(likely.select("bd", "bh")).toDF("d", "h").distinct()
     # a repeated row would double its pairs
-    read = stored(docs.select("d", "h", F.col("text").cast("binary").alias("text")).join(ends, ["d", "h"]).dropDuplicates(["d", "h"]), "texts")
-    both = likely.join(read.toDF("ad", "ah", "ta"), ["ad", "ah"]).join(read.toDF("bd", "bh", "tb"), ["bd", "bh"])
+    body = docs.select("d", "h", F.col("text").cast("binary").alias("text")).join(ends.hint("merge"), ["d", "h"])
+    read = stored(body.dropDuplicates(["d", "h"]), "texts")
+    both = likely.join(read.toDF("ad", "ah", "ta").hint("merge"), ["ad", "ah"]).join(read.toDF("bd", "bh", "tb").hint("merge"), ["bd", "bh"])
     sure = both.select("ad", "ah", "bd", "bh", "ta", "tb").mapInArrow(_confirm(width, percent), _PAIR)
     return stored(sure.select(F.struct(F.col("ad").alias("d"), F.col("ah").alias("h")).alias("a"), F.struct(F.col("bd").alias("d"), F.col("bh").alias("h")).alias("b")), "links")
 
@@ -194,31 +257,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     reps = stored(
         every.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min(F.struct("d", "h")).alias("v"), F.first("bands").alias("bands")), "reps"
     )
-    dealt = reps.select("v", F.posexplode("bands").alias("band", "value"))
+    dealt = reps.select("v", F.posexplode(F.slice("bands", 1, BANDS)).alias("band", "value"))
     full = stored(dealt.groupBy("band", "value").agg(F.count("*").alias("size")).filter("size > 1"), "buckets")
-    members = stored(dealt.join(full, ["band", "value"]), "members")
+    members = stored(dealt.join(full.hint("merge"), ["band", "value"]), "members")
     degree = stored(members.groupBy("v").agg(F.sum("size").alias("degree")), "degree")
     leaders = stored(
         members.join(degree, "v").groupBy("band", "value").agg(F.min(F.struct((-F.col("degree")).alias("rank"), "v")).getField("v").alias("a")), "leaders"
     )
-    stars = stored(members.join(leaders, ["band", "value"]).filter("a != v").select("a", F.col("v").alias("b")).distinct(), "stars")
-    links = _linked(stars, reps, docs, width, percent)
+    stars = members.join(leaders, ["band", "value"]).filter("a != v").select("a", F.col("v").alias("b")).distinct()
+    links = _confirmed(stored(_starred(stars, reps, percent), "likely"), docs, width, percent)
     comps = stored(components(links), "components")
-
-    own = members.join(comps, "v", "left").select("band", "value", "v", F.coalesce("comp", "v").alias("comp"))
-    own = stored(own, "owned")
-    shares = own.groupBy("band", "value", "comp").agg(F.count("*").alias("n"))
-    mixed = stored(
-        shares.groupBy("band", "value").agg(F.max(F.struct("n", "comp")).getField("comp").alias("main"), F.count("*").alias("comps")).filter("comps > 1"), "mixed"
-    )
-    some = stored(own.join(mixed, ["band", "value"]), "some")
-    left = some.filter("comp != main").select("band", "value", F.col("v").alias("a"), F.col("comp").alias("ca"))
-    rest = left.join(some.select("band", "value", F.col("v").alias("b"), F.col("comp").alias("cb")), ["band", "value"]).filter("ca != cb")
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stored(rest.join(done, ["a", "b"], "left_anti"), "rest")
+    own = stored(members.join(comps, "v", "left").select("band", "value", "v", F.coalesce("comp", "v").alias("comp")), "owned")
+    rest = stored(_rest(own, reps, percent), "rest")
     if not rest.isEmpty():
-        more = _linked(rest, reps, docs, width, percent)
+        more = _confirmed(rest, docs, width, percent)
         if not more.isEmpty():
             comps = stored(components(links.union(more)), "components")
 
@@ -240,4 +292,4 @@ def report(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose document is the least of its component."""
     keep = near_duplicates(docs, width, percent).filter("d = cd and h = ch").select("d", "h").distinct()
-    return packed(docs).join(stored(keep, "keep"), ["d", "h"], "left_semi").select("row.*")
+    return packed(docs).join(stored(keep, "keep").hint("merge"), ["d", "h"], "left_semi").select("row.*")

@@ -179,4 +179,4 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted to be toxic."""
     toxic = stored(scored(docs, train(docs, labels)).filter("score >= 0.5").select("d", "h").distinct(), "toxic")
-    return packed(docs).join(toxic, ["d", "h"], "left_anti").select("row.*")
+    return packed(docs).join(toxic.hint("merge"), ["d", "h"], "left_anti").select("row.*")
