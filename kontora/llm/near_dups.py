@@ -1,8 +1,8 @@
 """Near-duplicate documents by SetSketch registers: banding, joint likelihood, exact confirmation.
 
-Every document's set of word shingles becomes 256 registers: the least of exponential variates per register, rounded on a
+Every document's set of word shingles becomes 512 registers: the least of exponential variates per register, rounded on a
 logarithmic scale. Equal sets give equal registers, so copies are folded into one representative first. Bands of four
-registers, from the first half, deal the representatives into buckets. In a bucket everyone is compared with one leader, the
+registers, from the first quarter, deal the representatives into buckets. In a bucket everyone is compared with one leader, the
 member that meets most others overall; only members that this leaves outside the bucket's largest component are compared with
 the rest, in blocks of registers, each pair in the first bucket that it shares. A pair is first judged by the likelihood of its
 registers, 4.5 standard deviations below the threshold, then by its whole sets.
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from kontora.llm.common import SPACE, Scan, id_of, keyed, mix, packed, stored, texts
 from kontora.llm.components import components
 
-REGISTERS = 256
+REGISTERS = 512
 BAND = 4
 BANDS = 32
 BASE = 1.001
