@@ -153,7 +153,7 @@ SQL = f"""
 WITH l AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS i, unnest(string_split(text, chr(10))) AS line FROM documents),
 m AS (SELECT doc_id, i, line, regexp_extract_all(line, '{_W}') AS w, len(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS sy,
              len(regexp_replace(line, '[^A-Z]', '', 'g')) AS up, len(regexp_replace(line, '[^a-z]', '', 'g')) AS lo FROM l),
-v AS (SELECT *, len(w) AS n, len(list_filter(w, x -> x IN ('|', '>', '»', '·'))) AS bars,
+v AS (SELECT *, len(w) AS n, len(list_filter(w, lambda x: x IN ('|', '>', '»', '·'))) AS bars,
              row_number() OVER (PARTITION BY doc_id, line ORDER BY i) > 1 AS dup FROM m WHERE len(w) > 0),
 b AS (SELECT *, 3 * sy > n OR (bars >= 3 AND 4 * bars >= n) OR (up >= 10 AND up > lo) OR (n >= 10 AND NOT regexp_matches(line, '[.,;:!?]'))
              OR (n <= 20 AND regexp_matches(line, '(?i){"|".join(BOILERPLATE)}')) AS bad FROM v),
@@ -162,7 +162,7 @@ w AS (SELECT doc_id, text, coalesce(regexp_extract_all(text, '{_W}'), []) AS w F
 g AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS p, w FROM w WHERE len(w) >= 8),
 g8 AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, list_slice(w, p, p + 7)) AS c FROM g),
 r AS (SELECT doc_id, count(DISTINCT p + k) AS n FROM g8, (SELECT unnest(range(8)) AS k) WHERE c > 1 GROUP BY doc_id),
-t AS (SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w.w, x -> length(x))), 0)::BIGINT AS word_chars,
+t AS (SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w.w, lambda x: length(x))), 0)::BIGINT AS word_chars,
              coalesce(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')), 0)::BIGINT AS n_symbols,
              coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, coalesce(n_bad_lines, 0) AS n_bad_lines, coalesce(n_bad_words, 0) AS n_bad_words
       FROM w LEFT JOIN lines USING (doc_id) LEFT JOIN r USING (doc_id))
