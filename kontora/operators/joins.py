@@ -82,7 +82,7 @@ def asof_join(
     task and no time range is ever cross joined. Needs one history row per key
     and time. ``ttl`` drops matches older than that.
     """
-    h = history.select(
+    h = history.where(F.col(history_time).isNotNull()).select(
         *keys,
         F.col(history_time).alias("_t"),
         F.lit(0).alias("_kind"),
@@ -102,7 +102,7 @@ def asof_join(
         h.unionByName(p),
         keys,
         ["_t", "_kind", probe_id],
-        F.date_trunc("minute", "_t"),
+        F.struct(F.date_trunc("minute", "_t").alias("p")),
         ["_matched", *values],
     ).where("_kind = 1")
     if ttl is not None:

@@ -9,8 +9,9 @@ may hold a third of the table, so ordered windows here are cut into slices:
   of a fixed row count and copies the few rows that a bounded frame needs from
   the chunk before.
 
-A slice is any column that never falls along the ordering, such as the hour of
-the timestamp together with a range of ids. Results equal the plain window.
+A slice is made of the leading order column alone (or a coarser form of it), so
+it never falls along the ordering, whatever the types of the columns behind it.
+Results equal the plain window.
 """
 
 from __future__ import annotations
@@ -21,14 +22,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kontora.functions.scalars import ColumnLike, col
+from kontora.session import shared_dir
 
 CHUNK_ROWS = 1 << 18
-ID_RANGE = 1 << 20
 
 
-def slice_of(period: ColumnLike, row_id: ColumnLike) -> Column:
-    """A slice no larger than ID_RANGE rows for ordering (period..., row_id)."""
-    return F.struct(col(period).alias("p"), F.floor(col(row_id) / ID_RANGE).alias("r"))
+def slice_of(period: ColumnLike) -> Column:
+    """A slice for orderings that begin with ``period`` or with a finer form of it.
+
+    As a struct, so that rows without a time have a slice of their own.
+    """
+    return F.struct(col(period).alias("p"))
+
+
+def positioned(df: DataFrame, order: Sequence[ColumnLike], name: str = "rn") -> DataFrame:
+    """Add the 1-based position of each row in the whole table.
+
+    Ranges of rows are sorted and numbered apart; one row per range, with its
+    count, shifts them. The ranges are checkpointed, so they are the same twice.
+    """
+    shared_dir(df.sparkSession)
+    by = [col(o) for o in order]
+    spread = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__i", F.monotonically_increasing_id()).checkpoint()
+    ranges = spread.groupBy(F.shiftright("__i", 33).alias("__p")).agg(F.count("*").alias("__n"), F.min("__i").alias("__low"))
+    shift = ranges.select("__p", "__low", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__before"))
+    out = spread.withColumn("__p", F.shiftright("__i", 33)).join(shift, "__p")
+    return out.select(*df.columns, (F.col("__i") - F.col("__low") + F.col("__before") + 1).alias(name))
 
 
 def _key(keys: Sequence[ColumnLike]) -> Column:

@@ -48,7 +48,7 @@ def cash_advance_analytics(b, as_of: dt.date | None = None) -> DataFrame:
     status, repaid, due = F.col("advance_status"), F.col("repayment_date"), F.col("due_date")
     history = framed(
         b.cash_advances.drop("created_at"), ["customer_id"], ["advance_date", "advance_id"],
-        slice_of("advance_date", "advance_id"), 1,
+        slice_of("advance_date"), 1,
         lambda w: {"previous_advance_date": F.lag("advance_date").over(w)},
         number="advance_sequence_number",
     )
@@ -73,7 +73,7 @@ def direct_deposit_analytics(b) -> DataFrame:
     keys = ["customer_id", "employer_name"]
     moving = framed(
         b.direct_deposits.drop("created_at"), keys, ["deposit_date", "deposit_id"],
-        slice_of("deposit_date", "deposit_id"), 11,
+        slice_of("deposit_date"), 11,
         lambda w: {
             "deposits_last_12": F.count("*").over(w.rowsBetween(-11, 0)),
             "_s6": F.sum("amount").over(w.rowsBetween(-5, 0)),
@@ -189,7 +189,7 @@ def with_previous(b, rows: DataFrame) -> DataFrame:
     """Add the customer's previous transaction time and city."""
     return framed(
         rows, ["customer_id"], ["transaction_timestamp", "transaction_id"],
-        slice_of(F.date_trunc("hour", "transaction_timestamp"), "transaction_id"), 1,
+        slice_of(F.date_trunc("minute", "transaction_timestamp")), 1,
         lambda w: {
             "prev_txn_time": F.lag("transaction_timestamp").over(w),
             "prev_merchant_city": F.lag("merchant_city").over(w),

@@ -368,7 +368,7 @@ def coverage(b, hours: int = 2, share: float = 0.95) -> DataFrame:
     )
 
 
-def recent_runs(logs: DataFrame, status: str | None = None, k: int = 20) -> DataFrame:
-    """Newest runs of the compute log."""
+def recent_runs(logs: DataFrame, status: str | None = None) -> DataFrame:
+    """Runs of the compute log, newest first."""
     rows = logs if status is None else logs.where(F.col("compute_status") == status)
-    return rows.orderBy(F.desc("compute_start"), F.desc("compute_id")).limit(k)
+    return rows.orderBy(F.desc("compute_start"), F.desc("compute_id"))

@@ -12,6 +12,7 @@ from kontora.functions.scalars import (
 from kontora.operators.aggregates import connected_groups, exact_percentiles
 from kontora.operators.joins import Child, join_children, shared_attribute_links
 from kontora.operators.ranking import top_per_key
+from kontora.operators.windows import numbered, over_key, running, slice_of
 from kontora.plans import activity, customers, monitoring, semantic
 from kontora.plans.retrieval import corpus, counted
 
@@ -79,17 +80,16 @@ def fraud_24h(b) -> DataFrame:
     return out.where("velocity_spike OR unusual_amount OR wide_geography")
 
 
-def fraud_merchants(b, k: int = 10) -> DataFrame:
-    return b.transactions.groupBy("merchant_name").agg(F.count("*").alias("transactions"), mean("fraud_score").alias("avg_fraud_score")).orderBy(
-        F.desc("avg_fraud_score"), "merchant_name"
-    ).limit(k)
+def fraud_merchants(b) -> DataFrame:
+    """Every merchant's transactions and mean risk."""
+    return b.transactions.groupBy("merchant_name").agg(F.count("*").alias("transactions"), mean("fraud_score").alias("avg_fraud_score"))
 
 
-def feature_cost(b, k: int = 5) -> DataFrame:
-    """The most expensive features."""
+def feature_cost(b) -> DataFrame:
+    """What every feature costs."""
     return b.feature_compute_logs.groupBy("feature_id").agg(
         F.sum("credits_used").alias("credits"), mean(date_diff("second", "compute_start", "compute_end")).alias("avg_seconds"), F.count("*").alias("runs")
-    ).orderBy(F.desc("credits"), "feature_id").limit(k)
+    )
 
 
 def deposit_loss(b) -> DataFrame:
@@ -236,26 +236,26 @@ def drift_by_segment(b, days: int = 7) -> DataFrame:
 
 
 def attribution(b) -> DataFrame:
-    """First-touch, last-touch and linear credit of each customer's first conversion.
+    """First-touch, last-touch and linear credit of every conversion.
 
-    The touches of one customer are never lined up: first and last are aggregates,
-    and the linear share needs only their number.
+    A conversion's path is the customer's touches up to and with it. A touch's linear credit is 1 / n for each conversion
+    from it on, n being that conversion's place: the customer's total less what ran up before the touch.
     """
+    order = ["sent_at", "customer_campaign_id"]
     t = b.customer_campaigns.select("customer_id", "campaign_id", "customer_campaign_id", "sent_at", "converted", "conversion_value")
-    order = F.struct("sent_at", "customer_campaign_id")
-    first_sale = t.where("converted").groupBy("customer_id").agg(F.min("sent_at").alias("sold_at"), F.min_by("conversion_value", order).alias("sold_for"))
-    path = t.join(first_sale, "customer_id").where("sent_at <= sold_at")
-    per = path.groupBy("customer_id").agg(
-        F.count("*").alias("touches"), F.min_by("campaign_id", order).alias("first_campaign"), F.max_by("campaign_id", order).alias("last_campaign"),
-        F.min("sent_at").alias("first_at"), F.max("sold_at").alias("sold_at"), F.max("sold_for").alias("sold_for"),
-    )
-    linear = path.join(per.select("customer_id", "touches"), "customer_id").groupBy("campaign_id").agg(
-        F.round(F.sum(F.lit(1.0) / F.col("touches")), 6).alias("linear_credit")
-    )
-    first = per.groupBy(F.col("first_campaign").alias("campaign_id")).agg(
-        F.count("*").alias("first_touch"), F.sum("sold_for").alias("first_touch_value"), mean(date_diff("hour", "first_at", "sold_at")).alias("avg_hours_to_convert")
+    t = numbered(t, ["customer_id"], order, slice_of("sent_at"), "place")
+    t = t.withColumn("share", F.when(F.col("converted"), F.lit(1.0) / F.col("place")).otherwise(0.0))
+    t = running(t, ["customer_id"], order, slice_of("sent_at"), {"so_far": "share"})
+    path = over_key(t, ["customer_id"], {
+        "shares": F.sum("share"), "first_at": F.min("sent_at"), "first_campaign": F.min_by("campaign_id", F.struct(*order)),
+    })
+    credit = F.greatest(F.lit(0.0), F.round(F.sum(F.col("shares") - F.col("so_far") + F.col("share")), 6))
+    linear = path.groupBy("campaign_id").agg(credit.alias("linear_credit"))
+    sales = path.where("converted")
+    first = sales.groupBy(F.col("first_campaign").alias("campaign_id")).agg(
+        F.count("*").alias("first_touch"), F.sum("conversion_value").alias("first_touch_value"), mean(date_diff("hour", "first_at", "sent_at")).alias("avg_hours_to_convert")
     )
-    last = per.groupBy(F.col("last_campaign").alias("campaign_id")).agg(F.count("*").alias("last_touch"), F.sum("sold_for").alias("last_touch_value"))
+    last = sales.groupBy("campaign_id").agg(F.count("*").alias("last_touch"), F.sum("conversion_value").alias("last_touch_value"))
     out = b.marketing_campaigns.select("campaign_id", "campaign_name", "budget")
     for part in (linear, first, last):
         out = out.join(part, "campaign_id", "left")

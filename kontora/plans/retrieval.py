@@ -12,15 +12,10 @@ from kontora.operators.ranking import top_per_key
 from kontora.session import shared_dir
 
 K1, B = 1.2, 0.75
-PART_TURNS = 256
 
 
 def assemble_transcripts(turns: DataFrame, interactions: DataFrame) -> DataFrame:
-    """Turns in order as text, one row per interaction and part of 256 turns.
-
-    The part bounds what is gathered for one row; no turn is dropped.
-    """
-    part = F.floor(F.col("turn") / PART_TURNS)
+    """Turns in order as text, one row per interaction, however many turns it has."""
     text = F.array_join(
         F.transform(
             F.sort_array(F.collect_list(F.struct("turn", "role", "text"))),
@@ -28,9 +23,9 @@ def assemble_transcripts(turns: DataFrame, interactions: DataFrame) -> DataFrame
         ),
         "\n",
     )
-    parts = turns.groupBy("conv_id", part.alias("part")).agg(text.alias("transcript_text"), F.count("*").alias("n_turns"))
+    whole = turns.groupBy("conv_id").agg(text.alias("transcript_text"), F.count("*").alias("n_turns"))
     about = interactions.select("interaction_id", "customer_id", "agent_id", "interaction_date", "interaction_type", "category", "subcategory")
-    return parts.join(about, F.col("conv_id") == F.col("interaction_id")).drop("conv_id")
+    return whole.join(about, F.col("conv_id") == F.col("interaction_id")).drop("conv_id")
 
 
 def corpus(df: DataFrame, doc_id: str, text: str, attributes: Sequence[str] = ()) -> DataFrame:

@@ -125,7 +125,7 @@ SELECT concat_ws('-', CAST(user_id AS VARCHAR), CAST(CAST(floor(epoch(min(ts)))
        bool_or({DUCKDB.k} % 2 = 0) AS biometric_used, bool_or(event_type = 'error') AS suspicious_activity_flag
 FROM session_rows GROUP BY user_id, session_no"""
 TABLE_SQL["support_transcripts"] = """
-SELECT conv_id AS interaction_id, CAST(turn // 256 AS BIGINT) AS part, s.customer_id, s.agent_id, s.interaction_date, s.interaction_type,
+SELECT conv_id AS interaction_id, s.customer_id, s.agent_id, s.interaction_date, s.interaction_type,
        s.category, s.subcategory, string_agg(concat(role, ': ', text), chr(10) ORDER BY turn) AS transcript_text,
        count(*) AS n_turns
 FROM conversations JOIN support_interactions s ON s.interaction_id = conv_id

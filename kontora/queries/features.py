@@ -297,7 +297,7 @@ def model_features(b):
 
 
 @query("compute_log", """
-SELECT compute_id, feature_id, compute_start, compute_status FROM feature_compute_logs WHERE compute_status = 'FAILED' ORDER BY compute_start DESC, compute_id DESC LIMIT 20""")
+SELECT compute_id, feature_id, compute_start, compute_status FROM feature_compute_logs WHERE compute_status = 'FAILED'""")
 def compute_log(b):
     return fs.recent_runs(b.feature_compute_logs.select("compute_id", "feature_id", "compute_start", "compute_status"), "FAILED")
 

@@ -45,9 +45,9 @@ def build_text_corpus(b):
     return out
 
 
-@query("assemble_transcripts", "SELECT interaction_id, part, customer_id, category, transcript_text, n_turns FROM support_transcripts")
+@query("assemble_transcripts", "SELECT interaction_id, customer_id, category, transcript_text, n_turns FROM support_transcripts")
 def assemble_transcripts(b):
-    return b.support_transcripts.select("interaction_id", "part", "customer_id", "category", "transcript_text", "n_turns")
+    return b.support_transcripts.select("interaction_id", "customer_id", "category", "transcript_text", "n_turns")
 
 
 @query("build_search_index", f"WITH {_DOCS}, {_POST} SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS occurrences FROM post GROUP BY 1")

@@ -6,14 +6,14 @@ from pyspark.sql import Window, functions as F
 
 from kontora.functions import scalars as S
 from kontora.operators.ranking import latest_per_key, sample_per_key, top_per_key
-from kontora.operators.windows import framed, numbered, over_key, running, slice_of
+from kontora.operators.windows import framed, numbered, over_key, positioned, running, slice_of
 from kontora.queries.base import NOW, TODAY, avg, query, total
 
 _TXN_ORDER = ["transaction_timestamp", "transaction_id"]
 
 
 def _txn_slices():
-    return slice_of(F.date_trunc("hour", "transaction_timestamp"), "transaction_id")
+    return slice_of(F.date_trunc("minute", "transaction_timestamp"))
 
 
 def _txn(b, *extra):
@@ -46,8 +46,21 @@ def win_sample_per_group(b):
 
 @query("win_global_row_number", "SELECT account_id, row_number() OVER (ORDER BY account_id) AS position FROM accounts")
 def win_global_row_number(b):
-    # numbered in id ranges, so no task holds the whole table
-    return numbered(b.accounts.select("account_id"), [], ["account_id"], F.floor(F.col("account_id") / 100000), "position")
+    return positioned(b.accounts.select("account_id"), ["account_id"], "position")
+
+
+@query("win_falling_text_ids", """
+SELECT concat('T', CAST(9000000 - transaction_id AS VARCHAR)) AS id, customer_id, row_number() OVER w AS sequence, lag(transaction_timestamp) OVER w AS prev_time
+FROM transactions WINDOW w AS (PARTITION BY customer_id ORDER BY date_trunc('hour', transaction_timestamp), concat('T', CAST(9000000 - transaction_id AS VARCHAR)))""")
+def win_falling_text_ids(b):
+    # ids that are text and fall as time rises, inside the hour that leads the order
+    rows = _txn(b).select(
+        F.concat(F.lit("T"), (9000000 - F.col("transaction_id")).cast("string")).alias("id"), "customer_id", "transaction_timestamp",
+        F.date_trunc("hour", "transaction_timestamp").alias("hour"),
+    )
+    return framed(
+        rows, ["customer_id"], ["hour", "id"], slice_of("hour"), 1, lambda w: {"prev_time": F.lag("transaction_timestamp").over(w)}, number="sequence"
+    ).select("id", "customer_id", "sequence", "prev_time")
 
 
 @query("win_lag", f"SELECT transaction_id, lag(transaction_timestamp) {_W}) AS prev_time, lag(merchant_city) {_W}) AS prev_city FROM transactions")
@@ -78,7 +91,7 @@ SELECT deposit_id, date_diff('day', lag(deposit_date) OVER (PARTITION BY custome
 def win_gap_days(b):
     return framed(
         b.direct_deposits.select("customer_id", "deposit_id", "deposit_date"), ["customer_id"], ["deposit_date", "deposit_id"],
-        slice_of("deposit_date", "deposit_id"), 1, lambda w: {"_p": F.lag("deposit_date").over(w)},
+        slice_of("deposit_date"), 1, lambda w: {"_p": F.lag("deposit_date").over(w)},
     ).select("deposit_id", S.date_diff("day", "_p", "deposit_date").alias("gap"))
 
 

@@ -41,10 +41,10 @@ u AS (SELECT customer_id, CAST(count(*) AS DOUBLE) / 30 AS r, {avg("abs(amount)"
 x AS (SELECT n.*, transactions > r * 2 AS velocity_spike, largest > a * 1.5 AS unusual_amount, states > 3 AS wide_geography FROM n JOIN u USING (customer_id))
 SELECT * FROM x WHERE velocity_spike OR unusual_amount OR wide_geography""")
 
-ask("q_fraud_merchants", q.fraud_merchants, f"SELECT merchant_name, count(*) AS transactions, {avg('fraud_score')} AS avg_fraud_score FROM transactions GROUP BY 1 ORDER BY avg_fraud_score DESC, merchant_name LIMIT 10")
+ask("q_fraud_merchants", q.fraud_merchants, f"SELECT merchant_name, count(*) AS transactions, {avg('fraud_score')} AS avg_fraud_score FROM transactions GROUP BY 1")
 
 _SECS = "date_diff('second', compute_start, compute_end)"
-ask("q_feature_perf", q.feature_cost, f"SELECT feature_id, {total('credits_used')} AS credits, {avg(_SECS)} AS avg_seconds, count(*) AS runs FROM feature_compute_logs GROUP BY 1 ORDER BY credits DESC, feature_id LIMIT 5")
+ask("q_feature_perf", q.feature_cost, f"SELECT feature_id, {total('credits_used')} AS credits, {avg(_SECS)} AS avg_seconds, count(*) AS runs FROM feature_compute_logs GROUP BY 1")
 
 _N, _SX, _SY = "CAST(count(*) AS DOUBLE)", total("x"), total("amount")
 ask("q_deposit_loss", q.deposit_loss, f"""
@@ -112,12 +112,11 @@ SELECT feature_id, risk_tier, round(x, 6) AS before, round(y, 6) AS after, round
   avg(CASE WHEN feature_timestamp >= {_EDGE} THEN feature_value END) AS y FROM feature_values JOIN customers c ON CAST(c.customer_id AS VARCHAR) = entity_id GROUP BY 1, 2)""")
 
 ask("q_attribution", q.attribution, f"""
-WITH s AS (SELECT customer_id, min(sent_at) AS sold_at, arg_min(conversion_value, customer_campaign_id) AS sold_for FROM customer_campaigns WHERE converted GROUP BY 1),
-p AS (SELECT t.*, s.sold_at, s.sold_for, count(*) OVER (PARTITION BY t.customer_id) AS touches, row_number() OVER (PARTITION BY t.customer_id ORDER BY sent_at, customer_campaign_id) AS i,
-  min(sent_at) OVER (PARTITION BY t.customer_id) AS first_at FROM customer_campaigns t JOIN s USING (customer_id) WHERE sent_at <= sold_at),
-l AS (SELECT campaign_id, round(sum(1.0::DOUBLE / touches), 6) AS linear_credit FROM p GROUP BY 1),
-f AS (SELECT campaign_id, count(*) AS n, {total("sold_for")} AS v, {avg("date_diff('hour', first_at, sold_at)")} AS h FROM p WHERE i = 1 GROUP BY 1),
-e AS (SELECT campaign_id, count(*) AS n, {total("sold_for")} AS v FROM p WHERE i = touches GROUP BY 1)
+WITH p AS (SELECT *, row_number() OVER w AS n, first_value(campaign_id) OVER w AS first_campaign, min(sent_at) OVER w AS first_at
+  FROM customer_campaigns WINDOW w AS (PARTITION BY customer_id ORDER BY sent_at, customer_campaign_id)),
+l AS (SELECT t.campaign_id, round(coalesce(sum(1.0::DOUBLE / c.n), 0), 6) AS linear_credit FROM p t LEFT JOIN p c ON c.customer_id = t.customer_id AND c.converted AND c.n >= t.n GROUP BY 1),
+f AS (SELECT first_campaign AS campaign_id, count(*) AS n, {total("conversion_value")} AS v, {avg("date_diff('hour', first_at, sent_at)")} AS h FROM p WHERE converted GROUP BY 1),
+e AS (SELECT campaign_id, count(*) AS n, {total("conversion_value")} AS v FROM p WHERE converted GROUP BY 1)
 SELECT c.campaign_id, c.campaign_name, linear_credit, coalesce(f.n, 0) AS first_touch, f.v AS first_touch_value, f.h AS avg_hours_to_convert, coalesce(e.n, 0) AS last_touch, e.v AS last_touch_value,
   e.v / CAST(c.budget AS DOUBLE) AS last_touch_roi FROM marketing_campaigns c LEFT JOIN l USING (campaign_id) LEFT JOIN f USING (campaign_id) LEFT JOIN e USING (campaign_id)""")
 

@@ -142,7 +142,7 @@ def velocity(table: storage.UpsertLog, flags: str) -> Callable[[DataFrame, int],
             rows = rows.unionByName(known.withColumn("_new", F.lit(False)))
         lined = framed(
             rows, ["customer_id"], ["transaction_timestamp", "transaction_id"],
-            slice_of(F.date_trunc("hour", "transaction_timestamp"), "transaction_id"), 1,
+            slice_of(F.date_trunc("minute", "transaction_timestamp")), 1,
             lambda w: {"prev_time": F.lag("transaction_timestamp").over(w), "prev_city": F.lag("merchant_city").over(w)},
         )
         travel = (date_diff("minute", "prev_time", "transaction_timestamp") < 5) & (F.col("merchant_city") != F.col("prev_city"))

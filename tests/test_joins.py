@@ -80,3 +80,10 @@ def test_presence(spark):
     need = spark.createDataFrame([("a",), ("b",)], "n string")
     have = spark.createDataFrame([("a",), ("a",)], "n string")
     assert {tuple(r) for r in presence(need, have, "n").collect()} == {("a", "PASS"), ("b", "FAIL")}
+
+
+def test_asof_join_keeps_probes_without_a_time(spark):
+    probes = spark.createDataFrame([(1, "a", dt.datetime(2024, 1, 2)), (2, "a", None)], "pid int, k string, t timestamp")
+    history = spark.createDataFrame([("a", dt.datetime(2024, 1, 1), 5), ("a", None, 9)], "k string, ht timestamp, v int")
+    got = asof_join(probes, history, ["k"], "pid", "t", "ht", ["v"])
+    assert sorted((r.pid, r.v) for r in got.collect()) == [(1, 5), (2, None)]

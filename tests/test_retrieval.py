@@ -41,12 +41,11 @@ def test_search_matches_hand_computed_scores(spark):
     assert "PartitionFilters: [bucket#" in plan  # only the folders of the asked words are read
 
 
-def test_transcript_parts_lose_nothing(spark):
+def test_long_transcripts_are_one_row(spark):
     turns = spark.createDataFrame([(7, t, "user", f"t{t}") for t in range(600)], "conv_id long, turn long, role string, text string")
     about = spark.createDataFrame([(7, 1, "A", None, "CHAT", "CARD", "X")], "interaction_id long, customer_id long, agent_id string, interaction_date date, interaction_type string, category string, subcategory string")
-    parts = r.assemble_transcripts(turns, about).orderBy("part").collect()
-    assert [p.n_turns for p in parts] == [256, 256, 88]
-    assert "\n".join(p.transcript_text for p in parts) == "\n".join(f"user: t{t}" for t in range(600))
+    (whole,) = r.assemble_transcripts(turns, about).collect()
+    assert whole.n_turns == 600 and whole.transcript_text == "\n".join(f"user: t{t}" for t in range(600))
 
 
 def test_cosine_and_empty_vectors(spark):

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
-from kontora.operators.windows import carried, framed, numbered, over_key, running
+from kontora.operators.windows import carried, framed, numbered, over_key, positioned, running, slice_of
 
 
 @pytest.fixture(scope="module")
@@ -79,3 +79,25 @@ def test_no_key_at_all(spark):
     df = spark.range(100).withColumnRenamed("id", "x")
     got = numbered(df, [], ["x"], F.floor(F.col("x") / 7))
     assert [(r.x, r.rn) for r in got.orderBy("x").collect()] == [(i, i + 1) for i in range(100)]
+
+
+@pytest.mark.parametrize("ids", ["long", "string"])
+def test_slices_follow_the_order_whatever_the_ids(spark, ids):
+    """Ids beyond 2^20 that do not rise with time, and NULL times."""
+    rng = random.Random(5)
+    data = [(rng.choice(["hot", None]), rng.randrange(7200) if rng.random() < 0.95 else None, rng.randrange(1 << 40), k) for k in range(800)]
+    df = spark.createDataFrame(data, "k string, s int, i long, v long").select(
+        "k", F.timestamp_seconds("s").alias("t"), (F.col("i") if ids == "long" else F.concat(F.lit("TXN"), "i")).alias("id"), "v"
+    )
+    w = Window.partitionBy("k").orderBy("t", "id")
+    cut = slice_of(F.date_trunc("minute", "t"))
+    want = df.select("id", F.row_number().over(w).alias("n"), F.sum("v").over(w).alias("s"), F.lag("t").over(w).alias("p"))
+    got = framed(running(df, ["k"], ["t", "id"], cut, {"s": "v"}), ["k"], ["t", "id"], cut, 1, lambda x: {"p": F.lag("t").over(x)}, number="n")
+    assert sorted(got.select("id", "n", "s", "p").collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_positions_in_the_whole_table(spark):
+    df = spark.createDataFrame([(f"A{k * 7919 % 1000}",) for k in range(1000)] + [(None,)], "a string").repartition(5)
+    want = df.select("a", F.row_number().over(Window.orderBy("a")).alias("n"))
+    assert sorted(positioned(df, ["a"], "n").collect(), key=str) == sorted(want.collect(), key=str)
+    assert positioned(df.limit(0), ["a"]).collect() == []
