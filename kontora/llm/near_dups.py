@@ -1,8 +1,8 @@
 """Near-duplicate documents by SetSketch registers: banding, joint likelihood, exact confirmation.
 
-Every document's set of word shingles becomes 512 registers: the least of exponential variates per register, rounded on a
+Every document's set of word shingles becomes 1,024 registers: the least of exponential variates per register, rounded on a
 logarithmic scale. Equal sets give equal registers, so copies are folded into one representative first. Bands of four
-registers, from the first quarter, deal the representatives into buckets. In a bucket everyone is compared with one leader, the
+registers, the first 128, deal the representatives into buckets. In a bucket everyone is compared with one leader, the
 member that meets most others overall; only members that this leaves outside the bucket's largest component are compared with
 the rest, in blocks of registers, each pair in the first bucket that it shares. A pair is first judged by the likelihood of its
 registers, 4.5 standard deviations below the threshold, then by its whole sets.
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from kontora.llm.common import SPACE, Scan, id_of, keyed, mix, packed, stored, texts
 from kontora.llm.components import components
 
-REGISTERS = 512
+REGISTERS = 1024
 BAND = 4
 BANDS = 32
 BASE = 1.001
@@ -73,13 +73,17 @@ def registers(sets: list[np.ndarray], m: int = REGISTERS) -> np.ndarray:
         until, time = horizon[doc], np.zeros(len(items))
         turn = 0
         while len(items):
-            turn += 1
+            throws = max(1, 65536 // len(items))  # several at once when few elements are left
             with np.errstate(over="ignore"):
-                z = mix(items + np.uint64(turn) * np.uint64(0x9E3779B97F4A7C15))
-            time = time - np.log(((z >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0**-53) / m
-            on = time <= until
-            items, doc, until, time, z = items[on], doc[on], until[on], time[on], z[on]
-            np.minimum.at(least, doc * m + (z & np.uint64(m - 1)).astype(np.int64), time)
+                z = mix(items[:, None] + (np.uint64(turn + 1) + np.arange(throws, dtype=np.uint64)) * np.uint64(0x9E3779B97F4A7C15))
+            gaps = -np.log(((z >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0**-53) / m
+            gaps[:, 0] += time
+            times = np.add.accumulate(gaps, axis=1)
+            on = times <= until[:, None]
+            np.minimum.at(least, ((doc * m)[:, None] + (z & np.uint64(m - 1)).astype(np.int64))[on], times[on])
+            turn += throws
+            go = on[:, -1]
+            items, doc, until, time = items[go], doc[go], until[go], times[go, -1]
         open_ = np.isinf(least.reshape(-1, m)[todo]).any(axis=1)
         todo = todo[open_]
         horizon[todo] *= 2
@@ -89,6 +93,13 @@ def registers(sets: list[np.ndarray], m: int = REGISTERS) -> np.ndarray:
     return np.clip(level, 0, TOP).astype(np.uint16).reshape(-1, m)
 
 
+def packed_registers(full: np.ndarray) -> np.ndarray:
+    """Longs that hold the registers of the bands whole and of the others the low byte."""
+    whole = np.ascontiguousarray(full[:, : BANDS * BAND]).view(np.int64)
+    low = np.ascontiguousarray((full[:, BANDS * BAND :] & 255).astype(np.uint8)).view(np.int64)
+    return np.concatenate([whole, low], axis=1)
+
+
 _SKETCH_SCHEMA = "d long, h long, n long, s1 long, s2 long, bands array<long>"
 
 
@@ -97,7 +108,7 @@ def _sketcher(width: int):
         for batch in batches:
             for start, blobs in texts(batch, "text"):
                 sets = shingle_sets(blobs, width)
-                rows = registers(sets).view(np.int64)
+                rows = packed_registers(registers(sets))
                 with np.errstate(over="ignore"):
                     s1 = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
                     s2 = np.array([mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
@@ -112,17 +123,23 @@ def _sketcher(width: int):
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """``d, h, n`` (set size), ``s1, s2`` (hash of the set) and ``bands`` (all registers, four to a long) of every row."""
+    """``d, h, n`` (set size), ``s1, s2`` (hash of the set) and ``bands`` (the packed registers) of every row."""
     return docs.select("d", "h", F.col("text").cast("binary").alias("text")).mapInArrow(_sketcher(width), _SKETCH_SCHEMA)
 
 
-_GRID = np.arange(0, 1001) / 1000.0
+_GRID = np.arange(0, 201) / 200.0
 
 
 def likeliest(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
-    """The similarity under which the registers' order (less, equal, greater) is likeliest, given both set sizes."""
+    """The similarity under which two packed sketches are likeliest, given both set sizes.
+
+    Whole registers tell by their order (less, equal, greater), low bytes by being equal, which chance also makes them once in 256.
+    """
     u, v = (na / (na + nb))[:, None], (nb / (na + nb))[:, None]
-    more, less = (a > b).sum(axis=1)[:, None], (a < b).sum(axis=1)[:, None]
+    whole = [np.ascontiguousarray(x[:, :BANDS]).view(np.uint16) for x in (a, b)]
+    low = [np.ascontiguousarray(x[:, BANDS:]).view(np.uint8) for x in (a, b)]
+    more, less = (whole[0] > whole[1]).sum(axis=1)[:, None], (whole[0] < whole[1]).sum(axis=1)[:, None]
+    alike = (low[0] == low[1]).sum(axis=1)[:, None]
     j = np.minimum(_GRID[None, :], np.minimum(u / v, v / u))  # no similarity above the ratio of the sizes
 
     def p(x):
@@ -130,19 +147,21 @@ def likeliest(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> n
 
     up, down = p(u - v * j), p(v - u * j)
     same = np.clip(1 - up - down, 1e-12, 1.0)
-    score = more * np.log(np.clip(up, 1e-12, 1.0)) + less * np.log(np.clip(down, 1e-12, 1.0)) + (a.shape[1] - more - less) * np.log(same)
+    byte = np.clip(same + (1 - same) / 256, 1e-12, 1 - 1e-9)
+    score = more * np.log(np.clip(up, 1e-12, 1.0)) + less * np.log(np.clip(down, 1e-12, 1.0)) + (whole[0].shape[1] - more - less) * np.log(same)
+    score += alike * np.log(byte) + (low[0].shape[1] - alike) * np.log1p(-byte)
     return j[np.arange(len(j)), score.argmax(axis=1)]
 
 
 def _likely(percent: int):
-    low = percent / 100 - MARGIN
+    low = percent / 100 - MARGIN - 0.005  # and a step of the grid
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for at in range(0, len(f), 500):
                 part = f.iloc[at : at + 500]
                 if len(part):
-                    a, b = (np.stack(part[c].to_numpy()).view(np.uint16) for c in ("ra", "rb"))
+                    a, b = (np.stack(part[c].to_numpy()) for c in ("ra", "rb"))
                     yield part.loc[likeliest(a, b, part.na.to_numpy(float), part.nb.to_numpy(float)) >= low, ["ad", "ah", "bd", "bh"]]
 
     return run
@@ -181,7 +200,7 @@ def _starred(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
 
 def _blocked(percent: int):
-    low = percent / 100 - MARGIN
+    low = percent / 100 - MARGIN - 0.005
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,7 +219,7 @@ def _blocked(percent: int):
                 keep = [np.zeros(0, np.int64)]
                 for at in range(0, len(i), 1000):
                     a, b = i[at : at + 1000], j[at : at + 1000]
-                    near = likeliest(r1[a].view(np.uint16), r2[b].view(np.uint16), n1[a].astype(float), n2[b].astype(float)) >= low
+                    near = likeliest(r1[a], r2[b], n1[a].astype(float), n2[b].astype(float)) >= low
                     keep.append(at + np.flatnonzero(near))
                 i, j = i[np.concatenate(keep)], j[np.concatenate(keep)]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (d1[i], h1[i], d2[j], h2[j])], names=["ad", "ah", "bd", "bh"])
