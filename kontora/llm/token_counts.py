@@ -148,7 +148,7 @@ def edit(counter: Counter, tree: Tree, text: str, start: int, stop: int, new: st
 
 
 def trees(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
-    """``d, h, n_tokens, chars, tokens, used``: the tree of every keyed text."""
+    """``d, h, text, n_tokens, chars, tokens, used``: every keyed text with its tree beside it, so that an edit finds both in one row."""
     shipped = docs.sparkSession.sparkContext.broadcast(open(ranks, "rb").read())  # about 50,000 ranks, from a fixed file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,45 +158,48 @@ def trees(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
             for t in batch.column("text"):
                 tree = Tree(*counter.blocks(t.as_py() or ""))
                 rows.append((tree.tokens[1], tree.chars, tree.tokens, tree.used))
+            columns = list(zip(*rows)) or [()] * len(_KINDS)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("d"), batch.column("h"), *[pa.array(list(c), k) for c, k in zip(zip(*rows), _KINDS)]] if rows else
-                [batch.column("d"), batch.column("h"), *[pa.array([], k) for k in _KINDS]],
-                names=["d", "h", "n_tokens", "chars", "tokens", "used"],
+                [batch.column("d"), batch.column("h"), batch.column("text"), *[pa.array(list(c), k) for c, k in zip(columns, _KINDS)]],
+                names=["d", "h", "text", "n_tokens", "chars", "tokens", "used"],
             )
 
-    return docs.mapInArrow(run, "d long, h long, n_tokens long, chars array<long>, tokens array<long>, used int")
+    return docs.select("d", "h", "text").mapInArrow(
+        run, "d long, h long, text string, n_tokens long, chars array<long>, tokens array<long>, used int"
+    )
 
 
 _KINDS = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32())
 
 
-def recounted(edited: DataFrame, known: DataFrame, ranks: str = RANKS) -> DataFrame:
-    """Applies ``edits``, an array of (start, stop, new) in order, to keyed texts and their stored trees.
+def recounted(known: DataFrame, ranks: str = RANKS) -> DataFrame:
+    """Applies ``edits``, an array of (start, stop, new) in order, to the texts and trees of ``trees``, row by row.
 
-    Gives ``d, h, n_tokens`` (before), ``edited_chars``, ``edited_tokens``, ``n_edits`` and ``n_encoded``, the characters encoded again.
+    Gives ``d, h, n_chars`` and ``n_tokens`` (before), ``edited_chars``, ``edited_tokens``, ``n_edits`` and ``n_encoded``, the characters encoded again.
     """
-    shipped = edited.sparkSession.sparkContext.broadcast(open(ranks, "rb").read())
+    shipped = known.sparkSession.sparkContext.broadcast(open(ranks, "rb").read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(shipped.value)
         for batch in batches:
-            rows: list[tuple[int, int, int, int]] = []
+            rows: list[tuple[int, int, int, int, int]] = []
             for k in range(batch.num_rows):
                 text = batch.column("text")[k].as_py() or ""
                 tree = Tree.stored(batch.column("chars")[k].as_py(), batch.column("tokens")[k].as_py(), batch.column("used")[k].as_py())
-                edits, again = batch.column("edits")[k].as_py() or [], 0
+                edits, again, before = batch.column("edits")[k].as_py() or [], 0, tree.chars[1]
                 for e in edits:
                     text, n = edit(counter, tree, text, e["start"], e["stop"], e["new"] or "")
                     again += n
-                rows.append((len(text), tree.tokens[1], len(edits), again))
-            table = np.array(rows, np.int64).reshape(-1, 4)
+                rows.append((before, len(text), tree.tokens[1], len(edits), again))
+            table = np.array(rows, np.int64).reshape(-1, 5)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("d"), batch.column("h"), batch.column("n_tokens"), *[pa.array(table[:, c]) for c in range(4)]],
-                names=["d", "h", "n_tokens", "edited_chars", "edited_tokens", "n_edits", "n_encoded"],
+                [batch.column("d"), batch.column("h"), batch.column("n_tokens"), *[pa.array(table[:, c]) for c in range(5)]],
+                names=["d", "h", "n_tokens", "n_chars", "edited_chars", "edited_tokens", "n_edits", "n_encoded"],
             )
 
-    both = edited.join(known, ["d", "h"])
-    return both.mapInArrow(run, "d long, h long, n_tokens long, edited_chars long, edited_tokens long, n_edits long, n_encoded long")
+    return known.select("d", "h", "text", "n_tokens", "chars", "tokens", "used", "edits").mapInArrow(
+        run, "d long, h long, n_tokens long, n_chars long, edited_chars long, edited_tokens long, n_edits long, n_encoded long"
+    )
 
 
 def revision(text: Column) -> Column:
@@ -215,14 +218,12 @@ def revision(text: Column) -> Column:
 def report(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
     """``doc_id, n_chars, n_tokens, edited_chars, edited_tokens, n_edits, n_encoded`` per row of ``docs`` under ``revision``.
 
-    A null text is empty, with no tokens before and those of the new line after. Rows that repeat id and text are one document,
-    reported as often. Texts may have any length; one long pre-token is encoded whole. An empty table gives no rows. Other
-    columns are ignored.
+    A null text is empty, with no tokens before and those of the new line after. Repeated rows are reported as often as they
+    come. Texts may have any length; one long pre-token is encoded whole. An empty table gives no rows. Other columns are
+    ignored. Texts are stored with their trees, so nothing is shuffled: the second pass reads what the first one wrote.
     """
-    rows = keyed(docs).withColumn("text", F.coalesce("text", F.lit("")))
-    known = stored(trees(rows, ranks).dropDuplicates(["d", "h"]), "trees")
-    out = recounted(rows.withColumn("edits", revision(F.col("text"))).withColumn("n_chars", F.length("text")), known, ranks)
-    size = known.select("d", "h", F.element_at("chars", 2).alias("n_chars"))
-    return out.join(size, ["d", "h"]).select(
+    known = stored(trees(keyed(docs).withColumn("text", F.coalesce("text", F.lit(""))), ranks), "trees")
+    out = recounted(known.withColumn("edits", revision(F.col("text"))), ranks)
+    return out.select(
         id_of(F.col("d")).alias("doc_id"), "n_chars", "n_tokens", "edited_chars", "edited_tokens", "n_edits", "n_encoded"
     )
