@@ -88,10 +88,10 @@ WITH r AS (SELECT transaction_id, customer_id, transaction_timestamp, merchant_c
   lag(merchant_city) OVER (PARTITION BY customer_id ORDER BY transaction_timestamp, transaction_id) AS prev_city FROM transactions)
 SELECT transaction_id, customer_id, prev_time, prev_city, CASE WHEN date_diff('minute', prev_time, transaction_timestamp) < 5 AND merchant_city <> prev_city THEN 1 ELSE 0 END AS impossible_travel FROM r""")
 def stream_velocity(b):
-    state = storage.UpsertLog(b.spark, scratch_path(b.spark, "last-seen"), ["customer_id"])
+    state = jobs.velocity_state(b.spark, scratch_path(b.spark, "last-seen"))
     flags = scratch_path(b.spark, "flags")
     _batches(b, jobs.transactions(b.spark, b.folder), jobs.velocity(state, flags), "velocity")
-    return _ntz(b.spark.read.parquet(flags), "prev_time").select("transaction_id", "customer_id", "prev_time", "prev_city", "impossible_travel")
+    return _ntz(jobs.final_flags(b.spark, flags), "prev_time").select("transaction_id", "customer_id", "prev_time", "prev_city", "impossible_travel")
 
 
 @query("stream_session", """

@@ -73,17 +73,20 @@ def reload_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 class Versions:
-    """A table kept as numbered versions with a pointer to the current one."""
+    """A table kept as numbered versions with a pointer to the current one, for one writer at a time."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _pointers(self) -> DataFrame | None:
+    def _fs(self, path: str):
         hadoop = self.spark._jvm.org.apache.hadoop.fs
-        path = hadoop.Path(f"{self.root}/pointer")
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return self.spark.read.schema("version LONG, token STRING").parquet(str(path)) if fs.exists(path) else None
+        at = hadoop.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
+
+    def _pointers(self) -> DataFrame | None:
+        fs, path = self._fs(f"{self.root}/pointer")
+        return self.spark.read.schema("token STRING, version LONG").parquet(str(path)) if fs.exists(path) else None
 
     def current(self) -> tuple[int, str] | None:
         """Number of the newest version and the token of the job that wrote it."""
@@ -101,11 +104,16 @@ class Versions:
         at = self.current()
         version = 1 if at is None else at[0] + 1
         df.write.mode("overwrite").parquet(f"{self.root}/v{version}")
-        self.spark.range(1).select(
-            F.lit(version).cast("long").alias("version"), F.lit(token).alias("token")
-        ).write.mode("append").parquet(f"{self.root}/pointer")
+        # a folder per pointer, so that old ones can go
+        self.spark.range(1).select(F.lit(token).alias("token")).write.mode("overwrite").parquet(f"{self.root}/pointer/version={version}")
         return version
 
+    def drop(self, version: int) -> None:
+        """Remove a version that no pointer in use needs. The pointer goes last, so a broken removal is done again."""
+        for path in (f"{self.root}/v{version}", f"{self.root}/pointer/version={version}"):
+            fs, at = self._fs(path)
+            fs.delete(at, True)
+
     def change(self, step: Callable[[DataFrame | None], DataFrame], token: str = "") -> int:
         """Publish step(current table); a token that was already published is skipped."""
         at = self.current()
@@ -115,49 +123,75 @@ class Versions:
 
 
 class UpsertLog:
-    """Keyed rows kept as a base and the changes after it.
+    """Keyed rows kept as a base and the changes after it, for one writer at a time (a streaming query's checkpoint gives that).
 
     Each batch writes only the rows it touched; a read takes the newest row per
-    key. ``compact`` folds the changes into a new base. A token that was already
-    written is skipped, so a repeated micro-batch changes nothing.
+    key. After ``compact_every`` batches the changes are folded into a new base,
+    where ``keep`` says which rows stay, and what the base before replaced is
+    removed; readers of the last base go on. A token that was already written is
+    skipped, so a repeated micro-batch changes nothing; tokens that are numbers
+    have to rise, since a base remembers the newest one only.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], compact_every: int = 50):
-        self.spark, self.root, self.keys, self.compact_every = spark, root.rstrip("/"), list(keys), compact_every
+    def __init__(
+        self, spark: SparkSession, root: str, keys: Sequence[str], compact_every: int = 50,
+        keep: Callable[[DataFrame], DataFrame] | None = None,
+    ):
+        self.spark, self.root, self.keys, self.compact_every, self.keep = spark, root.rstrip("/"), list(keys), compact_every, keep
         self.log = Versions(spark, f"{self.root}/log")
 
     def _entries(self) -> list:
-        # one short row per batch since the last compaction
+        # two rounds of compaction at most, as older entries are removed
         pointers = self.log._pointers()
-        return [] if pointers is None else pointers.orderBy("version").collect()
+        return [] if pointers is None else sorted(pointers.collect(), key=lambda e: e.version)
 
-    def read(self) -> DataFrame | None:
-        entries = self._entries()
-        if not entries:
-            return None
+    @staticmethod
+    def _live(entries: list) -> list:
+        """The newest base and what came after it."""
         base = max((i for i, e in enumerate(entries) if e.token.startswith("base:")), default=0)
-        parts = self.spark.read.parquet(*[f"{self.log.root}/v{e.version}" for e in entries[base:]])
+        return entries[base:]
+
+    def _rows(self, live: list) -> DataFrame:
+        parts = self.spark.read.parquet(*[f"{self.log.root}/v{e.version}" for e in live])
         return latest_per_key(parts, self.keys, ["_version"]).drop("_version")
 
-    def matching(self, rows: DataFrame) -> DataFrame | None:
-        """Current rows of the keys that occur in ``rows``."""
-        now = self.read()
-        return None if now is None else now.join(rows.select(*self.keys).distinct(), self.keys, "left_semi")
+    def read(self) -> DataFrame | None:
+        live = self._live(self._entries())
+        return self._rows(live) if live else None
+
+    def matching(self, rows: DataFrame, keys: Sequence[str] | None = None) -> DataFrame | None:
+        """Current rows of the keys (or of some key columns) that occur in ``rows``."""
+        now, by = self.read(), list(keys or self.keys)
+        return None if now is None else now.join(rows.select(*by).distinct(), by, "left_semi")
 
-    def done(self, token: str) -> bool:
-        return any(e.token.removeprefix("base:") == token for e in self._entries())
+    @staticmethod
+    def _covers(entry: str, token: str) -> bool:
+        known = entry.removeprefix("base:")
+        folded = entry.startswith("base:") and known.isdigit() and token.isdigit()
+        return known == token or (folded and int(token) <= int(known))
 
-    def _write(self, rows: DataFrame, token: str) -> None:
-        at = self.log.current()
-        version = 1 if at is None else at[0] + 1
-        self.log.publish(rows.withColumn("_version", F.lit(version)), token)
+    def done(self, token: str) -> bool:
+        return any(self._covers(e.token, token) for e in self._entries())
 
     def put(self, rows: DataFrame, token: str) -> None:
-        if self.done(token):
+        entries = self._entries()
+        if any(self._covers(e.token, token) for e in entries):
             return
-        self._write(rows, token)
-        if len(self._entries()) % self.compact_every == 0:
-            self._write(self.read(), f"base:{token}")
+        version = entries[-1].version + 1 if entries else 1
+        self.log.publish(rows.withColumn("_version", F.lit(version)), token)
+        if len(self._live(entries)) + 1 >= self.compact_every:
+            self._compact(token)
+
+    def _compact(self, token: str) -> None:
+        entries = self._entries()
+        live = self._live(entries)
+        rows = self._rows(live)
+        if self.keep is not None:
+            rows = self.keep(rows)
+        self.log.publish(rows.withColumn("_version", F.lit(live[-1].version + 1)), f"base:{token}")
+        for e in entries:
+            if e.version < live[0].version:
+                self.log.drop(e.version)
 
 
 def merge_rows(

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kontora.functions.scalars import date_diff, flag
@@ -91,64 +91,126 @@ def upsert_windows(table: storage.UpsertLog) -> Callable[[DataFrame, int], None]
     return step
 
 
-def upsert_online(table: storage.UpsertLog, hours: int = 1) -> Callable[[DataFrame, int], None]:
-    """Merge each batch's last-hour features into the online vectors.
+def _vectors(counted: DataFrame, stamp: Column) -> DataFrame:
+    vector = F.create_map(F.lit("transaction_count_1h"), "n", F.lit("max_amount_1h"), "m", F.lit("last_transaction_time"), "t")
+    return counted.select(
+        F.col("customer_id").cast("string").alias("entity_id"), F.lit("CUSTOMER").alias("entity_type"),
+        vector.alias("feature_vector"), stamp.alias("last_updated"),
+    )
+
+
+def _in_window(test: Column) -> tuple[Column, Column, Column]:
+    """Count, largest amount and last time (in seconds) of the rows that pass."""
+    return (
+        F.count(F.when(test, 1)).cast("double"), F.max(F.when(test, F.col("amount").cast("double"))),
+        F.max(F.when(test, F.col("transaction_timestamp").cast("double"))),
+    )
+
 
-    The hour ends at the newest event of the batch. Only the vectors of customers
-    in the batch are read, merged and written.
+def upsert_online(table: storage.UpsertLog, hours: int = 1, per_batch: bool = False) -> Callable[[DataFrame, int], None]:
+    """Merge the customers' last-hour features into the online vectors.
+
+    The hour ends at the newest event so far, and its transactions are kept from
+    batch to batch, so late ones count and idle customers decay to zero. A batch
+    writes only the vectors that it changes. ``per_batch`` counts the rows of the
+    batch alone, within the hour before its newest event.
     """
+    span = F.expr(f"INTERVAL {hours} HOURS")
+    cols = ["customer_id", "transaction_id", "transaction_timestamp", "amount"]
+
+    def in_reach(rows: DataFrame) -> DataFrame:
+        return rows.where(F.col("transaction_timestamp") >= rows.agg(F.max("transaction_timestamp")).scalar() - span)
+
+    recent = storage.UpsertLog(table.spark, f"{table.root}-recent", ["customer_id", "transaction_id"], keep=in_reach)
+
+    def newest(rows: DataFrame):
+        return rows.agg(F.max("transaction_timestamp").alias("end")).first().end
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        if table.done(str(batch_id)):
-            return
-        end = batch.agg(F.max("transaction_timestamp").alias("end")).first().end
-        if end is None:
-            return
-        stamp = F.lit(end).cast("timestamp_ntz")
-        recent = batch.where(F.col("transaction_timestamp") >= F.lit(end) - F.expr(f"INTERVAL {hours} HOURS"))
-        fresh = recent.groupBy("customer_id").agg(
-            F.count("*").cast("double").alias("n"), F.max("amount").cast("double").alias("m")
-        ).select(
-            F.col("customer_id").cast("string").alias("entity_id"), F.lit("CUSTOMER").alias("entity_type"),
-            F.create_map(F.lit("transaction_count_1h"), "n", F.lit("max_amount_1h"), "m").alias("feature_vector"),
-            stamp.alias("last_updated"),
-        )
-        old = table.matching(fresh)
-        if old is not None:
-            fresh = storage.merge_rows(
-                old, fresh, ["entity_id", "entity_type"],
-                {"feature_vector": storage.overlay(F.col("t.feature_vector"), F.col("s.feature_vector")), "last_updated": stamp},
+        rows, token = batch.select(*cols), str(batch_id)
+        if not table.done(token):
+            kept = None if per_batch else recent.read()
+            before, last = None if kept is None else newest(kept), newest(rows)
+            if last is None:
+                return
+            end = last if before is None else max(before, last)
+            work = (rows if per_batch else rows.dropDuplicates(recent.keys)).withColumn("_new", F.lit(True))
+            if kept is not None:
+                work = work.join(kept, recent.keys, "left_anti").unionByName(kept.withColumn("_new", F.lit(False)))
+            now = _in_window(F.col("transaction_timestamp") >= F.lit(end) - span)
+            old = _in_window(~F.col("_new") & (F.col("transaction_timestamp") >= F.lit(before if before is not None else end) - span))
+            names = ["n", "m", "t"]
+            counted = work.groupBy("customer_id").agg(
+                *[c.alias(k) for c, k in zip(now, names)], *[c.alias(f"old_{k}") for c, k in zip(old, names)]
             )
-        table.put(fresh, str(batch_id))
+            changed = ~(F.col("n").eqNullSafe(F.col("old_n")) & F.col("m").eqNullSafe(F.col("old_m")) & F.col("t").eqNullSafe(F.col("old_t")))
+            stamp = F.lit(end).cast("timestamp_ntz")
+            fresh = _vectors(counted.where(changed), stamp)
+            known = table.matching(fresh)
+            if known is not None:
+                fresh = storage.merge_rows(
+                    known, fresh, ["entity_id", "entity_type"],
+                    {"feature_vector": storage.overlay(F.col("t.feature_vector"), F.col("s.feature_vector")), "last_updated": stamp},
+                )
+            table.put(fresh, token)
+        if not per_batch:  # after the vectors: a batch that broke off in between is finished here
+            recent.put(rows.dropDuplicates(recent.keys), token)
 
     return step
 
 
-def velocity(table: storage.UpsertLog, flags: str) -> Callable[[DataFrame, int], None]:
+def velocity_state(spark: SparkSession, root: str, late: str = "1 day", compact_every: int = 50) -> storage.UpsertLog:
+    """Transactions that a row up to ``late`` behind the newest may follow or precede: those in reach, and each customer's last before."""
+
+    def keep(rows: DataFrame) -> DataFrame:
+        newest = rows.agg(F.max("transaction_timestamp")).scalar()
+        dated = rows.withColumn("_old", F.col("transaction_timestamp") < newest - F.expr(f"INTERVAL {late}"))
+        edge = latest_per_key(dated.where("_old"), ["customer_id"], ["transaction_timestamp", "transaction_id"])
+        return dated.where("NOT coalesce(_old, false)").unionByName(edge).drop("_old")
+
+    return storage.UpsertLog(spark, root, ["customer_id", "transaction_id"], compact_every, keep)
+
+
+def velocity(table: storage.UpsertLog, flags: str, late: str = "1 day") -> Callable[[DataFrame, int], None]:
     """Flag impossible travel against the customer's previous transaction.
 
-    The last transaction per customer is carried from batch to batch. Inside a
-    batch the rows are lined up by the chunked window, so a busy customer does
-    not meet in one task, and no Python state is kept.
+    ``table`` comes from ``velocity_state``. A row up to ``late`` behind the
+    newest one finds its place, and the row after it is written again with its new
+    predecessor: the newest batch of a transaction in ``flags`` counts (see
+    ``final_flags``). Rows that come later go to ``<flags>-late``. Rows are lined
+    up by the chunked window, so a busy customer does not meet in one task.
     """
     cols = ["customer_id", "transaction_id", "transaction_timestamp", "merchant_city", "amount"]
+    prev = ["prev_time", "prev_city"]
 
     def step(batch: DataFrame, batch_id: int) -> None:
         if table.done(str(batch_id)):
             return
-        rows = batch.select(*cols).withColumn("_new", F.lit(True))
-        known = table.matching(rows)
-        if known is not None:
-            rows = rows.unionByName(known.withColumn("_new", F.lit(False)))
+        rows = batch.select(*cols).withColumns({"_new": F.lit(True), "_time": F.lit(None).cast("timestamp"), "_city": F.lit(None).cast("string")})
+        state = table.read()
+        newest = None if state is None else state.agg(F.max("transaction_timestamp").alias("end")).first().end
+        if newest is not None:
+            behind = F.coalesce(F.col("transaction_timestamp") < F.lit(newest) - F.expr(f"INTERVAL {late}"), F.lit(False))
+            rows.where(behind).select(*cols).write.mode("overwrite").parquet(f"{flags}-late/batch={batch_id}")
+            rows = rows.where(~behind)
+            known = table.matching(rows, ["customer_id"]).withColumnsRenamed({"prev_time": "_time", "prev_city": "_city"})
+            rows = rows.unionByName(known.select(*cols, "_time", "_city").withColumn("_new", F.lit(False)))
         lined = framed(
             rows, ["customer_id"], ["transaction_timestamp", "transaction_id"],
             slice_of(F.date_trunc("minute", "transaction_timestamp")), 1,
             lambda w: {"prev_time": F.lag("transaction_timestamp").over(w), "prev_city": F.lag("merchant_city").over(w)},
         )
+        # a known row without a row before it here keeps what it had: its predecessor is out of reach
+        moved = F.col("prev_time").isNotNull() & ~(F.col("prev_time").eqNullSafe(F.col("_time")) & F.col("prev_city").eqNullSafe(F.col("_city")))
         travel = (date_diff("minute", "prev_time", "transaction_timestamp") < 5) & (F.col("merchant_city") != F.col("prev_city"))
-        lined.where("_new").select(*cols, "prev_time", "prev_city", flag(travel).alias("impossible_travel")).write.mode("overwrite").parquet(
-            f"{flags}/batch={batch_id}"
-        )
-        table.put(latest_per_key(rows.drop("_new"), ["customer_id"], ["transaction_timestamp", "transaction_id"]), str(batch_id))
+        out = lined.where(F.col("_new") | moved).select(*cols, *prev, flag(travel).alias("impossible_travel"))
+        written = f"{flags}/batch={batch_id}"
+        out.write.mode("overwrite").parquet(written)
+        table.put(table.spark.read.schema(out.schema).parquet(written).drop("impossible_travel"), str(batch_id))
 
     return step
+
+
+def final_flags(spark: SparkSession, flags: str) -> DataFrame:
+    """The newest verdict on each transaction."""
+    return latest_per_key(spark.read.parquet(flags), ["customer_id", "transaction_id"], ["batch"]).drop("batch")

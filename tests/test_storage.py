@@ -47,6 +47,14 @@ def test_upsert_log(spark):
     assert {tuple(r) for r in log.matching(rows(("b", 0))).collect()} == {("b", 4)}
 
 
+def test_upsert_log_drops_what_was_folded(spark):
+    log = storage.UpsertLog(spark, scratch_path(spark, "u"), ["k"], compact_every=2, keep=lambda rows: rows.where("v > 1"))
+    for i in range(9):
+        log.put(spark.createDataFrame([(f"k{i % 4}", i)], "k string, v int"), str(i))
+    assert len(log._entries()) <= 4 and log.done("0") and not log.done("9")
+    assert {tuple(r) for r in log.read().collect()} == {("k0", 8), ("k1", 5), ("k2", 6), ("k3", 7)}
+
+
 def test_merge_and_overlay(spark):
     mk = lambda rows: spark.createDataFrame(rows, "entity_id string, entity_type string, feature_vector map<string,double>, last_updated timestamp_ntz")
     old_time = dt.datetime(2024, 1, 1)

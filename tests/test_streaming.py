@@ -35,7 +35,7 @@ def run(spark, folder, make, step_or_none, mode="append"):
 
 
 def test_stream_equals_batch_over_batches(spark, batches):
-    state, flags = storage.UpsertLog(spark, scratch_path(spark, "s"), ["customer_id"]), scratch_path(spark, "f")
+    state, flags = jobs.velocity_state(spark, scratch_path(spark, "s")), scratch_path(spark, "f")
     seen = []
     inner = jobs.velocity(state, flags)
 
@@ -45,7 +45,7 @@ def test_stream_equals_batch_over_batches(spark, batches):
         inner(batch, batch_id)  # a repeated batch changes nothing
 
     run(spark, batches, lambda s: s, step)
-    got = {r.transaction_id: r.prev_city for r in spark.read.parquet(flags).collect()}
+    got = {r.transaction_id: r.prev_city for r in jobs.final_flags(spark, flags).collect()}
     assert len(seen) == 3 and len(got) == 6
     assert got[2] == "City 1" and got[4] == "City 1" and got[1] is None  # row 4 follows row 3 of the batch before
 
@@ -65,9 +65,48 @@ def test_late_rows_are_left_out_after_the_watermark(spark, batches):
     assert got == {(1, 10): 2}  # the open 13h windows wait; the late row is dropped
 
 
-def test_online_vectors_merge(spark, batches):
+def test_late_rows_find_their_place(spark):
+    folder, flags = scratch_path(spark, "feed"), scratch_path(spark, "f")
+    feed(spark, folder, "1", [(1, 0, 1, 1), (2, 10, 1, 2)])
+    feed(spark, folder, "2", [(3, 3, 1, 3)])  # late, in reach: row 2 now follows it
+    feed(spark, folder, "3", [(4, 3000, 1, 1)])
+    feed(spark, folder, "4", [(5, 1, 1, 2), (6, 3001, 1, 2)])  # row 5 is out of reach
+    state = jobs.velocity_state(spark, scratch_path(spark, "s"), compact_every=2)
+    run(spark, folder, lambda s: s, jobs.velocity(state, flags))
+    got = {r.transaction_id: (r.prev_city, r.impossible_travel) for r in jobs.final_flags(spark, flags).collect()}
+    assert got == {1: (None, 0), 3: ("City 1", 1), 2: ("City 3", 0), 4: ("City 2", 0), 6: ("City 1", 1)}
+    assert [r.transaction_id for r in spark.read.parquet(f"{flags}-late").collect()] == [5]
+    # the last compaction left what is in reach and the customer's last row before
+    assert {r.transaction_id for r in state.read().collect()} == {2, 4, 6}
+
+
+@pytest.mark.parametrize("per_batch", [False, True])
+def test_online_vectors_over_batches(spark, batches, per_batch):
+    feed(spark, batches, "4", [(7, 150, 2, 5)])  # late, within the hour that ends at minute 202
     table = storage.UpsertLog(spark, scratch_path(spark, "o"), ["entity_id", "entity_type"])
-    run(spark, batches, lambda s: s, jobs.upsert_online(table))
+    step = jobs.upsert_online(table, per_batch=per_batch)
+
+    def twice(batch, batch_id):
+        step(batch, batch_id)
+        step(batch, batch_id)
+
+    run(spark, batches, lambda s: s, twice)
     got = {r.entity_id: r.feature_vector["transaction_count_1h"] for r in table.read().collect()}
-    # the hour ends at the newest event of each batch
-    assert got == {"1": 1.0, "2": 1.0, "3": 1.0}
+    # of the batch alone, or of the hour up to minute 202: customer 2 at 150, 200 and 201, customer 3 at 202
+    assert got == ({"1": 1.0, "2": 1.0, "3": 1.0} if per_batch else {"2": 3.0, "3": 1.0})
+
+
+def test_idle_customers_decay(spark):
+    folder = scratch_path(spark, "feed")
+    feed(spark, folder, "1", [(1, 0, 1, 1), (2, 5, 1, 2)])
+    feed(spark, folder, "2", [(3, 62, 2, 1)])
+    feed(spark, folder, "3", [(4, 300, 2, 1)])
+    table, seen = storage.UpsertLog(spark, scratch_path(spark, "o"), ["entity_id", "entity_type"]), []
+    inner = jobs.upsert_online(table)
+
+    def step(batch, batch_id):
+        inner(batch, batch_id)
+        seen.append({r.entity_id: r.feature_vector["transaction_count_1h"] for r in table.read().collect()})
+
+    run(spark, folder, lambda s: s, step)
+    assert seen == [{"1": 2.0}, {"1": 1.0, "2": 1.0}, {"1": 0.0, "2": 1.0}]
