@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kontora.functions.scalars import ColumnLike, col
+from kontora.session import scratch_path, shared_dir
 
 SLICES = 4096
+#: Distinct values that one task may put in order.
+ORDERED = 1 << 16
 
 
 def exact_percentiles(
@@ -18,53 +21,26 @@ def exact_percentiles(
     value: ColumnLike,
     percentiles: Mapping[str, float],
     slices: int = SLICES,
+    ordered: int = ORDERED,
 ) -> DataFrame:
     """Interpolated exact percentiles per key.
 
-    Equal values are counted first. Each key's range is then cut into slices on a
-    logarithmic scale, which keeps a few outliers from pushing everything else
-    into one slice. Only the slices that hold a wanted rank are ordered, each on
-    its own, so a key with any number of rows is never gathered in one task.
+    Equal values are counted once, and the counts are written to the shared folder.
+    Ranges that hold a wanted rank are then cut, and the parts that still hold one
+    are shrunk to their least and largest value and cut again, until none has more
+    than ``ordered`` distinct values. Only those are put in order, each on its own,
+    so no distribution of a key's values gathers them in one task.
     """
     work = df.select(*keys, col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
     if not keys:
         work = work.withColumn("_all", F.lit(1))
     by = list(keys) or ["_all"]
-    counts = work.groupBy(*by, "_v").agg(F.count("*").alias("_n"))
-    scale = F.signum("_v") * F.log1p(F.abs("_v"))  # never falls as the value rises
-    spread = counts.groupBy(*by).agg(
-        F.min(scale).alias("_lo"), F.max(scale).alias("_hi"), F.sum("_n").alias("_total")
-    )
-    width = F.col("_hi") - F.col("_lo")
-    place = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((scale - F.col("_lo")) / width * slices), F.lit(slices - 1))
-    )
-    placed = counts.join(spread.select(*[F.col(b).alias(f"_k_{b}") for b in by], "_lo", "_hi", "_total"),
-                         _null_safe(by)).drop(*[f"_k_{b}" for b in by]).withColumn("_s", place)
-    per_slice = placed.groupBy(*by, "_s", "_total").agg(F.sum("_n").alias("_in"))
-    earlier = Window.partitionBy(*by).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_slice.withColumn("_before", F.coalesce(F.sum("_in").over(earlier), F.lit(0)))
-    ranks = {n: (F.col("_total") - 1) * F.lit(p) for n, p in percentiles.items()}
-
-    def holds(start, length):
-        tests = [
-            (F.ceil(pos) >= start) & (F.floor(pos) < start + length) for pos in ranks.values()
-        ]
-        out = tests[0]
-        for t in tests[1:]:
-            out = out | t
-        return out
-
-    wanted = offsets.where(holds(F.col("_before"), F.col("_in"))).select(
-        *[F.col(b).alias(f"_k_{b}") for b in by], F.col("_s").alias("_ws"), "_before"
-    )
-    near = placed.join(wanted, _null_safe(by) & (F.col("_s") == F.col("_ws"))).drop(
-        *[f"_k_{b}" for b in by], "_ws"
-    )
-    inside = Window.partitionBy(*by, "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranged = near.withColumn("_end", F.col("_before") + F.sum("_n").over(inside)).withColumn(
-        "_start", F.col("_end") - F.col("_n")
-    )
+    counts = _written(work.groupBy(*by, "_v").agg(F.count("*").alias("_n")), "value-counts")
+    ranges = wanted_ranges(counts, by, percentiles, slices, ordered)
+    inside = Window.partitionBy(*by, "_lo").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranged = _within(counts, ranges, by).withColumn("_end", F.col("_before") + F.sum("_n").over(inside))
+    ranged = ranged.withColumn("_start", F.col("_end") - F.col("_n"))
+    ranks = _ranks(percentiles)
     parts = []
     for n, pos in ranks.items():
         for tag, at in (("l", F.floor(pos)), ("h", F.ceil(pos))):
@@ -72,15 +48,73 @@ def exact_percentiles(
                 F.max(F.when((at >= F.col("_start")) & (at < F.col("_end")), F.col("_v"))).alias(f"_{tag}_{n}")
             )
     found = ranged.groupBy(*by).agg(F.max("_total").alias("_total"), *parts)
+    low, high = ({n: F.col(f"_{tag}_{n}") for n in ranks} for tag in "lh")
     return found.select(
         *keys,
         *[
-            (F.col(f"_l_{n}") + (F.col(f"_h_{n}") - F.col(f"_l_{n}")) * (pos - F.floor(pos))).alias(n)
+            F.when(low[n] == high[n], low[n]).otherwise(low[n] + (high[n] - low[n]) * (pos - F.floor(pos))).alias(n)
             for n, pos in ranks.items()
         ],
     )
 
 
+def wanted_ranges(
+    counts: DataFrame, by: Sequence[str], percentiles: Mapping[str, float], slices: int = SLICES, ordered: int = ORDERED
+) -> DataFrame:
+    """Disjoint ranges ``_lo.._hi`` per key that hold every wanted rank, with ``_in`` rows, ``_distinct`` values, and ``_before`` rows below.
+
+    ``counts`` has ``_n`` rows of each key's value ``_v``. Every cut parts the least value of a range from its largest, so the
+    loop ends; only the largest number of distinct values reaches the driver.
+    """
+    ends = [F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_in"), F.count("*").alias("_distinct")]
+    ranges = counts.groupBy(*by).agg(*ends).withColumn("_total", F.col("_in")).withColumn("_before", F.lit(0).cast("long"))
+    earlier = Window.partitionBy(*by, "_outer").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    while True:
+        ranges = _written(ranges, "value-ranges")
+        largest = ranges.agg(F.max("_distinct")).first()[0]
+        if largest is None or largest <= max(ordered, 1):
+            return ranges
+        cut = _within(counts, ranges, by).withColumn("_s", _slice(slices)).withColumnRenamed("_lo", "_outer")
+        cut = cut.groupBy(*by, "_outer", "_before", "_total", "_s").agg(*ends)
+        cut = cut.withColumn("_before", F.col("_before") + F.coalesce(F.sum("_in").over(earlier), F.lit(0)))
+        holds = F.lit(False)
+        for pos in _ranks(percentiles).values():
+            holds = holds | ((F.ceil(pos) >= F.col("_before")) & (F.floor(pos) < F.col("_before") + F.col("_in")))
+        ranges = cut.where(holds).drop("_outer", "_s")
+
+
+def _slice(slices: int):
+    """Which part of its range a value is in: by sign first, then in equal steps, on a log scale where the range spans magnitudes."""
+    v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
+    last = max(slices, 3) - 1
+    wide = F.greatest(F.abs(lo), F.abs(hi)) > 2 * F.least(F.abs(lo), F.abs(hi))
+
+    def scale(x):
+        return F.when(wide, F.signum(hi) * F.log(F.abs(x))).otherwise(x)
+
+    step = (scale(v) - scale(lo)) / (scale(hi) - scale(lo)) * (last + 1)
+    inner = F.when(F.isnan(step), 1).otherwise(F.greatest(F.lit(0), F.least(F.floor(step), F.lit(last))))  # no number: an infinite end
+    ends = F.when(v == lo, 0).when(v == hi, last).otherwise(inner)
+    return F.when(F.signum(lo) * F.signum(hi) <= 0, F.signum(v) + 1).otherwise(ends).cast("long")
+
+
+def _within(counts: DataFrame, ranges: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Values with the range of their key that they are in; a key has at most two ranges per percentile."""
+    named = ranges.select(*[F.col(b).alias(f"_k_{b}") for b in by], "_lo", "_hi", "_before", "_total")
+    met = counts.join(named, _null_safe(by) & F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    return met.drop(*[f"_k_{b}" for b in by])
+
+
+def _ranks(percentiles: Mapping[str, float]):
+    return {n: (F.col("_total") - 1) * F.lit(p) for n, p in percentiles.items()}
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _null_safe(by: Sequence[str]):
     out = None
     for b in by:
@@ -106,8 +140,6 @@ def connected_groups(links: DataFrame, left: str, right: str) -> DataFrame:
     checkpoint in the shared folder every round; the loop stops when nothing
     changes, which one aggregate row tells the driver.
     """
-    from kontora.session import shared_dir
-
     shared_dir(links.sparkSession)
     both = (
         links.select(F.col(left).alias("a"), F.col(right).alias("b"))

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kontora.operators.aggregates import connected_groups, exact_percentiles, histogram
+from kontora.operators.aggregates import connected_groups, exact_percentiles, histogram, wanted_ranges
 from kontora.operators.ranking import latest_per_key, sample_per_key, top_per_key
 
 P = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p95": 0.95, "p100": 1.0}
@@ -29,6 +29,36 @@ def test_percentiles_without_key_and_with_null_key(spark):
     assert {(r.k, r.m) for r in exact_percentiles(df, ["k"], "v", {"m": 0.5}).collect()} == {(None, 2.0), ("a", 10.0)}
 
 
+SHAPES = {
+    "outlier": [0.0] + [1.7e9 + i for i in range(3000)],
+    "negative": [-(2.0**i) for i in range(60)] + [-1e6 - i / 7 for i in range(500)],
+    "tiny": [i * 1e-300 for i in range(500)] + [i * 1e-5 for i in range(500)] + [1e12],
+    "around": [(-1) ** i * 1.5 ** (i % 90) * (1 + i / 1e4) for i in range(1500)],
+    "ties": [7.0] * 4000 + [8.0, 9.0],
+    "ends": [float("inf"), float("-inf")] + [float(i) for i in range(300)],
+}
+
+
+def test_no_range_holds_more_values_than_one_task_may_order(spark):
+    data = [(k, v) for k, values in SHAPES.items() for v in values]
+    df = spark.createDataFrame(data, "k string, v double")
+    inner = {"p25": 0.25, "p50": 0.5, "p95": 0.95}
+    slices, ordered = 256, 4
+    counts = df.groupBy("k", F.col("v").alias("_v")).agg(F.count("*").alias("_n"))
+    ranges = wanted_ranges(counts, ["k"], inner, slices, ordered).collect()
+    assert max(r["_distinct"] for r in ranges) <= ordered
+    assert {r["k"] for r in ranges} == set(SHAPES)
+    got = {r.k: r for r in exact_percentiles(df, ["k"], "v", inner, slices, ordered).collect()}
+    for k, values in SHAPES.items():
+        for name, p in inner.items():
+            assert got[k][name] == pytest.approx(float(np.percentile(values, p * 100)), rel=1e-12), (k, name)
+
+
+def test_percentiles_of_nothing(spark):
+    df = spark.createDataFrame([("a", None)], "k string, v double")
+    assert exact_percentiles(df, ["k"], "v", {"m": 0.5}).collect() == []
+
+
 def test_connected_groups_match_union_find(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(100, 160)]  # one long chain
