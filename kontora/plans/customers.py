@@ -12,7 +12,7 @@ from kontora.functions.scalars import (
 from kontora.operators.joins import Child, join_children
 
 DEPOSIT_TYPES = ("CHECKING", "SAVINGS")
-CREDIT_TYPES = ("BELIEVE_CARD", "LINE_OF_CREDIT")
+CREDIT_TYPES = ("BELIEVE_CARD", "LINE_OF_CREDIT")  # fixed values of the account_type column
 
 
 def customer_360(b, as_of: dt.date | None = None, fanout: str = "correct") -> DataFrame:
