@@ -30,8 +30,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every row of the mix."""
-    return pieces.encoded(docs)
+    """Piece ids of every row of the mix; a document that several epochs take has other draws in each."""
+    return pieces.encoded(docs, copies=True)
 
 
 STAGES = [

@@ -1,28 +1,32 @@
 """SentencePiece encoding with seeded merge dropout, and lossless decoding.
 
-Merges run by an agenda: of all adjacent pairs that form a piece, the best-scored one is taken, leftmost first. A candidate is
-skipped for good when its keyed hash falls below the dropout rate, so a word has several segmentations. The key holds the seed,
-the word, the candidate's place in it and one of ``VARIANTS`` numbers drawn per document and word position; that keeps runs
-repeatable and lets a worker reuse the segmentations of frequent words. Characters without a piece become byte pieces.
+Merges run by an agenda: of all adjacent pairs that form a piece, the best-scored one is taken, leftmost first. Every candidate
+taken is skipped for good with the dropout rate. The draws of an occurrence come from the seed, its document, the document's
+copy and its place in the text, as the numbers of steps between skips, so each occurrence has draws of its own and runs are
+repeatable. What a word becomes depends on its skipped steps alone, so a worker remembers segmentations by word and skips: that
+saves time and leaves out none. Characters without a piece become byte pieces.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, compress, repeat
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from kontora.llm.common import id_of, keyed, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 20240817
+#: Segmentations with up to so many skips are remembered; those with more are made anew each time.
 VARIANTS = 2
 #: Segmentations that a worker remembers before it starts anew.
 MEMORY = 1_200_000
@@ -32,6 +36,7 @@ MARK = "▁"
 _SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _NONE = float("inf")
 _FULL = (1 << 64) - 1
+_NEVER = 1 << 40
 
 
 def vocabulary(path: str = MODEL) -> tuple[dict[str, int], list[float], list[int]]:
@@ -44,18 +49,21 @@ def vocabulary(path: str = MODEL) -> tuple[dict[str, int], list[float], list[int
     return plain, [model.get_score(i) for i in range(size)], [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
 
 
-def _keys(points: np.ndarray, variant: np.ndarray, seed: int) -> np.ndarray:
-    """A 64-bit key per row of code points (padded with zeros), drawn with its variant and the seed."""
+def _spots(keys: list[int], sizes: list[int], seed: int) -> np.ndarray:
+    """A 64-bit key per stretch of texts with the given keys and numbers of stretches."""
     with np.errstate(over="ignore"):
-        place = (np.arange(points.shape[1], dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-        parts = np.where(points > 0, mix(points.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + place), np.uint64(0))
-        return mix(parts.sum(axis=1, dtype=np.uint64) + mix(np.uint64(seed & _FULL) + variant.astype(np.uint64)))
+        text = mix(np.array([k & _FULL for k in keys], np.uint64) + mix(np.full(1, seed & _FULL, np.uint64)))
+        first = np.repeat(np.cumsum(sizes) - sizes, sizes)
+        place = (np.arange(len(first)) - first + 1).astype(np.uint64)
+        return mix(np.repeat(text, sizes) + place * np.uint64(0x9E3779B97F4A7C15))
 
 
-def _draws(key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The 64-bit draw of the candidate that joins [start, middle) and [middle, end)."""
-    with np.errstate(over="ignore"):
-        return mix(key + (start.astype(np.uint64) << np.uint64(42)) + (middle.astype(np.uint64) << np.uint64(21)) + end.astype(np.uint64))
+def _plan(spots: np.ndarray, skips: int, dropout: float) -> np.ndarray:
+    """Per key the steps at which the first ``skips`` skips fall: each step is one with the dropout rate."""
+    with np.errstate(over="ignore", divide="ignore"):
+        draws = mix(spots[:, None] + np.arange(1, skips + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        gaps = np.log(((draws >> np.uint64(11)) + np.uint64(1)) * 2.0**-53) / np.log1p(-dropout)
+    return np.cumsum(np.minimum(gaps, _NEVER).astype(np.int64) + 1, axis=1) - 1
 
 
 class Encoder:
@@ -64,10 +72,12 @@ class Encoder:
     def __init__(self, vocab, dropout: float = DROPOUT, seed: int = SEED):
         self.ids, scores, self.bytes = vocab
         self.rank = {p: -scores[i] for p, i in self.ids.items()}
-        self.bound, self.seed = int(dropout * (1 << 64)), seed
+        self.dropout, self.seed = dropout, seed
         # the empty stretch stands for a mark in the text itself
         self.marks = np.array([self.bytes[b] for b in MARK.encode()], "<i4").tobytes()
-        self.memory: list[dict[str, bytes]] = [{"": self.marks} for _ in range(VARIANTS if dropout else 1)]
+        # by number of skips: stretch and skipped steps (as characters) to a place in ``made`` (packed ids) and ``steps``
+        self.memory: list[dict[str, int]] = [{} for _ in range(VARIANTS + 1 if dropout else 1)]
+        self._forget()
         pieces = {i: p.replace(MARK, " ").encode() for p, i in self.ids.items()} | {i: bytes([b]) for b, i in enumerate(self.bytes)}
         self.piece_bytes = [pieces.get(i, b"") for i in range(len(scores))]
         self.of_point = np.full(0x110000, -1, np.int32)
@@ -82,18 +92,28 @@ class Encoder:
         self.joined = np.array([joins[k] for k in sorted(joins)], np.int64)
         self.cost = np.array([-scores[i] for i in self.joined])
 
+    def _forget(self) -> None:
+        for m in self.memory:
+            m.clear()
+        self.memory[0][""] = 0
+        self.made, self.steps = [self.marks], array("q", [0])
+
     def _pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The join that two symbols make, or -1."""
         key = (a.astype(np.int64) << 32) | b
         at = np.minimum(np.searchsorted(self.joins, key), len(self.joins) - 1)
         return np.where((self.joins[at] == key) & (a >= 0) & (b >= 0), at, -1)
 
-    def segment(self, word: str, variant: int = 0) -> tuple[int, ...]:
-        """Piece ids of one stretch that no merge crosses."""
+    def _skips(self, spots: np.ndarray, length: int) -> np.ndarray:
+        """All skips that stretches of ``length`` characters may come to: a pair and each merge's two new ones are a step at most."""
+        return _plan(spots, 3 * length, self.dropout) if self.dropout else np.full((len(spots), 1), _NEVER)
+
+    def segment(self, word: str, key: int = 0) -> tuple[int, ...]:
+        """Piece ids of one stretch that no merge crosses, with the draws of ``key``."""
         parts = list(word)
         rank, at = self.rank, list(range(len(parts)))
-        points = np.array([list(map(ord, parts))], np.uint32)
-        key = _keys(points, np.array([variant]), self.seed)
+        skips = iter(self._skips(np.array([key & _FULL], np.uint64), len(parts))[0].tolist())
+        step, skip = 0, next(skips, _NEVER)
         agenda = [(rank[p], i, i + 1, i + 2) for i, p in enumerate(map("".join, zip(parts, parts[1:]))) if p in rank]
         heapify(agenda)
         before, after = [i - 1 for i in at], [i + 1 for i in at]
@@ -102,7 +122,9 @@ class Encoder:
             _, start, middle, end = heappop(agenda)
             if parts[start] is None or after[start] != middle or parts[middle] is None or after[middle] != end:
                 continue
-            if self.bound and int(_draws(key, np.array([start]), np.array([middle]), np.array([end]))[0]) < self.bound:
+            step += 1
+            if step > skip:
+                skip = next(skips, _NEVER)
                 continue
             parts[start] += parts[middle]
             parts[middle] = None
@@ -120,14 +142,19 @@ class Encoder:
                 out.extend([i] if i is not None else [self.bytes[b] for b in p.encode()])
         return tuple(out)
 
-    def segment_all(self, words: list[str], variants: list[int]) -> list[bytes]:
+    def segment_all(self, words: list[str], keys: list[int]) -> list[bytes]:
         """``segment`` of many stretches of about the same length, packed as little-endian 32-bit integers."""
+        return self._planned(words, self._skips(np.array([k & _FULL for k in keys], np.uint64), max(map(len, words))))[0]
+
+    def _planned(self, words: list[str], skips: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Packed ids of stretches that skip the given steps (in order, per row), how many steps each took and how many it skipped."""
         n, sizes = len(words), np.fromiter(map(len, words), np.int64, len(words))
         wide = int(sizes.max())
         inside = np.arange(wide)[None, :] < sizes[:, None]
         points = np.zeros((n, wide), np.uint32)
         points[inside] = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-        key = _keys(points, np.array(variants), self.seed)
+        skips = np.concatenate([skips, np.full((n, 1), _NEVER)], axis=1)
+        step, turn = np.zeros(n, np.int64), np.zeros(n, np.int64)
         symbol = self.of_point[points].astype(np.int64)
         symbol = np.where(symbol < 0, -1 - points.astype(np.int64), symbol)  # no piece: the character itself
         symbol[~inside] = -1
@@ -143,12 +170,11 @@ class Encoder:
             row, start = row[on], start[on]
             middle = after[row, start]
             end = after[row, middle]
-            if self.bound:
-                skip = _draws(key[row], start, middle, end) < np.uint64(self.bound)
-                cost[row[skip], start[skip]] = _NONE
-                r, start, middle, end = row[~skip], start[~skip], middle[~skip], end[~skip]
-            else:
-                r = row
+            skip = skips[row, turn[row]] == step[row]
+            step[row] += 1
+            turn[row[skip]] += 1
+            cost[row[skip], start[skip]] = _NONE
+            r, start, middle, end = row[~skip], start[~skip], middle[~skip], end[~skip]
             symbol[r, start] = self.joined[join[r, start]]
             after[r, start] = end
             alive[r, middle] = False
@@ -170,49 +196,75 @@ class Encoder:
         for k in odd:
             ids = chain.from_iterable([i] if i >= 0 else [self.bytes[b] for b in chr(-1 - i).encode()] for i in np.frombuffer(out[k], "<i4").tolist())
             out[k] = np.array(list(ids), "<i4").tobytes()
-        return out
-
-    def _learn(self, wanted: dict[tuple[str, int], None]) -> None:
-        short: dict[int, list[tuple[str, int]]] = {}
-        for word, v in wanted:
-            if len(word) > WIDE:
-                self.memory[v][word] = np.array(self.segment(word, v), "<i4").tobytes()
-            else:
-                short.setdefault(len(word) // 4, []).append((word, v))
-        for some in short.values():
-            for k in range(0, len(some), 20_000):
-                part = some[k : k + 20_000]
-                for (word, v), ids in zip(part, self.segment_all([w for w, _ in part], [v for _, v in part])):
-                    self.memory[v][word] = ids
+        return out, step, turn
+
+    def _learn(self, words: list[str], plan: np.ndarray) -> list[int]:
+        """Places in ``made`` of short stretches, those of about the same length segmented together, each remembered by the skips it took."""
+        places, group = np.zeros(len(words), np.int64), np.fromiter(map(len, words), np.int64, len(words)) // 4
+        for g in np.unique(group).tolist():
+            same = np.flatnonzero(group == g)
+            for part in (same[k : k + 20_000] for k in range(0, len(same), 20_000)):
+                some, first = [words[k] for k in part], len(self.made)
+                made, steps, used = self._planned(some, plan[part])
+                self.made += made
+                self.steps.extend(steps.tolist())
+                places[part] = first + np.arange(len(part))
+                for place, (word, n, skips) in enumerate(zip(some, used.tolist(), plan[part].tolist()), first):
+                    if n < len(self.memory):
+                        self.memory[n][word + "".join(map(chr, skips[:n])) if n else word] = place
+        return places.tolist()
+
+    def _segmented(self, words: list[str], spots: np.ndarray) -> list[bytes]:
+        """Packed ids of every stretch: looked up by its skips as long as these fall within the steps it takes."""
+        long = [k for k, w in enumerate(words) if len(w) > WIDE]
+        short = words
+        if long:
+            short = list(words)
+            for k in long:
+                short[k] = ""
+        known = self.memory[0]
+        new = [*dict.fromkeys(w for w in short if w not in known)]
+        if new:
+            self._learn(new, np.zeros((len(new), 0), np.int64))
+        at = np.fromiter(map(known.__getitem__, short), np.int64, len(short))
+        if self.dropout:
+            plan = _plan(spots, VARIANTS + 4, self.dropout)
+            skipping = np.flatnonzero(plan[:, 0] < np.frombuffer(self.steps, np.int64)[at])
+            some = [short[k] for k in skipping.tolist()]
+            plan, names, open_, found = plan[skipping], some, np.arange(len(some)), np.full(len(some), -1)
+            for skips, known in enumerate(self.memory[1:], 1):
+                names = list(map(add, names, map(chr, np.minimum(plan[open_, skips - 1], 4 * WIDE).tolist())))
+                place = np.fromiter(map(known.get, names, repeat(-1)), np.int64, len(names))
+                hit = (place >= 0) & (np.frombuffer(self.steps, np.int64)[place] <= plan[open_, skips])
+                found[open_[hit]] = place[hit]
+                names, open_ = list(compress(names, (~hit).tolist())), open_[~hit]
+            if len(open_):
+                some, plan = [some[k] for k in open_.tolist()], plan[open_]
+                places = self._learn(some, plan)
+                for n in np.flatnonzero(plan[:, -1] < np.frombuffer(self.steps, np.int64)[places]).tolist():  # more skips than planned
+                    places[n] = len(self.made)
+                    self.made.append(np.array(self.segment(some[n], int(spots[skipping[open_[n]]])), "<i4").tobytes())
+                    self.steps.append(0)
+                found[open_] = places
+            at[skipping] = found
+        got = list(map(self.made.__getitem__, at.tolist()))
+        for k in long:
+            got[k] = np.array(self.segment(words[k], int(spots[k])), "<i4").tobytes()
+        return got
 
     def encode_all(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:
         """Piece ids of every text. A mark that stands in a text itself becomes bytes, as a piece would read as a space."""
-        if sum(map(len, self.memory)) > MEMORY:
-            for m in self.memory:
-                m.clear()
-                m[""] = self.marks
-        memory, todo, wanted = self.memory, [], {}
-        for text, key in zip(texts, keys):
-            stretches: list[str] = []
+        if len(self.made) > MEMORY:
+            self._forget()
+        words, sizes = [], []
+        for text in texts:
+            before = len(words)
             for k, part in enumerate(text.split(MARK) if text else ()):
-                stretches += [""] * (k > 0) + _SEGMENT.findall((MARK if not k else "") + part.replace(" ", MARK))
-            if len(memory) > 1:
-                with np.errstate(over="ignore"):
-                    draws = (mix(np.uint64(key & _FULL) + np.arange(len(stretches), dtype=np.uint64)) % np.uint64(VARIANTS)).tolist()
-            else:
-                draws = [0] * len(stretches)
-            got = [memory[v].get(w) for w, v in zip(stretches, draws)]
-            gaps = [k for k, ids in enumerate(got) if ids is None] if None in got else []
-            for k in gaps:
-                wanted[stretches[k], draws[k]] = None
-            todo.append((got, [(k, stretches[k], draws[k]) for k in gaps]))
-        self._learn(wanted)
-        out = []
-        for got, gaps in todo:
-            for k, word, v in gaps:
-                got[k] = memory[v][word]
-            out.append(np.frombuffer(b"".join(got), "<i4"))
-        return out
+                words += [""] * (k > 0) + _SEGMENT.findall((MARK if not k else "") + part.replace(" ", MARK))
+            sizes.append(len(words) - before)
+        got = self._segmented(words, _spots(keys, sizes, self.seed))
+        cuts = np.cumsum([0, *sizes]).tolist()
+        return [np.frombuffer(b"".join(got[a:b]), "<i4") for a, b in zip(cuts, cuts[1:])]
 
     def encode(self, text: str, key: int = 0) -> list[int]:
         return self.encode_all([text], [key])[0].tolist()
@@ -222,12 +274,13 @@ class Encoder:
         return b"".join([known[i] for i in (ids.tolist() if isinstance(ids, np.ndarray) else ids)]).decode("utf-8", "replace")[1:]
 
 
-def encoded(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, pieces: bool = True) -> DataFrame:
+def encoded(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, pieces: bool = True, copies: bool = False) -> DataFrame:
     """``doc_id, n_chars, n_pieces, pieces_sha256, lossless`` and, if asked for, ``pieces`` (array of ids), per row of ``docs``.
 
     The digest is of the ids as little-endian 32-bit integers; ``lossless`` says whether decoding gave the text back. A null or
-    empty text has no pieces. Rows that repeat id and text get equal pieces, equal texts under other ids others. An empty table
-    gives no rows. Other columns are ignored. Any length works; only segmentations of short stretches are remembered.
+    empty text has no pieces. Rows that repeat id and text get equal pieces, equal texts under other ids others; with ``copies``
+    such rows are numbered and each gets pieces of its own, as the epochs of a mix should. An empty table gives no rows. Other
+    columns are ignored. Any length works; only segmentations of short stretches are remembered.
     """
     # about 32,000 pieces, read where the model lies and sent once to each executor
     shipped = docs.sparkSession.sparkContext.broadcast(vocabulary(model))
@@ -240,7 +293,7 @@ def encoded(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed:
                 bodies = [t or "" for t in part.column("text").to_pylist()]
                 rows = [
                     (len(t), ids, coder.decode(ids) == t)
-                    for t, ids in zip(bodies, coder.encode_all(bodies, part.column("h").to_pylist()))
+                    for t, ids in zip(bodies, coder.encode_all(bodies, part.column("k").to_pylist()))
                 ]
                 columns = [
                     part.column("d"), pa.array([r[0] for r in rows], pa.int64()), pa.array([len(r[1]) for r in rows], pa.int64()),
@@ -253,7 +306,11 @@ def encoded(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed:
 
     schema = "d long, n_chars long, n_pieces long, pieces_sha256 string, lossless boolean" + ", pieces array<int>" * pieces
     names = [c.split()[0] for c in schema.split(", ")]
-    out = keyed(docs).mapInArrow(run, schema)
+    rows = keyed(docs).withColumn("k", F.col("h"))
+    if copies:
+        copy = F.row_number().over(Window.partitionBy("d", "h").orderBy("d"))
+        rows = rows.withColumn("k", F.when(copy == 1, F.col("h")).otherwise(F.xxhash64("h", copy)))
+    out = rows.mapInArrow(run, schema)
     return out.select(id_of(F.col("d")).alias("doc_id"), *names[1:])
 
 

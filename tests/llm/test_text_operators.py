@@ -68,6 +68,21 @@ def test_pieces_with_dropout(spark, vocabulary):
     assert pieces.encoded(docs.limit(0)).collect() == []
 
 
+def test_every_occurrence_has_draws_of_its_own(spark, vocabulary):
+    """A word's segmentations over many places are as frequent as those that the public model samples, also in copies of a document."""
+    model, coder = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL), pieces.Encoder(vocabulary)
+    n, word = 20_000, "▁wonderful"
+    places = coder._segmented([word] * n, pieces._spots([5], [n], pieces.SEED))
+    kinds = Counter(tuple(np.frombuffer(ids, "<i4").tolist()) for ids in places)
+    free = Counter(tuple(model.encode("wonderful", enable_sampling=True, alpha=pieces.DROPOUT, nbest_size=-1)) for _ in range(n))
+    assert len(kinds) > 20 and all(abs(kinds[ids] - free[ids]) < 0.02 * n for ids in kinds | free)
+    assert pieces.Encoder(vocabulary)._segmented([word] * 9, pieces._spots([5], [n], pieces.SEED)[n - 9 :]) == places[-9:]  # whatever is remembered
+    docs = spark.createDataFrame([(1, "a wonderful afternoon " * 20)] * 3, "doc_id long, text string")
+    assert len({r.pieces_sha256 for r in pieces.encoded(docs).collect()}) == 1
+    first = sorted(r.pieces_sha256 for r in pieces.encoded(docs, copies=True).collect())
+    assert len(set(first)) == 3 and first == sorted(r.pieces_sha256 for r in pieces.encoded(docs.repartition(3), copies=True).collect())
+
+
 def test_token_trees_follow_edits():
     counter = token_counts.Counter(open(token_counts.RANKS, "rb").read())
     rng = random.Random(4)
