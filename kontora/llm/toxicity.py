@@ -25,6 +25,8 @@ EPOCHS = 20
 MIN_DOCS = 3
 #: Terms in at least this share of the rows stay whether or not they tell the classes apart: a pair may.
 COMMON = 0.2
+#: Terms whose pairs are counted at a time.
+PAIRED = 1024
 _LETTERS = np.zeros(256, bool)
 _LETTERS[65:91] = _LETTERS[97:123] = _LETTERS[128:] = True
 
@@ -75,22 +77,76 @@ class Machine:
 def _raw(row, at, n, weights, factors, bias):
     v = factors[at]
     sums = np.zeros((n, factors.shape[1]))
-    np.add.at(sums, row, v)
+    for k in range(factors.shape[1]):
+        sums[:, k] = np.bincount(row, v[:, k], n)
     squares = np.bincount(row, (v * v).sum(axis=1), n)
     return bias + np.bincount(row, weights[at], n) + 0.5 * ((sums * sums).sum(axis=1) - squares), sums
 
 
+def _odd(share: np.ndarray, expected: np.ndarray | float) -> np.ndarray:
+    """Divergence of shares of toxic rows from the expected ones."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.nan_to_num(share * np.log(share / expected)) + np.nan_to_num((1 - share) * np.log((1 - share) / (1 - expected)))
+
+
+def _paired(row: np.ndarray, at: np.ndarray, label: np.ndarray, counts: np.ndarray, share: np.ndarray, base: float) -> np.ndarray:
+    """The terms of pairs whose share of toxic rows chance would hardly (once among all pairs) make so odd beside what its terms,
+    each alone and both added up, say. All pairs that stand in enough rows to tell are counted, a block of terms at a time."""
+    keep = np.zeros(len(counts), bool)
+    if not 0 < base < 1:
+        return keep
+    rare = min(base, 1 - base)
+    often = np.flatnonzero((counts >= MIN_DOCS) & (counts * -np.log(rare) > 1))
+    for _ in range(2):  # fewer terms make fewer pairs, and those need fewer rows
+        least = np.log(max(2, len(often) * (len(often) - 1) // 2))
+        often = often[counts[often] * -np.log(rare) > least]
+    place = np.full(len(counts), -1)
+    place[often] = np.arange(len(often))
+    known = place[at] >= 0
+    row, at = row[known], place[at[known]]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    cuts = np.searchsorted(at, np.arange(0, len(often) + PAIRED, PAIRED))
+    # toxic rows first, so that both classes are slices of a block
+    n, toxic = len(label), int((label == 1).sum())
+    row = np.argsort(np.argsort(label != 1, kind="stable"))[row]
+    smooth = (share[often] * counts[often] + base) / (counts[often] + 1)
+    logit = np.log(smooth / (1 - smooth))
+
+    def block(k: int) -> np.ndarray:
+        out = np.zeros((n, min(PAIRED, len(often) - k * PAIRED)), np.float32)
+        out[row[cuts[k] : cuts[k + 1]], at[cuts[k] : cuts[k + 1]] - k * PAIRED] = 1
+        return out
+
+    for i in range(len(cuts) - 1):
+        a = block(i)
+        bad, good = a[:toxic].T.copy(), a[toxic:].T.copy()
+        for j in range(i, len(cuts) - 1):
+            b = block(j)
+            t = bad @ b[:toxic]
+            c = t + good @ b[toxic:]
+            x, y = np.nonzero(c * -np.log(rare) > least)
+            x, y, c, t = x + i * PAIRED, y + j * PAIRED, c[x, y].astype(float), t[x, y].astype(float)
+            one = x < y
+            x, y, c, t = x[one], y[one], c[one], t[one]
+            both = 1 / (1 + np.exp(-(logit[x] + logit[y] - np.log(base / (1 - base)))))
+            odd = np.minimum(np.minimum(_odd(t / c, smooth[x]), _odd(t / c, smooth[y])), np.minimum(_odd(t / c, both), _odd(t / c, base)))
+            tells = c * odd > least
+            keep[often[x[tells]]] = keep[often[y[tells]]] = True
+    return keep
+
+
 def fit(row: np.ndarray, term: np.ndarray, label: np.ndarray, seed: int = 7) -> Machine:
     """Fits by AdaGrad on the logistic loss, both classes weighing the same in total.
 
-    A term stays if it is common, or if chance would hardly (once among all terms) give it so odd a share of toxic rows.
+    A term stays if it is common, if chance would hardly (once among all terms) give it so odd a share of toxic rows, or if it
+    makes with another term a pair that tells what neither does.
     """
     terms, at, counts = np.unique(term, return_inverse=True, return_counts=True)
     base = label.mean() if len(label) else 0.0
     share = np.bincount(at, label[row], len(terms)) / np.maximum(counts, 1)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        odd = np.nan_to_num(share * np.log(share / base)) + np.nan_to_num((1 - share) * np.log((1 - share) / (1 - base)))
-    keep = (counts >= MIN_DOCS) & ((counts * odd > np.log(max(1, len(terms)))) | (counts >= COMMON * len(label)))
+    keep = (counts >= MIN_DOCS) & ((counts * _odd(share, base) > np.log(max(1, len(terms)))) | (counts >= COMMON * len(label)))
+    keep |= _paired(row, at, label, counts, share, base)
     place = np.cumsum(keep) - 1
     row, at, terms = row[keep[at]], place[at[keep[at]]], terms[keep]
     n, rng = len(label), np.random.Generator(np.random.PCG64(seed))
@@ -111,9 +167,8 @@ def fit(row: np.ndarray, term: np.ndarray, label: np.ndarray, seed: int = 7) ->
             g = weigh[some] * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - label[some]) / len(some)
             used, where = np.unique(flat, return_inverse=True)
             dw = np.bincount(where, g[own], len(used)) + 1e-5 * weights[used]
-            dv = np.zeros((len(used), FACTORS))
-            np.add.at(dv, where, g[own, None] * (sums[own] - factors[flat]))
-            dv += 1e-4 * factors[used]
+            push = g[own, None] * (sums[own] - factors[flat])
+            dv = np.stack([np.bincount(where, push[:, k], len(used)) for k in range(FACTORS)], axis=1) + 1e-4 * factors[used]
             gw[used] += dw * dw
             gv[used] += dv * dv
             gb += g.sum() ** 2

@@ -204,6 +204,31 @@ def test_toxicity_learns_words_and_pairs(spark):
     assert kept.columns == docs.columns and 800 < kept.count() < 1000
 
 
+def test_toxicity_learns_rare_pairs_with_balanced_marginals():
+    """Two words that stand in 8 % of rows, as often in toxic as in clean ones, and in 4 % together, which is toxic."""
+    rng = random.Random(5)
+    plain = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(400)]
+
+    def made(n):
+        rows, label, both = [], [], []
+        for _ in range(n):
+            u = rng.random()
+            extra, toxic = (["group", "leave"], 1) if u < 0.04 else (["group"], 0) if u < 0.08 else (["leave"], 0) if u < 0.12 else (["idiot"], 1) if u < 0.58 else ([], 0)
+            words = rng.sample(plain, 40) + extra
+            rng.shuffle(words)
+            rows.append(" ".join(words).encode())
+            label.append(toxic)
+            both.append("".join(sorted(extra)))
+        return toxicity.features(rows), np.array(label, float), np.array(both)
+
+    seen, label, _ = made(3000)
+    machine = toxicity.fit(*seen, label)
+    new, label, both = made(3000)
+    right = (machine.score(*new, 3000) >= 0.5) == label
+    for kind in set(both.tolist()):
+        assert right[both == kind].mean() > 0.95, kind
+
+
 def test_toxicity_edge_cases(spark):
     docs = spark.createDataFrame([(1, None, 1.0), (2, "", 1.0), (2, "", 1.0), (None, "x y", 1.0)], "doc_id long, text string, score double")
     for labels in ([], [(1, 0, 1), (2, 1, None), (7, 0, 0)], [(1, 0, 0), (2, 0, 1), (2, 0, 0)]):
