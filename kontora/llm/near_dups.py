@@ -309,6 +309,11 @@ def report(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose document is the least of its component."""
+    """One row of ``docs`` per component: its least document; of rows that repeat its id and text, one (the least of their other
+    columns' hashes)."""
     keep = near_duplicates(docs, width, percent).filter("d = cd and h = ch").select("d", "h").distinct()
-    return packed(docs).join(stored(keep, "keep").hint("merge"), ["d", "h"], "left_semi").select("row.*")
+    rows = packed(docs).join(stored(keep, "keep").hint("merge"), ["d", "h"], "left_semi")
+    # repeats meet as hashes, not as texts; rows equal in every column share a hash, so their places tell them apart
+    rows = stored(rows.withColumn("mark", F.xxhash64("row")).withColumn("place", F.monotonically_increasing_id()), "least")
+    one = rows.groupBy("d", "h").agg(F.min(F.struct("mark", "place")).getField("place").alias("place"))
+    return rows.join(stored(one.select("place"), "one").hint("merge"), "place", "left_semi").select("row.*")

@@ -67,6 +67,16 @@ def test_edge_cases(spark):
     assert kept.columns == docs.columns and kept.filter("doc_id = 6 or doc_id = 7").count() == 1
 
 
+def test_one_row_stays_of_rows_that_repeat_id_and_text(spark):
+    rows = [(1, "a b c", "s"), (1, "a b c", "s"), (1, "a b c", "t"), (2, "a b c", "s"), (3, None, "s"), (3, None, "s"), (None, "x y", "s"), (None, "x y", "s"), (4, "q", "s")] + [(9, "r s t", "u")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for n in (1, 5):
+        kept = near_dups.one_of_each(docs.repartition(n), 2)
+        assert kept.columns == docs.columns
+        assert sorted((r.doc_id or 0, r.text) for r in kept.collect() if r.text) == [(0, "x y"), (1, "a b c"), (4, "q"), (9, "r s t")]
+        assert kept.filter("doc_id = 3").count() == 1
+
+
 def test_registers_estimate_similarity():
     rng = np.random.default_rng(1)
     errors = []
