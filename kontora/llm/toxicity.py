@@ -100,6 +100,13 @@ def _paired(row: np.ndarray, at: np.ndarray, label: np.ndarray, counts: np.ndarr
     for _ in range(2):  # fewer terms make fewer pairs, and those need fewer rows
         least = np.log(max(2, len(often) * (len(often) - 1) // 2))
         often = often[counts[often] * -np.log(rare) > least]
+    # terms that stand in the same rows, as a word and its beginnings often do, are counted once
+    marks = np.zeros(len(counts), np.uint64)
+    with np.errstate(over="ignore"):
+        np.add.at(marks, at, mix(row.astype(np.uint64) + np.uint64(1)))
+    every = often
+    _, first, like = np.unique(marks[every], return_index=True, return_inverse=True)
+    often = every[first]
     place = np.full(len(counts), -1)
     place[often] = np.arange(len(often))
     known = place[at] >= 0
@@ -133,6 +140,7 @@ def _paired(row: np.ndarray, at: np.ndarray, label: np.ndarray, counts: np.ndarr
             odd = np.minimum(np.minimum(_odd(t / c, smooth[x]), _odd(t / c, smooth[y])), np.minimum(_odd(t / c, both), _odd(t / c, base)))
             tells = c * odd > least
             keep[often[x[tells]]] = keep[often[y[tells]]] = True
+    keep[every] = keep[often][like]
     return keep
 
 
