@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kontora.llm import fingerprints, html_text, licences, line_runs, mixing, near_dups, pieces, quality, token_counts, toxicity
+from kontora.llm import fingerprints, html_text, licences, line_runs, mixing, near_dups, pieces, quality, token_counts, toxicity, whitening
 from kontora.llm.common import documents
 
 
@@ -26,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_duplicates": lambda s, f: near_dups.report(documents(s, f), width=2),
         "op9_html_extraction": lambda s, f: html_text.report(s.read.parquet(f"{f}/pages.parquet")),
         "op10_toxicity": lambda s, f: toxicity.report(documents(s, f), labels(s, f)),
+        "op11_embedding_whitening": lambda s, f: whitening.report(s.read.parquet(f"{f}/embeddings.parquet")),
     }
 
 
