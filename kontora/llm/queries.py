@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kontora.llm import fingerprints, html_text, licences, line_runs, mixing, near_dups, pieces, quality, token_counts, toxicity, warc, whitening
+from kontora.llm import fingerprints, html_text, licences, line_runs, mixing, near_dups, periodic, pieces, quality, token_counts, toxicity, warc, whitening
 from kontora.llm.common import documents
 
 
@@ -28,6 +28,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_toxicity": lambda s, f: toxicity.report(documents(s, f), labels(s, f)),
         "op11_embedding_whitening": lambda s, f: whitening.report(s.read.parquet(f"{f}/embeddings.parquet")),
         "op12_warc_archives": lambda s, f: warc.report(s.read.parquet(f"{f}/pages.parquet")).drop("record_id"),
+        "op13_periodic_runs": lambda s, f: periodic.report(documents(s, f)),
     }
 
 
