@@ -12,9 +12,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from kontora.llm.common import Scan, id_of, keyed, mix, packed, row_key, stored, texts
+from kontora.llm.common import Scan, id_of, keyed, mix, packed, partitions, row_key, stored, texts
 
 #: At most so many labelled rows of either class are fitted, chosen by a hash of the id.
 TOXIC_ROWS = 3000
@@ -25,8 +25,10 @@ EPOCHS = 20
 MIN_DOCS = 3
 #: Terms in at least this share of the rows stay whether or not they tell the classes apart: a pair may.
 COMMON = 0.2
-#: Terms whose pairs are counted at a time.
-PAIRED = 1024
+#: Features of a labelled row that are fitted at most, the first by a hash of row and feature; scoring takes all.
+FIT_FEATURES = 1024
+#: Stems whose pairs are counted at a time, and letters of a stem: one of PREFIXES.
+PAIRED, STEM = 512, 5
 _LETTERS = np.zeros(256, bool)
 _LETTERS[65:91] = _LETTERS[97:123] = _LETTERS[128:] = True
 
@@ -37,13 +39,13 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def features(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and hashed features of all texts, distinct and sorted by row."""
+    """Rows and hashed features of all texts, distinct and sorted by row. Odd hashes are stems: the first letters of a long word, or a short one."""
     scan = Scan(blobs, ~_LETTERS)
-    rows, terms = [scan.doc], [scan.words()]
+    rows, terms = [scan.doc], [scan.words() & ~np.uint64(1) | (scan.end - scan.start <= STEM).astype(np.uint64)]
     for k in PREFIXES:
         long = scan.end - scan.start > k
         rows.append(scan.doc[long])
-        terms.append(mix(scan.hash(scan.start[long], scan.start[long] + k) ^ np.uint64(k * 0x9E3779B9)))
+        terms.append(mix(scan.hash(scan.start[long], scan.start[long] + k) ^ np.uint64(k * 0x9E3779B9)) & ~np.uint64(1) | np.uint64(k == STEM))
     row, term = np.concatenate(rows), np.concatenate(terms)
     order = np.lexsort((term, row))
     row, term = row[order], term[order]
@@ -89,72 +91,92 @@ def _odd(share: np.ndarray, expected: np.ndarray | float) -> np.ndarray:
         return np.nan_to_num(share * np.log(share / expected)) + np.nan_to_num((1 - share) * np.log((1 - share) / (1 - expected)))
 
 
-def _paired(row: np.ndarray, at: np.ndarray, label: np.ndarray, counts: np.ndarray, share: np.ndarray, base: float) -> np.ndarray:
-    """The terms of pairs whose share of toxic rows chance would hardly (once among all pairs) make so odd beside what its terms,
-    each alone and both added up, say. All pairs that stand in enough rows to tell are counted, a block of terms at a time."""
-    keep = np.zeros(len(counts), bool)
+@dataclass
+class Pairs:
+    """The stems of a sample that stand in enough rows for a pair of them to tell something, as sorted ``at`` and ``row``, toxic rows
+    first; ``share`` is each one's share of toxic rows, ``base`` that of all."""
+
+    row: np.ndarray
+    at: np.ndarray
+    share: np.ndarray
+    base: float
+    toxic: int
+    rows: int
+    least: float
+
+    def blocks(self) -> list[tuple[int, int]]:
+        n = -(-len(self.share) // PAIRED)
+        return [(i, j) for i in range(n) for j in range(i, n)]
+
+    def _block(self, k: int) -> np.ndarray:
+        low, high = np.searchsorted(self.at, (k * PAIRED, (k + 1) * PAIRED))
+        out = np.zeros((self.rows, min(PAIRED, len(self.share) - k * PAIRED)), np.float32)
+        out[self.row[low:high], self.at[low:high] - k * PAIRED] = 1
+        return out
+
+    def telling(self, i: int, j: int) -> np.ndarray:
+        """The stems of pairs between two blocks whose share of toxic rows chance would hardly (once among all pairs) make so odd beside what
+        its stems, each alone and both added up, say."""
+        a, b, rare = self._block(i), self._block(j), min(self.base, 1 - self.base)
+        t = a[: self.toxic].T @ b[: self.toxic]
+        c = t + a[self.toxic :].T @ b[self.toxic :]
+        x, y = np.nonzero(c * -np.log(rare) > self.least)
+        c, t, x, y = c[x, y].astype(float), t[x, y].astype(float), x + i * PAIRED, y + j * PAIRED
+        one = x < y
+        x, y, c, t = x[one], y[one], c[one], t[one]
+        logit = np.log(self.share / (1 - self.share))
+        both = 1 / (1 + np.exp(-(logit[x] + logit[y] - np.log(self.base / (1 - self.base)))))
+        odd = np.minimum(np.minimum(_odd(t / c, self.share[x]), _odd(t / c, self.share[y])), np.minimum(_odd(t / c, both), _odd(t / c, self.base)))
+        tells = c * odd > self.least
+        return np.unique(np.concatenate([x[tells], y[tells]]))
+
+
+def _paired(row: np.ndarray, at: np.ndarray, label: np.ndarray, stem: np.ndarray, counts: np.ndarray, share: np.ndarray, spark: SparkSession | None) -> np.ndarray:
+    """Which terms belong to telling pairs of stems. All pairs that stand in enough rows are counted, a pair of blocks at a time, in Spark tasks if there is a session."""
+    keep, base = np.zeros(len(counts), bool), float(label.mean()) if len(label) else 0.0
     if not 0 < base < 1:
         return keep
-    rare = min(base, 1 - base)
-    often = np.flatnonzero((counts >= MIN_DOCS) & (counts * -np.log(rare) > 1))
-    for _ in range(2):  # fewer terms make fewer pairs, and those need fewer rows
-        least = np.log(max(2, len(often) * (len(often) - 1) // 2))
+    rare, least = min(base, 1 - base), 1.0
+    often = np.flatnonzero(stem & (counts >= MIN_DOCS))
+    for _ in range(3):  # fewer stems make fewer pairs, and those need fewer rows
         often = often[counts[often] * -np.log(rare) > least]
-    # terms that stand in the same rows, as a word and its beginnings often do, are counted once
-    marks = np.zeros(len(counts), np.uint64)
-    with np.errstate(over="ignore"):
-        np.add.at(marks, at, mix(row.astype(np.uint64) + np.uint64(1)))
-    every = often
-    _, first, like = np.unique(marks[every], return_index=True, return_inverse=True)
-    often = every[first]
-    place = np.full(len(counts), -1)
+        least = float(np.log(max(2, len(often) * (len(often) - 1) // 2)))
+    place = np.full(len(counts), -1, np.int32)
     place[often] = np.arange(len(often))
     known = place[at] >= 0
-    row, at = row[known], place[at[known]]
+    rank = np.argsort(np.argsort(label != 1, kind="stable")).astype(np.int32)
+    row, at = rank[row[known]], place[at[known]]
     order = np.argsort(at, kind="stable")
-    row, at = row[order], at[order]
-    cuts = np.searchsorted(at, np.arange(0, len(often) + PAIRED, PAIRED))
-    # toxic rows first, so that both classes are slices of a block
-    n, toxic = len(label), int((label == 1).sum())
-    row = np.argsort(np.argsort(label != 1, kind="stable"))[row]
     smooth = (share[often] * counts[often] + base) / (counts[often] + 1)
-    logit = np.log(smooth / (1 - smooth))
+    pairs = Pairs(row[order], at[order], smooth, base, int((label == 1).sum()), len(label), least)
+    blocks = pairs.blocks()
+    if spark is None or len(blocks) < 2:
+        for i, j in blocks:
+            keep[often[pairs.telling(i, j)]] = True
+        return keep
+    shipped = spark.sparkContext.broadcast(pairs)  # at most FIT_FEATURES of each row of the bounded sample
 
-    def block(k: int) -> np.ndarray:
-        out = np.zeros((n, min(PAIRED, len(often) - k * PAIRED)), np.float32)
-        out[row[cuts[k] : cuts[k + 1]], at[cuts[k] : cuts[k + 1]] - k * PAIRED] = 1
-        return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in batch.column("id").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(shipped.value.telling(*blocks[k]), pa.int64())], names=["stem"])
 
-    for i in range(len(cuts) - 1):
-        a = block(i)
-        bad, good = a[:toxic].T.copy(), a[toxic:].T.copy()
-        for j in range(i, len(cuts) - 1):
-            b = block(j)
-            t = bad @ b[:toxic]
-            c = t + good @ b[toxic:]
-            x, y = np.nonzero(c * -np.log(rare) > least)
-            x, y, c, t = x + i * PAIRED, y + j * PAIRED, c[x, y].astype(float), t[x, y].astype(float)
-            one = x < y
-            x, y, c, t = x[one], y[one], c[one], t[one]
-            both = 1 / (1 + np.exp(-(logit[x] + logit[y] - np.log(base / (1 - base)))))
-            odd = np.minimum(np.minimum(_odd(t / c, smooth[x]), _odd(t / c, smooth[y])), np.minimum(_odd(t / c, both), _odd(t / c, base)))
-            tells = c * odd > least
-            keep[often[x[tells]]] = keep[often[y[tells]]] = True
-    keep[every] = keep[often][like]
+    found = spark.range(0, len(blocks), 1, min(len(blocks), partitions(spark))).mapInArrow(run, "stem long").distinct().toArrow()
+    keep[often[np.asarray(found.column("stem"), np.int64)]] = True
     return keep
 
 
-def fit(row: np.ndarray, term: np.ndarray, label: np.ndarray, seed: int = 7) -> Machine:
+def fit(row: np.ndarray, term: np.ndarray, label: np.ndarray, seed: int = 7, spark: SparkSession | None = None) -> Machine:
     """Fits by AdaGrad on the logistic loss, both classes weighing the same in total.
 
     A term stays if it is common, if chance would hardly (once among all terms) give it so odd a share of toxic rows, or if it
-    makes with another term a pair that tells what neither does.
+    is a stem that makes with another stem a pair that tells what neither does.
     """
     terms, at, counts = np.unique(term, return_inverse=True, return_counts=True)
     base = label.mean() if len(label) else 0.0
     share = np.bincount(at, label[row], len(terms)) / np.maximum(counts, 1)
     keep = (counts >= MIN_DOCS) & ((counts * _odd(share, base) > np.log(max(1, len(terms)))) | (counts >= COMMON * len(label)))
-    keep |= _paired(row, at, label, counts, share, base)
+    keep |= _paired(row, at, label, (terms & np.uint64(1)).astype(bool), counts, share, spark)
     place = np.cumsum(keep) - 1
     row, at, terms = row[keep[at]], place[at[keep[at]]], terms[keep]
     n, rng = len(label), np.random.Generator(np.random.PCG64(seed))
@@ -190,6 +212,11 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start, blobs in texts(batch, "text"):
             row, term = features(blobs)
+            with np.errstate(over="ignore"):
+                turn = mix(term ^ mix(np.asarray(batch.column("d"))[start + row].view(np.uint64)))
+            order = np.lexsort((turn, row))
+            kept = np.sort(order[np.arange(len(row)) - np.searchsorted(row, row) < FIT_FEATURES])
+            row, term = row[kept], term[kept]
             ends = np.searchsorted(row, np.arange(len(blobs) + 1))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(term.view(np.int64)))
             part = batch.slice(start, len(blobs))
@@ -212,7 +239,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
         lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int64()))
     sizes = np.array(lists.value_lengths().fill_null(0), np.int64)
     label = np.array(table.column("toxic"), np.float64)
-    return fit(np.repeat(np.arange(len(sizes)), sizes), np.asarray(lists.flatten()).view(np.uint64), label)
+    return fit(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), np.asarray(lists.flatten()).view(np.uint64), label, spark=docs.sparkSession)
 
 
 def scored(docs: DataFrame, machine: Machine) -> DataFrame:

@@ -235,3 +235,22 @@ def test_toxicity_edge_cases(spark):
         got = toxicity.report(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
         assert len(got) == 4 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
     assert toxicity.report(docs.limit(0), spark.createDataFrame([], "doc_id long, quality int, toxic int")).collect() == []
+
+
+def test_toxicity_equals_a_plain_machine_and_screens_alike_on_spark(spark, monkeypatch):
+    rng = random.Random(8)
+    plain = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(60)]
+    rows, label = [], []
+    for i in range(900):
+        extra = [["group", "leave"], ["group"], ["leave"], ["idiot"], []][min(4, int(rng.random() * 12))]
+        rows.append(" ".join(rng.sample(plain, 12) + extra).encode())
+        label.append(float(len(extra) == 2 or extra == ["idiot"]))
+    seen, label = toxicity.features(rows), np.array(label)
+    monkeypatch.setattr(toxicity, "PAIRED", 16)  # so that there are several blocks
+    here, there = toxicity.fit(*seen, label), toxicity.fit(*seen, label, spark=spark)
+    assert (here.terms == there.terms).all() and (here.factors == there.factors).all()
+    got = here.score(*seen, len(rows))
+    for i in range(0, 900, 90):
+        at = [int(np.searchsorted(here.terms, t)) for t in seen[1][seen[0] == i] if t in set(here.terms.tolist())]
+        z = here.bias + sum(here.weights[a] for a in at) + sum(here.factors[a] @ here.factors[b] for a in at for b in at if a < b)
+        assert math.isclose(got[i], 1 / (1 + math.exp(-z)), rel_tol=1e-9)
