@@ -103,15 +103,16 @@ class Pairs:
     toxic: int
     rows: int
     least: float
+    size: int
 
     def blocks(self) -> list[tuple[int, int]]:
-        n = -(-len(self.share) // PAIRED)
+        n = -(-len(self.share) // self.size)
         return [(i, j) for i in range(n) for j in range(i, n)]
 
     def _block(self, k: int) -> np.ndarray:
-        low, high = np.searchsorted(self.at, (k * PAIRED, (k + 1) * PAIRED))
-        out = np.zeros((self.rows, min(PAIRED, len(self.share) - k * PAIRED)), np.float32)
-        out[self.row[low:high], self.at[low:high] - k * PAIRED] = 1
+        low, high = np.searchsorted(self.at, (k * self.size, (k + 1) * self.size))
+        out = np.zeros((self.rows, min(self.size, len(self.share) - k * self.size)), np.float32)
+        out[self.row[low:high], self.at[low:high] - k * self.size] = 1
         return out
 
     def telling(self, i: int, j: int) -> np.ndarray:
@@ -121,7 +122,7 @@ class Pairs:
         t = a[: self.toxic].T @ b[: self.toxic]
         c = t + a[self.toxic :].T @ b[self.toxic :]
         x, y = np.nonzero(c * -np.log(rare) > self.least)
-        c, t, x, y = c[x, y].astype(float), t[x, y].astype(float), x + i * PAIRED, y + j * PAIRED
+        c, t, x, y = c[x, y].astype(float), t[x, y].astype(float), x + i * self.size, y + j * self.size
         one = x < y
         x, y, c, t = x[one], y[one], c[one], t[one]
         logit = np.log(self.share / (1 - self.share))
@@ -148,7 +149,7 @@ def _paired(row: np.ndarray, at: np.ndarray, label: np.ndarray, stem: np.ndarray
     row, at = rank[row[known]], place[at[known]]
     order = np.argsort(at, kind="stable")
     smooth = (share[often] * counts[often] + base) / (counts[often] + 1)
-    pairs = Pairs(row[order], at[order], smooth, base, int((label == 1).sum()), len(label), least)
+    pairs = Pairs(row[order], at[order], smooth, base, int((label == 1).sum()), len(label), least, PAIRED)
     blocks = pairs.blocks()
     if spark is None or len(blocks) < 2:
         for i, j in blocks:
