@@ -6,7 +6,7 @@ text. Rows that repeat both are one document and share its result; rows that rep
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,27 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Written once to the shared folder and read back: cuts lineage, survives lost executors, gives joins real sizes."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    if _open:
+        _open[-1].append((df.sparkSession, path))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_open: list[list[tuple[SparkSession, str]]] = []
+
+
+def settled(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What ``make`` returns, stored. Tables stored on the way are removed: nothing reads them any more."""
+    _open.append([])
+    try:
+        df = make()
+        path = scratch_path(df.sparkSession, label)
+        df.write.parquet(path)
+    finally:
+        for spark, gone in _open.pop():
+            at = spark._jvm.org.apache.hadoop.fs.Path(gone)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    if _open:
+        _open[-1].append((df.sparkSession, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

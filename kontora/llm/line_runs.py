@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from kontora.llm.common import WORD, id_of, keyed, packed, stored
+from kontora.llm.common import WORD, id_of, keyed, packed, settled, stored
 
 MIN_WORDS = 50
 
@@ -118,7 +118,7 @@ def report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     one line, which stays. An empty table gives no rows. Other columns are ignored.
     """
     keys = keyed(docs)
-    cut = keys.join(stored(repeated_runs(keys, min_words), "runs").hint("merge"), ["d", "h"], "left")
+    cut = keys.join(settled(lambda: repeated_runs(keys, min_words), "runs").hint("merge"), ["d", "h"], "left")
     removed = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + (r["to"] - r["from"] + 1))
     return cut.select(
         id_of(F.col("d")).alias("doc_id"),
@@ -130,7 +130,7 @@ def report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The rows of ``docs`` with their text cleaned and ``n_chars`` renewed; a document that loses its last word goes."""
-    runs = stored(repeated_runs(keyed(docs), min_words), "runs")
+    runs = settled(lambda: repeated_runs(keyed(docs), min_words), "runs")
     cut = packed(docs).join(runs.hint("merge"), ["d", "h"], "left").withColumn("clean", without_runs(F.col("row.text"), F.col("runs")))
     cut = cut.filter(F.col("runs").isNull() | F.col("clean").rlike(WORD))
     row = F.col("row").withField("text", F.col("clean"))

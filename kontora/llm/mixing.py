@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from kontora.llm.common import WORD, id_of, in_order, let, packed, partitions, row_key, stored
+from kontora.llm.common import WORD, id_of, in_order, let, packed, partitions, row_key, settled, stored
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -135,19 +135,24 @@ def report(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     )
 
 
-def mixed_documents(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
-    """The mix as documents: a row of ``docs`` for every document and epoch, with the words that epoch takes from it.
-
-    Words keep the white space after them; a document taken whole is unchanged. ``n_chars``, if there, is renewed. What the mix
-    never takes goes, and so do documents without a word.
-    """
+def _chosen(docs: DataFrame, block: int, seed: int) -> DataFrame:
+    """``d, h, copy, size, epochs`` of every document in the mix: the words (``n``, and ``cuts`` of them) that each epoch takes."""
     rows = stored(sized(docs), "sized")
     table = stored(targets(rows), "targets")
     at = stored(placed(rows, table), "placed")
     parts = pieces(at, block).join(mix(table, block, seed).select("s", "block", "epoch"), ["s", "block"])
     parts = parts.groupBy("d", "h", "copy", "epoch").agg(F.sum("words").alias("n"), F.sort_array(F.collect_list(F.struct("low", "words"))).alias("cuts"))
     epochs = parts.groupBy("d", "h", "copy").agg(F.sort_array(F.collect_list(F.struct("epoch", "n", "cuts"))).alias("epochs"))
-    chosen = stored(epochs.join(at.select("d", "h", "copy", "size"), ["d", "h", "copy"]), "chosen")
+    return epochs.join(at.select("d", "h", "copy", "size"), ["d", "h", "copy"])
+
+
+def mixed_documents(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
+    """The mix as documents: a row of ``docs`` for every document and epoch, with the words that epoch takes from it.
+
+    Words keep the white space after them; a document taken whole is unchanged. ``n_chars``, if there, is renewed. What the mix
+    never takes goes, and so do documents without a word.
+    """
+    chosen = settled(lambda: _chosen(docs, block, seed), "chosen")
     body = packed(docs).withColumn("copy", F.row_number().over(Window.partitionBy("d", "h").orderBy(F.col("row.source"))))
     body = body.join(chosen.hint("merge"), ["d", "h", "copy"]).withColumn("tokens", F.regexp_extract_all("row.text", F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), F.lit(0)))
     body = body.withColumn("e", F.explode("epochs"))

@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kontora.llm.common import SPACE, Scan, id_of, keyed, mix, packed, stored, texts
+from kontora.llm.common import SPACE, Scan, id_of, keyed, mix, packed, settled, stored, texts
 from kontora.llm.components import components
 
 REGISTERS = 1024
@@ -254,14 +254,16 @@ def _rest(own: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
 
 def _confirmed(likely: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` among likely ones whose whole sets are linked."""
-    ends = likely.select("ad", "ah").union(likely.select("bd", "bh")).toDF("d", "h").distinct()
+    """The pairs ``a, b`` among likely ones whose whole sets are linked. Texts go to the pairs' first ends, then to the second."""
+    ends = likely.select("ad", "ah", F.lit(1).alias("end")).union(likely.select("bd", "bh", F.lit(2)))
+    ends = ends.toDF("d", "h", "end").groupBy("d", "h").agg(F.bit_or("end").alias("ends"))
     # a repeated row would double its pairs
     body = docs.select("d", "h", F.col("text").cast("binary").alias("text")).join(ends.hint("merge"), ["d", "h"])
     read = stored(body.dropDuplicates(["d", "h"]), "texts")
-    both = likely.join(read.toDF("ad", "ah", "ta").hint("merge"), ["ad", "ah"]).join(read.toDF("bd", "bh", "tb").hint("merge"), ["bd", "bh"])
+    one, two = (read.filter(F.col("ends").bitwiseAND(k) > 0).select("d", "h", "text") for k in (1, 2))
+    both = likely.join(one.toDF("ad", "ah", "ta").hint("merge"), ["ad", "ah"]).join(two.toDF("bd", "bh", "tb").hint("merge"), ["bd", "bh"])
     sure = both.select("ad", "ah", "bd", "bh", "ta", "tb").mapInArrow(_confirm(width, percent), _PAIR)
-    return stored(sure.select(F.struct(F.col("ad").alias("d"), F.col("ah").alias("h")).alias("a"), F.struct(F.col("bd").alias("d"), F.col("bh").alias("h")).alias("b")), "links")
+    return sure.select(F.struct(F.col("ad").alias("d"), F.col("ah").alias("h")).alias("a"), F.struct(F.col("bd").alias("d"), F.col("bh").alias("h")).alias("b"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -271,7 +273,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     A null, empty or blank text has an empty set and is alone. A null id counts as the largest. Repeated rows (id and text)
     get the same result; equal texts under other ids are linked. An empty table gives no rows. Other columns are ignored.
     """
-    docs = keyed(docs, id_col, text_col)
+    return settled(lambda: _found(keyed(docs, id_col, text_col), width, percent), "near")
+
+
+def _found(docs: DataFrame, width: int, percent: int) -> DataFrame:
     every = stored(sketches(docs, width), "sketches")
     reps = stored(
         every.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min(F.struct("d", "h")).alias("v"), F.first("bands").alias("bands")), "reps"
@@ -279,19 +284,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     dealt = reps.select("v", F.posexplode(F.slice("bands", 1, BANDS)).alias("band", "value"))
     full = stored(dealt.groupBy("band", "value").agg(F.count("*").alias("size")).filter("size > 1"), "buckets")
     members = stored(dealt.join(full.hint("merge"), ["band", "value"]), "members")
-    degree = stored(members.groupBy("v").agg(F.sum("size").alias("degree")), "degree")
-    leaders = stored(
-        members.join(degree, "v").groupBy("band", "value").agg(F.min(F.struct((-F.col("degree")).alias("rank"), "v")).getField("v").alias("a")), "leaders"
-    )
-    stars = members.join(leaders, ["band", "value"]).filter("a != v").select("a", F.col("v").alias("b")).distinct()
-    links = _confirmed(stored(_starred(stars, reps, percent), "likely"), docs, width, percent)
-    comps = stored(components(links), "components")
+    likely = settled(lambda: _starred(_stars(members), reps, percent), "likely")
+    links = settled(lambda: _confirmed(likely, docs, width, percent), "links")
+    comps = settled(lambda: components(links), "components")
     own = stored(members.join(comps, "v", "left").select("band", "value", "v", F.coalesce("comp", "v").alias("comp")), "owned")
-    rest = stored(_rest(own, reps, percent), "rest")
+    rest = settled(lambda: _rest(own, reps, percent), "rest")
     if not rest.isEmpty():
-        more = _confirmed(rest, docs, width, percent)
+        more = settled(lambda: _confirmed(rest, docs, width, percent), "links")
         if not more.isEmpty():
-            comps = stored(components(links.union(more)), "components")
+            comps = settled(lambda: components(links.union(more)), "components")
 
     rep_of = stored(reps.join(comps, "v", "left").select("n", "s1", "s2", F.coalesce("comp", "v").alias("comp")), "classes")
     return every.select("d", "h", "n", "s1", "s2").join(rep_of, ["n", "s1", "s2"], "left").select(
@@ -300,6 +301,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     )
 
 
+def _stars(members: DataFrame) -> DataFrame:
+    """Pairs of a bucket's member of the largest degree and its other members."""
+    degree = stored(members.groupBy("v").agg(F.sum("size").alias("degree")), "degree")
+    leaders = stored(
+        members.join(degree, "v").groupBy("band", "value").agg(F.min(F.struct((-F.col("degree")).alias("rank"), "v")).getField("v").alias("a")), "leaders"
+    )
+    return members.join(leaders, ["band", "value"]).filter("a != v").select("a", F.col("v").alias("b")).distinct()
+
+
 def report(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row of ``docs``."""
     found = near_duplicates(docs, width, percent)
@@ -311,8 +321,8 @@ def report(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row of ``docs`` per component: its least document; of rows that repeat its id and text, one (the least of their other
     columns' hashes)."""
-    keep = near_duplicates(docs, width, percent).filter("d = cd and h = ch").select("d", "h").distinct()
-    rows = packed(docs).join(stored(keep, "keep").hint("merge"), ["d", "h"], "left_semi")
+    keep = settled(lambda: near_duplicates(docs, width, percent).filter("d = cd and h = ch").select("d", "h").distinct(), "keep")
+    rows = packed(docs).join(keep.hint("merge"), ["d", "h"], "left_semi")
     # repeats meet as hashes, not as texts; rows equal in every column share a hash, so their places tell them apart
     rows = stored(rows.withColumn("mark", F.xxhash64("row")).withColumn("place", F.monotonically_increasing_id()), "least")
     one = rows.groupBy("d", "h").agg(F.min(F.struct("mark", "place")).getField("place").alias("place"))
