@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kontora.functions.scalars import (
     band, count_if, date_diff, day, days_before, draw, flag, mean, midnight, moment, ratio, ratio0,
@@ -15,6 +15,7 @@ from kontora.operators.aggregates import exact_percentiles
 from kontora.operators.joins import asof_at, asof_join
 from kontora.operators.ranking import latest_per_key
 from kontora.plans import activity, customers
+from kontora.plans.feature_history import DATE, known_to, within
 from kontora.plans.registry import FeatureView, ViewRegistry
 from kontora.sources import storage
 from kontora.sources.mapping import FEATURE_IDS
@@ -244,7 +245,7 @@ def get_customer_features(online: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def pit_features(values: DataFrame, entities: DataFrame, feature_ids: Sequence[str], as_of: dt.datetime) -> DataFrame:
     """One vector per entity from the values known at ``as_of``."""
-    known = values.where(F.col("feature_id").isin(*feature_ids)).join(entities.select("entity_id").distinct(), "entity_id", "left_semi")
+    known = within(values, end=as_of).where(F.col("feature_id").isin(*feature_ids)).join(entities.select("entity_id").distinct(), "entity_id", "left_semi")
     newest = asof_at(
         known.select("entity_id", "feature_id", "feature_value", "feature_timestamp"),
         ["entity_id", "feature_id"], "feature_timestamp", as_of,
@@ -262,6 +263,7 @@ def training_dataset(
     ``labels`` holds (label_id, entity_id, label_ts, label). A label asks for each
     feature of the set; one as-of pass answers them all.
     """
+    values = known_to(values, labels, ttl)
     ids = F.array(*[F.lit(f) for f in feature_ids])
     asked = labels.select("entity_id", "label_id", "label_ts", F.explode(ids).alias("feature_id"))
     found = asof_join(
@@ -293,12 +295,45 @@ def split_rows(df: DataFrame, row_id: str, train_percent: int = 80, seed: int =
     return df.where(d < train_percent), df.where(d >= train_percent)
 
 
+def stratified_split(df: DataFrame, row_id: str, stratum: str, train_percent: int = 80, seed: int = 42) -> DataFrame:
+    """The rows with ``in_train``: of every stratum the rows with the least hashes of their ids, as many as the share asks for, to the row.
+
+    The cut is found by counting: first by a hash's leading 16 bits, then by the next 16 where the quota is met. Only rows that
+    share all 32 bits with the cut are ordered, so no class meets in one task. A null stratum is one of its own. The same rows are
+    chosen however the data is laid out.
+    """
+    digest = F.substring(F.md5(F.concat_ws("|", F.col(row_id).cast("string"), F.lit(f"split-{seed}"))), 1, 12)
+    mark = F.conv(digest, 16, 10).cast("long")
+    rows = df.withColumns({"_s": F.struct(stratum), "_h": mark, "_a": F.shiftright(mark, 32), "_b": F.shiftright(mark, 16).bitwiseAND(0xFFFF)})
+    sums = rows.groupBy("_s").agg(F.round(F.count("*") * train_percent / 100).cast("long").alias("_left"))
+
+    def cut(level: str, within_rows: DataFrame, quota: DataFrame) -> DataFrame:
+        """Per stratum, the value of a level at which the quota is met and what is left of it there."""
+        counts = within_rows.groupBy("_s", level).agg(F.count("*").alias("n"))
+        upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("_s").orderBy(level)))
+        at = upto.join(quota, "_s").where((F.col("upto") >= F.col("_left")) & (F.col("upto") - F.col("n") < F.col("_left")))
+        return at.select("_s", F.col(level).alias(f"{level}_cut"), (F.col("_left") - F.col("upto") + F.col("n")).alias("_left"))
+
+    first = cut("_a", rows, sums)
+    inside = rows.join(first.drop("_left"), "_s").where("_a = _a_cut")
+    second = cut("_b", inside, first.select("_s", "_left")).join(first.drop("_left"), "_s")
+    placed = rows.join(second, "_s", "left")
+    on_cut = (F.col("_a") == F.col("_a_cut")) & (F.col("_b") == F.col("_b_cut"))
+    ahead = (F.col("_a") < F.col("_a_cut")) | ((F.col("_a") == F.col("_a_cut")) & (F.col("_b") < F.col("_b_cut")))
+    clear = placed.where(~F.coalesce(on_cut, F.lit(False))).withColumn("in_train", F.coalesce(ahead, F.lit(False)))
+    rank = F.row_number().over(Window.partitionBy("_s").orderBy("_h", row_id))
+    tied = placed.where(on_cut).withColumn("in_train", rank <= F.col("_left"))
+    return clear.unionByName(tied).select(*df.columns, "in_train")
+
+
 # ---------------------------------------------------------------- statistics and drift
 
 
 def feature_stats(values: DataFrame) -> DataFrame:
     """Distribution of every feature per day."""
-    daily = values.withColumn("computation_date", F.to_date("feature_timestamp"))
+    # the folder's date, where the values are stored by day: a condition on it reaches the scan
+    date = F.col(DATE) if DATE in values.columns else F.to_date("feature_timestamp")
+    daily = values.withColumn("computation_date", date)
     keys = ["feature_id", "computation_date"]
     v = F.col("feature_value")
     basic = daily.groupBy(*keys).agg(
@@ -319,7 +354,7 @@ def drift(values: DataFrame, as_of: dt.date, lookback: int = 7, threshold: float
     edge = midnight(as_of - dt.timedelta(days=lookback))
     start = midnight(as_of - dt.timedelta(days=2 * lookback))
     before, now = at.between(moment(start), moment(edge)), at >= moment(edge)
-    stats = values.where(at >= moment(start)).groupBy("feature_id").agg(
+    stats = within(values, start).groupBy("feature_id").agg(
         *[
             fn(F.when(test, v)).alias(f"{side}_{name}")
             for side, test in (("baseline", before), ("current", now))

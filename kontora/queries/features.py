@@ -10,12 +10,14 @@ from kontora.functions import scalars as S
 from kontora.operators.ranking import latest_per_key
 from kontora.plans import feature_store as fs
 from kontora.plans import registry
+from kontora.plans.feature_history import History, within
 from kontora.queries.base import NOW, NOW_ORDERS, TODAY, avg, query, total
 from kontora.session import scratch_path
 from kontora.sources import storage
 from kontora.sources.mapping import FEATURE_IDS
 from kontora.sources.storage import catalog_counts
 
+_DAYS = [dt.date(2024, 1, 25) + dt.timedelta(days=i) for i in range(7)]
 COUNT, AMOUNT, MERCHANTS, BALANCE, UTIL, FRAUD = FEATURE_IDS
 _LATE = f"transaction_date >= {TODAY}"
 _FEATURE_SQL = {
@@ -82,10 +84,10 @@ def feature_set(b):
 
 @query("feature_values_long", "SELECT entity_id, entity_type, feature_id, feature_value, feature_timestamp FROM feature_values")
 def feature_values_long(b):
-    path = scratch_path(b.spark, "feature-values")
-    rows = b.feature_values.withColumn("feature_date", F.to_date("feature_timestamp"))
-    rows.hint("rebalance", "feature_date").write.partitionBy("feature_date").parquet(path)
-    return b.spark.read.parquet(path).select("entity_id", "entity_type", "feature_id", "feature_value", "feature_timestamp")
+    history = History(b.spark, scratch_path(b.spark, "feature-values"))
+    history.store(b.feature_values)
+    history.store(b.feature_values, _DAYS[:2])  # a second run for two days replaces them
+    return history.read().select("entity_id", "entity_type", "feature_id", "feature_value", "feature_timestamp")
 
 
 @query("feature_vector_wide", f"SELECT entity_id, entity_type, {COUNT}, {AMOUNT}, {FRAUD} FROM online_features")
@@ -147,6 +149,19 @@ def feature_stats(b):
     return b.feature_statistics
 
 
+@query("feature_stats_refresh", "SELECT * FROM feature_statistics")
+def feature_stats_refresh(b):
+    """Stored statistics: first without the last days' values, then those days are stored and only they are computed."""
+    history = History(b.spark, scratch_path(b.spark, "feature-stats"))
+    history.store(b.feature_values.where(F.to_date("feature_timestamp") < _DAYS[0]))
+    history.refresh_statistics()
+    late = b.feature_values.where(F.to_date("feature_timestamp") >= _DAYS[0])
+    days = [_DAYS[0] + dt.timedelta(days=i) for i in range(8)]
+    history.store(late, days)
+    history.refresh_statistics(days)
+    return history.statistics()
+
+
 _LABELS_SQL = "lab AS (SELECT event_id AS label_id, CAST(user_id AS VARCHAR) AS entity_id, ts AS label_ts, value > 50 AS label FROM events WHERE event_type = 'purchase')"
 
 
@@ -163,7 +178,7 @@ ASOF LEFT JOIN (SELECT * FROM feature_values WHERE feature_id = '{COUNT}') a ON
 ASOF LEFT JOIN (SELECT * FROM feature_values WHERE feature_id = '{AMOUNT}') v ON v.entity_id = lab.entity_id AND v.feature_timestamp <= lab.label_ts
 ASOF LEFT JOIN (SELECT * FROM feature_values WHERE feature_id = '{FRAUD}') f ON f.entity_id = lab.entity_id AND f.feature_timestamp <= lab.label_ts""")
 def training_dataset(b):
-    return fs.training_dataset(labels_from(b), b.feature_values, [COUNT, AMOUNT, FRAUD])
+    return fs.training_dataset(labels_from(b), b.feature_history, [COUNT, AMOUNT, FRAUD])
 
 
 @query("training_dataset_ttl", f"""
@@ -171,7 +186,7 @@ WITH {_LABELS_SQL}
 SELECT lab.*, CASE WHEN a.feature_timestamp >= lab.label_ts - INTERVAL 2 DAY THEN a.feature_value END AS {COUNT} FROM lab
 ASOF LEFT JOIN (SELECT * FROM feature_values WHERE feature_id = '{COUNT}') a ON a.entity_id = lab.entity_id AND a.feature_timestamp <= lab.label_ts""")
 def training_dataset_ttl(b):
-    return fs.training_dataset(labels_from(b), b.feature_values, [COUNT], ttl=dt.timedelta(days=2))
+    return fs.training_dataset(labels_from(b), b.feature_history, [COUNT], ttl=dt.timedelta(days=2))
 
 
 @query("training_record", f"""
@@ -180,7 +195,7 @@ SELECT 'purchase_value-2024-01-31' AS dataset_id, 'purchase_value' AS dataset_na
   DATE '2024-01-01' AS start_date, {TODAY} AS end_date, count(DISTINCT entity_id) AS entity_count, count(*) AS row_count, 'memory' AS dataset_location,
   false AS is_stratified, 0.8::DOUBLE AS train_test_split_ratio FROM lab""")
 def training_record(b):
-    data = fs.training_dataset(labels_from(b), b.feature_values, [COUNT])
+    data = fs.training_dataset(labels_from(b), b.feature_history, [COUNT])
     return fs.training_record(
         "purchase_value", "FRAUD_DETECTION_MODEL", "fraud_detection_v1", data, "memory", dt.date(2024, 1, 1), b.as_of
     )
@@ -194,14 +209,23 @@ def train_test_split(b):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
+@query("train_test_split_stratified", f"""
+WITH {_LABELS_SQL}, h AS (SELECT label_id, label, CAST(concat('0x', substr(md5(concat(CAST(label_id AS VARCHAR), '|split-42')), 1, 12)) AS BIGINT) AS h FROM lab),
+r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY h, label_id) AS k, count(*) OVER (PARTITION BY label) AS n FROM h)
+SELECT label_id, label, k <= round(n * 0.8) AS in_train FROM r""")
+def train_test_split_stratified(b):
+    return fs.stratified_split(labels_from(b).select("label_id", "label"), "label_id", "label")
+
+
 @query("time_travel_read", """
 SELECT entity_id, feature_id, arg_max(feature_value, feature_timestamp) AS feature_value, max(feature_timestamp) AS feature_timestamp
 FROM feature_values WHERE feature_timestamp <= TIMESTAMP '2024-01-15 12:00:00' GROUP BY 1, 2""")
 def time_travel_read(b):
     from kontora.operators.joins import asof_at
 
-    rows = b.feature_values.select("entity_id", "feature_id", "feature_value", "feature_timestamp")
-    return asof_at(rows, ["entity_id", "feature_id"], "feature_timestamp", dt.datetime(2024, 1, 15, 12))
+    when = dt.datetime(2024, 1, 15, 12)
+    rows = within(b.feature_history, end=when).select("entity_id", "feature_id", "feature_value", "feature_timestamp")
+    return asof_at(rows, ["entity_id", "feature_id"], "feature_timestamp", when)
 
 
 @query("pit_features", f"""
@@ -211,7 +235,7 @@ WITH known AS (SELECT entity_id, feature_id, arg_max(feature_value, feature_time
 SELECT entity_id, max(CASE WHEN feature_id = '{COUNT}' THEN v END) AS {COUNT}, max(CASE WHEN feature_id = '{FRAUD}' THEN v END) AS {FRAUD} FROM known GROUP BY 1""")
 def pit_features(b):
     who = b.customers.where("risk_tier <> 'LOW'").select(F.col("customer_id").cast("string").alias("entity_id"))
-    out = fs.pit_features(b.feature_values, who, [COUNT, FRAUD], dt.datetime(2024, 1, 20))
+    out = fs.pit_features(b.feature_history, who, [COUNT, FRAUD], dt.datetime(2024, 1, 20))
     return out.select("entity_id", *[F.col("features")[f].alias(f) for f in (COUNT, FRAUD)])
 
 
@@ -232,7 +256,7 @@ _DRIFT = f"""d AS (SELECT feature_id, avg(CASE WHEN {_BASE} THEN feature_value E
 @query("feature_drift", f"""
 WITH {_DRIFT} SELECT feature_id, round(bm, 6) AS baseline_mean, round(cm, 6) AS current_mean, round(abs(cm - bm) / bs, 6) AS drift_score, abs(cm - bm) / bs > 0.15 AS alert_required FROM d""")
 def feature_drift(b):
-    d = fs.drift(b.feature_values, b.as_of, _L)
+    d = fs.drift(b.feature_history, b.as_of, _L)
     return d.select("feature_id", *[F.round(c, 6).alias(c) for c in ("baseline_mean", "current_mean", "drift_score")], "alert_required")
 
 
@@ -241,7 +265,7 @@ WITH {_DRIFT} SELECT concat(feature_id, '-DRIFT-2024-01-31') AS monitor_id, feat
   round(bs, 6) AS baseline_stddev, round(cs, 6) AS current_stddev, round(abs(cm - bm) / bs, 6) AS drift_score, abs(cm - bm) / bs > 0.15 AS alert_triggered,
   CASE WHEN abs(cm - bm) / bs > 0.15 THEN 'HIGH' ELSE 'LOW' END AS alert_severity FROM d""")
 def feature_monitoring(b):
-    rows = fs.monitoring_rows(b.feature_values, b.as_of, _L)
+    rows = fs.monitoring_rows(b.feature_history, b.as_of, _L)
     return rows.select(
         "monitor_id", "feature_id", "monitor_type", "monitor_date", F.round(F.col("baseline_stats")["stddev"], 6).alias("baseline_stddev"),
         F.round(F.col("current_stats")["stddev"], 6).alias("current_stddev"), F.round("drift_score", 6).alias("drift_score"), "alert_triggered", "alert_severity",
@@ -302,9 +326,6 @@ def compute_log(b):
     return fs.recent_runs(b.feature_compute_logs.select("compute_id", "feature_id", "compute_start", "compute_status"), "FAILED")
 
 
-_DAYS = [dt.date(2024, 1, 25) + dt.timedelta(days=i) for i in range(7)]
-
-
 @query("backfill", """
 SELECT t.customer_id, CAST(d.as_of AS DATE) AS as_of, count(*) AS txn_count, CAST(sum(amount) AS DOUBLE) AS txn_amount, CAST(max(amount) AS DOUBLE) AS max_amount
 FROM transactions t JOIN (SELECT unnest(generate_series(TIMESTAMP '2024-01-25', TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS as_of) d

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from kontora.functions import scalars as S
 from kontora.operators import joins as J
 from kontora.operators.ranking import latest_per_key, sample_share
+from kontora.plans.feature_history import known_to
 from kontora.queries.base import NOW, TODAY, TODAY_ORDERS, avg, query, total
 from kontora.schemas import TABLES
 from kontora.session import scratch_path
@@ -551,7 +552,7 @@ def join_asof(b):
     labels = b.raw("events").where("event_type = 'purchase'").select(
         F.col("event_id").alias("label_id"), F.col("user_id").cast("string").alias("entity_id"), F.col("ts").alias("label_ts")
     )
-    history = b.feature_values.where(F.col("feature_id") == FEATURE_IDS[0]).select("entity_id", "feature_timestamp", "feature_value")
+    history = known_to(b.feature_history, labels).where(F.col("feature_id") == FEATURE_IDS[0]).select("entity_id", "feature_timestamp", "feature_value")
     return J.asof_join(labels, history, ["entity_id"], "label_id", "label_ts", "feature_timestamp", ["feature_value"])
 
 

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kontora.functions.scalars import midnight
+from kontora.session import scratch_path
 from kontora.sources.mapping import AS_OF, AS_OF_ORDERS, FEATURE_IDS, MAPPING, SPARK
 
+_HISTORIES: dict = {}
 SESSION_GAP = "30 minutes"
 
 
@@ -127,7 +129,18 @@ class Bank:
     def _make_feature_statistics(self) -> DataFrame:
         from kontora.plans.feature_store import feature_stats
 
-        return feature_stats(self.feature_values)
+        return feature_stats(self.feature_history)
+
+    def _make_feature_history(self) -> DataFrame:
+        """The values as stored by day; written once per session and folder."""
+        from kontora.plans.feature_history import History
+
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in _HISTORIES:
+            history = History(self.spark, scratch_path(self.spark, "feature-history"))
+            history.store(self.feature_values)
+            _HISTORIES[key] = history
+        return _HISTORIES[key].read()
 
     def _make_feature_definitions(self) -> DataFrame:
         from kontora.plans.registry import definitions

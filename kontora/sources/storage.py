@@ -72,6 +72,22 @@ def reload_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     _laid_out(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _folder(spark, path)
+    return fs.exists(at)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    fs, at = _folder(spark, path)
+    fs.delete(at, True)
+
+
 class Versions:
     """A table kept as numbered versions with a pointer to the current one, for one writer at a time."""
 
@@ -80,9 +96,7 @@ class Versions:
         self.root = root.rstrip("/")
 
     def _fs(self, path: str):
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        at = hadoop.Path(path)
-        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
+        return _folder(self.spark, path)
 
     def _pointers(self) -> DataFrame | None:
         fs, path = self._fs(f"{self.root}/pointer")
