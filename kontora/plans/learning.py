@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kontora.functions.scalars import (
@@ -140,6 +141,8 @@ SPECS = {
 
 def encoders(spec: ModelSpec) -> list:
     """Category index and one-hot vector; unseen categories get a slot of their own."""
+    if not spec.categories:
+        return []
     return [
         StringIndexer(inputCols=list(spec.categories), outputCols=[f"{c}_ix" for c in spec.categories], handleInvalid="keep"),
         OneHotEncoder(inputCols=[f"{c}_ix" for c in spec.categories], outputCols=[f"{c}_enc" for c in spec.categories], dropLast=False),
@@ -168,11 +171,56 @@ def prepared(df: DataFrame, spec: ModelSpec) -> DataFrame:
     return df.withColumn("label", F.col(spec.label).cast("double")) if spec.label in df.columns else df
 
 
+def slot_inputs(scored: DataFrame, spec: ModelSpec) -> list[str]:
+    """The input column behind every slot of the ``features`` vector, by the attributes that the pipeline's stages record."""
+    groups = scored.schema["features"].metadata["ml_attr"]["attrs"]
+    names = {a["idx"]: a["name"] for kind in groups.values() for a in kind}
+    sources = {f"{c}_enc": c for c in spec.categories} | {f"{c}_num": c for c in spec.plain}
+
+    def source(name: str) -> str:
+        if name.startswith("numbers_scaled"):
+            return spec.scaled[int(name.rpartition("_")[2])]
+        # the longest match: one column's name may begin another's
+        return sources[max((s for s in sources if name == s or name.startswith(f"{s}_")), key=len)]
+
+    return [source(names[k]) for k in sorted(names)]
+
+
+def importances(model: PipelineModel, scored: DataFrame, spec: ModelSpec) -> dict[str, float]:
+    """Share of every input column in a fitted model, adding up to 1, the greatest first.
+
+    Trees say what their splits gained per slot; for a linear model a slot counts by its coefficient times its spread over
+    ``scored``. The slots of a column's categories are added up.
+    """
+    fitted, slots = model.stages[-1], slot_inputs(scored, spec)
+    if hasattr(fitted, "featureImportances"):
+        weights = fitted.featureImportances.toArray()
+    else:
+        spread = scored.select(Summarizer.std(F.col("features")).alias("s")).first().s.toArray()
+        weights = abs(fitted.coefficients.toArray() * spread)
+    sums = {c: 0.0 for c in slots}
+    for column, w in zip(slots, weights):
+        sums[column] += float(w)
+    total = sum(sums.values()) or 1.0
+    return dict(sorted(((c, w / total) for c, w in sums.items()), key=lambda x: (-x[1], x[0])))
+
+
 def train(b, name: str) -> tuple[PipelineModel, DataFrame]:
     """Fit on four fifths of the rows; also returns the rest with predictions."""
-    spec = SPECS[name]
-    shared_dir(b.spark)  # boosting cuts its lineage by checkpoints there
-    fit_rows, test_rows = split_rows(spec.rows(b), spec.row_id)
+    return fit(b.spark, SPECS[name], SPECS[name].rows(b))
+
+
+def feature_spec(name: str, feature_ids: Sequence[str], label: str = "label") -> ModelSpec:
+    """A forest over stored features, for rows made by ``training_dataset``; a missing value counts as 0."""
+    return ModelSpec(
+        name, None, "label_id", label, (), tuple(feature_ids), (), {f: 0.0 for f in feature_ids},
+        lambda: RandomForestClassifier(numTrees=20, maxDepth=5, seed=42, labelCol="label"), "prediction",
+    )
+
+
+def fit(spark: SparkSession, spec: ModelSpec, rows: DataFrame) -> tuple[PipelineModel, DataFrame]:
+    shared_dir(spark)  # boosting cuts its lineage by checkpoints there
+    fit_rows, test_rows = split_rows(rows, spec.row_id)
     model = pipeline(spec).fit(prepared(fit_rows, spec))
     return model, model.transform(prepared(test_rows, spec))
 
@@ -196,16 +244,19 @@ def mae_rmse(scored: DataFrame, name: str) -> DataFrame:
 
 
 class ModelStore:
-    """Fitted pipelines by name and version, with their metrics, under one folder."""
+    """Fitted pipelines by name and version, with their metrics and the importance of their inputs, under one folder."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def log(self, name: str, model: PipelineModel, metrics: Mapping[str, float], comment: str = "") -> int:
+    def log(self, name: str, model: PipelineModel, metrics: Mapping[str, float], comment: str = "", importance: Mapping[str, float] | None = None) -> int:
         known = self.rows()
         versions = [] if known is None else known.where(F.col("model_name") == name).select("version").orderBy(F.desc("version")).limit(1).collect()
         version = versions[0].version + 1 if versions else 1
         model.write().overwrite().save(f"{self.root}/models/{name}/v{version}")
+        shares = [(name, version, k, float(v)) for k, v in (importance or {}).items()]
+        rows = self.spark.createDataFrame(shares, "model_name string, version int, feature_id string, feature_importance double")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/importances/{name}/v{version}")
         self.spark.createDataFrame(
             [(name, version, {k: float(v) for k, v in metrics.items()}, comment)],
             "model_name string, version int, metrics map<string,double>, comment string",
@@ -218,11 +269,16 @@ class ModelStore:
         fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         return self.spark.read.parquet(str(path)) if fs.exists(path) else None
 
+    def newest(self, name: str) -> int:
+        return self.rows().where(F.col("model_name") == name).agg(F.max("version")).first()[0]
+
+    def importances(self, name: str, version: int | None = None) -> DataFrame:
+        """``model_name, version, feature_id, feature_importance`` as they were fitted, for a version or the newest."""
+        return self.spark.read.parquet(f"{self.root}/importances/{name}/v{version or self.newest(name)}")
+
     def load(self, name: str, version: int | None = None) -> PipelineModel:
         """A version, or the newest."""
-        if version is None:
-            version = self.rows().where(F.col("model_name") == name).agg(F.max("version")).first()[0]
-        return PipelineModel.load(f"{self.root}/models/{name}/v{version}")
+        return PipelineModel.load(f"{self.root}/models/{name}/v{version or self.newest(name)}")
 
 
 # ---------------------------------------------------------------- inputs for scoring whole tables

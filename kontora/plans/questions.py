@@ -224,6 +224,12 @@ def drift_impact(b) -> DataFrame:
     return m.join(d, "feature_id").withColumn("impact", F.col("normalized_shift") * F.col("feature_importance"))
 
 
+def drift_impact_fitted(b, importances: DataFrame) -> DataFrame:
+    """Shift of every feature times its importance in a fitted model (``model_name, version, feature_id, feature_importance``)."""
+    d = monitoring.feature_drift_monitor(b).select("feature_id", "normalized_shift", "drift_status")
+    return importances.join(d, "feature_id").withColumn("impact", F.col("normalized_shift") * F.col("feature_importance"))
+
+
 def drift_by_segment(b, days: int = 7) -> DataFrame:
     """Mean shift per feature and risk tier."""
     at, v = F.col("feature_timestamp"), F.col("feature_value")

@@ -47,7 +47,7 @@ def query(name: str, sql: str | None = None):
 
 _BASES = {
     "customer_nation": "customer JOIN nation ON c_nationkey = n_nationkey",
-    "conversation_heads": "(SELECT conv_id, count(*) AS n_turns FROM conversations GROUP BY conv_id) heads",
+    "conversation_heads": "(SELECT conv_id, count(*) AS n_turns, (SELECT count(*) FROM customer) AS n_customers FROM conversations GROUP BY conv_id) heads",
 }
 
 

@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.ml.functions import vector_to_array
 
+from kontora.plans import feature_store as fs
 from kontora.plans import learning as L
+from kontora.plans import questions
 from kontora.queries.base import TODAY, avg, query
+from kontora.queries.features import labels_from
 from kontora.session import scratch_path
+from kontora.sources.mapping import FEATURE_IDS
 
 _FITTED: dict = {}
+#: A model over stored features: whether a purchase is a large one.
+PURCHASES, STORED = "PURCHASE_VALUE_MODEL", (FEATURE_IDS[0], FEATURE_IDS[1], FEATURE_IDS[5])
 
 
 def fitted(b, name):
@@ -20,23 +26,29 @@ def fitted(b, name):
     return _FITTED[key]
 
 
-@query("train_set_fraud", f"""
+_FRAUD_ROWS = f"""
 SELECT t.transaction_id, t.customer_id, CAST(t.amount AS DOUBLE) AS amount, t.merchant_category, t.transaction_type, t.is_international,
   CAST(coalesce(c.credit_score, 650) AS DOUBLE) AS credit_score, coalesce(c.risk_tier, 'MEDIUM') AS risk_tier, CAST(coalesce(a.current_balance, 0) AS DOUBLE) AS account_balance,
   t.fraud_score > 0.7 AS is_fraud
 FROM transactions t LEFT JOIN customers c ON t.customer_id = c.customer_id LEFT JOIN accounts a ON t.account_id = a.account_id
-WHERE t.transaction_date >= {TODAY} - INTERVAL 6 MONTH AND t.amount > 10""")
+WHERE t.transaction_date >= {TODAY} - INTERVAL 6 MONTH AND t.amount > 10"""
+
+
+@query("train_set_fraud", _FRAUD_ROWS)
 def train_set_fraud(b):
     return L.train_set_fraud(b)
 
 
-@query("train_set_advance", f"""
+_ADVANCE_ROWS = f"""
 SELECT ca.advance_id, ca.customer_id, CAST(ca.advance_amount AS DOUBLE) AS advance_amount, CAST(ca.fee_amount AS DOUBLE) AS fee_amount, CAST(ca.eligibility_score AS DOUBLE) AS eligibility_score,
   CAST(c.credit_score AS DOUBLE) AS credit_score, c.risk_tier, c.employment_status, CAST(count(DISTINCT dd.deposit_id) AS DOUBLE) AS deposit_count, {avg("dd.amount")} AS avg_deposit_amount,
   ca.advance_status = 'REPAID' AS was_repaid
 FROM cash_advances ca JOIN customers c ON ca.customer_id = c.customer_id JOIN direct_deposits dd ON ca.customer_id = dd.customer_id
 WHERE ca.advance_date >= {TODAY} - INTERVAL 12 MONTH
-GROUP BY ca.advance_id, ca.customer_id, ca.advance_amount, ca.fee_amount, ca.eligibility_score, c.credit_score, c.risk_tier, c.employment_status, ca.advance_status""")
+GROUP BY ca.advance_id, ca.customer_id, ca.advance_amount, ca.fee_amount, ca.eligibility_score, c.credit_score, c.risk_tier, c.employment_status, ca.advance_status"""
+
+
+@query("train_set_advance", _ADVANCE_ROWS)
 def train_set_advance(b):
     return L.train_set_advance(b)
 
@@ -145,6 +157,91 @@ def eval_mae_rmse(b):
     return L.mae_rmse(fitted(b, L.LTV)[1], L.LTV).withColumn("model_name", F.lit(L.LTV))
 
 
+def stored_models(b):
+    """The fitted models in one store per session and folder, a version each."""
+    key = (b.spark.sparkContext.applicationId, b.folder, "store")
+    if key not in _FITTED:
+        store = L.ModelStore(b.spark, scratch_path(b.spark, "models"))
+        for name in (L.FRAUD, L.ADVANCE, L.LTV):
+            model, scored = fitted(b, name)
+            store.log(name, model, {}, "", L.importances(model, scored, L.SPECS[name]))
+        spec = L.feature_spec(PURCHASES, STORED)
+        model, scored = L.fit(b.spark, spec, fs.training_dataset(labels_from(b), b.feature_history, STORED))
+        store.log(PURCHASES, model, {}, "", L.importances(model, scored, spec))
+        _FITTED[key] = store
+    return _FITTED[key]
+
+
+@query("model_importances")
+def model_importances(b):
+    store, out = stored_models(b), None
+    for name in (L.FRAUD, L.ADVANCE, L.LTV, PURCHASES):
+        out = store.importances(name) if out is None else out.unionByName(store.importances(name))
+    return out
+
+
+@query("q_drift_impact_fitted")
+def q_drift_impact_fitted(b):
+    return questions.drift_impact_fitted(b, stored_models(b).importances(PURCHASES))
+
+
+# A prediction has no SQL, but which rows are held out, their labels, and that every one has a prediction of the right kind does.
+_TESTED = "CAST(concat('0x', substr(md5(concat(CAST({} AS VARCHAR), '|split-42')), 1, 8)) AS BIGINT) % 100 >= 80"
+
+
+def _held_out(rows, row_id, label):
+    return f"SELECT {row_id}, {label}, true AS sound FROM ({rows}) t WHERE {_TESTED.format(row_id)}"
+
+
+def _sure(prediction):
+    """A class that is the likelier one."""
+    p = vector_to_array("probability")
+    return F.col(prediction) == F.when(p[1] > p[0], 1.0).otherwise(0.0)
+
+
+@query("model_fraud_rf_facts", _held_out(_FRAUD_ROWS, "transaction_id", "is_fraud"))
+def model_fraud_rf_facts(b):
+    return fitted(b, L.FRAUD)[1].select("transaction_id", "is_fraud", _sure("fraud_prediction").alias("sound"))
+
+
+@query("model_advance_lr_facts", _held_out(_ADVANCE_ROWS, "advance_id", "was_repaid"))
+def model_advance_lr_facts(b):
+    return fitted(b, L.ADVANCE)[1].select("advance_id", "was_repaid", _sure("repayment_prediction").alias("sound"))
+
+
+@query("model_ltv_gbt_facts", _held_out(_LTV.format(extra="CAST(c.lifetime_value AS DOUBLE) AS lifetime_value,", where="WHERE c.customer_status = 'ACTIVE' AND c.lifetime_value > 0"), "customer_id", "lifetime_value"))
+def model_ltv_gbt_facts(b):
+    sound = F.col("predicted_ltv").isNotNull() & ~F.isnan("predicted_ltv")
+    return fitted(b, L.LTV)[1].select("customer_id", "lifetime_value", sound.alias("sound"))
+
+
+@query("scored_rows_facts", """
+SELECT 'fraud' AS scores, count(*) AS n, count(DISTINCT transaction_id) AS ids, CAST(sum(abs(amount)) AS DOUBLE) AS carried FROM transactions t JOIN customers c USING (customer_id)
+UNION ALL SELECT 'eligibility', count(*), count(DISTINCT customer_id), CAST(sum(customer_id) AS DOUBLE) FROM customers
+UNION ALL SELECT 'lifetime', count(*), count(DISTINCT customer_id), CAST(sum(customer_id) AS DOUBLE) FROM customers""")
+def scored_rows_facts(b):
+    """Scoring keeps every row with its inputs."""
+    out = None
+    for name, rows, model, key, carried in (
+        ("fraud", L.fraud_inputs(b), L.FRAUD, "transaction_id", F.col("amount").cast("decimal(38,2)")),
+        ("eligibility", L.advance_inputs(b), L.ADVANCE, "customer_id", F.col("customer_id")),
+        ("lifetime", L.ltv_inputs(b), L.LTV, "customer_id", F.col("customer_id")),
+    ):
+        scored = L.score(fitted(b, model)[0], rows, model).where(F.col(L.SPECS[model].prediction).isNotNull())
+        one = scored.agg(F.count("*").alias("n"), F.count_distinct(key).alias("ids"), F.sum(carried).cast("double").alias("carried")).withColumn("scores", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("model_registry_facts", f"""
+SELECT m AS model_name, CAST(1 AS INT) AS version, CAST(n AS BIGINT) AS inputs, 1.0::DOUBLE AS total
+FROM (VALUES ('{L.FRAUD}', 7), ('{L.ADVANCE}', 8), ('{L.LTV}', 8), ('{PURCHASES}', 3)) x(m, n)""")
+def model_registry_facts(b):
+    """Versions, and that a model's importances name each of its inputs and add up to one."""
+    shares = model_importances(b).groupBy("model_name", "version").agg(F.count_distinct("feature_id").alias("inputs"), F.round(F.sum("feature_importance"), 9).alias("total"))
+    return stored_models(b).rows().select("model_name", "version").join(shares, ["model_name", "version"])
+
+
 @query("model_registry")
 def model_registry(b):
     store = L.ModelStore(b.spark, scratch_path(b.spark, "models"))

@@ -71,7 +71,9 @@ class Bank:
         )
 
     def _make_conversation_heads(self) -> DataFrame:
-        return self.raw("conversations").groupBy("conv_id").agg(F.count("*").alias("n_turns"))
+        everyone = self.raw("customer").agg(F.count("*").alias("n"))
+        heads = self.raw("conversations").groupBy("conv_id").agg(F.count("*").alias("n_turns"))
+        return heads.withColumn("n_customers", everyone.scalar())
 
     def _make_device_sessions(self) -> DataFrame:
         """App sessions: events of one user with gaps of up to half an hour."""

@@ -110,7 +110,9 @@ MAPPING["transactions"] = Mapped("events", {
     "description": "concat(event_type, ' ', CAST(event_id AS STRING))",
     "is_recurring": "{k} % 10 = 3",
     "is_international": "{k} % 20 = 0",
-    "fraud_score": "CAST(((event_id * 7919) % 100) / 100 AS DECIMAL(3,2))",
+    # large, foreign and some merchants' transactions score higher, so that a model of the score has something to learn
+    "fraud_score": "CAST(((event_id * 7919) % 45 + CASE WHEN value > 60 THEN 25 ELSE 0 END + CASE WHEN {k} % 20 = 0 THEN 20 ELSE 0 END"
+                   " + CASE WHEN {k} % 40 < 8 THEN 9 ELSE 0 END) / 100 AS DECIMAL(3,2))",
     "status": "CASE WHEN event_id % 100 = 0 THEN 'DECLINED' WHEN event_id % 100 = 1 THEN 'PENDING' ELSE 'COMPLETED' END",
     "created_at": "ts",
 })
@@ -171,7 +173,7 @@ MAPPING["cash_advances"] = Mapped("events", {
 
 MAPPING["support_interactions"] = Mapped("conversation_heads", {
     "interaction_id": "conv_id",
-    "customer_id": "conv_id % 150",
+    "customer_id": "conv_id % n_customers",
     "interaction_type": "CASE conv_id % 3 WHEN 0 THEN 'CHAT' WHEN 1 THEN 'PHONE' ELSE 'EMAIL' END",
     "interaction_date": "DATE '2024-01-31' - CAST(conv_id % 120 AS INT)",
     "category": "CASE conv_id % 5 WHEN 0 THEN 'ACCOUNT' WHEN 1 THEN 'TRANSACTION' WHEN 2 THEN 'CARD' WHEN 3 THEN 'ADVANCE' ELSE 'GENERAL' END",
