@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kontora.functions.scalars import moment
-from kontora.sources.storage import folder_exists, remove_folder
+from kontora.sources.storage import folder_exists, replace_partitions
 
 #: The partition column: the day of ``feature_timestamp``.
 DATE = "feature_date"
@@ -24,20 +24,9 @@ class History:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _replace(self, rows: DataFrame, table: str, date: str, days: Sequence[dt.date] | None) -> None:
-        if days is not None:
-            rows = rows.where(F.col(date).isin(*days))
-        path = f"{self.root}/{table}"
-        rows.hint("rebalance", date).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path)
-        if days is not None:  # a day that has no rows any more is not overwritten by itself
-            left = {r[0] for r in rows.select(date).distinct().collect()}  # at most the days asked for
-            for d in days:
-                if d not in left:
-                    remove_folder(self.spark, f"{path}/{date}={d}")
-
     def store(self, values: DataFrame, days: Sequence[dt.date] | None = None) -> None:
         """Replace the days that ``values`` has rows of or, if days are named, just those (one without rows becomes empty)."""
-        self._replace(values.withColumn(DATE, F.to_date("feature_timestamp")), "values", DATE, days)
+        replace_partitions(values.withColumn(DATE, F.to_date("feature_timestamp")), f"{self.root}/values", DATE, days)
 
     def read(self) -> DataFrame:
         """All values with their ``feature_date``; conditions on it choose the folders that are read."""
@@ -49,7 +38,7 @@ class History:
 
         rows = self.read()
         rows = rows if days is None else rows.where(F.col(DATE).isin(*days))
-        self._replace(feature_stats(rows), "statistics", "computation_date", days)
+        replace_partitions(feature_stats(rows), f"{self.root}/statistics", "computation_date", days)
 
     def statistics(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/statistics")

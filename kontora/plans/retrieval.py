@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from kontora.functions.scalars import ColumnLike, col
-from kontora.operators.joins import with_each
+from kontora.operators.joins import with_row
 from kontora.operators.ranking import top_per_key
 from kontora.session import shared_dir
 
 K1, B = 1.2, 0.75
+#: Query vectors that a row is scored against at a time.
+QUERIES = 256
 
 
 def assemble_transcripts(turns: DataFrame, interactions: DataFrame) -> DataFrame:
@@ -38,16 +40,6 @@ def tokens(text: ColumnLike):
     return F.filter(F.split(F.lower(col(text)), r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
-def postings(docs: DataFrame) -> DataFrame:
-    """(doc_id, term, tf, length) of every word."""
-    words = docs.select("doc_id", tokens("text").alias("words")).withColumn("length", F.size("words"))
-    return (
-        words.select("doc_id", "length", F.explode_outer("words").alias("term")).where("term IS NOT NULL")
-        .groupBy("doc_id", "term", "length")
-        .agg(F.count("*").alias("tf"))
-    )
-
-
 def counted(docs: DataFrame, terms: Sequence[str]) -> DataFrame:
     """(doc_id, length, term, tf) of the asked words, and one row with term '' per document.
 
@@ -61,39 +53,18 @@ def counted(docs: DataFrame, terms: Sequence[str]) -> DataFrame:
     return words.where(F.col("term").isin("", *terms)).groupBy("doc_id", "length", "term").agg(F.count("*").alias("tf"))
 
 
-def index_terms(index: DataFrame) -> DataFrame:
-    """Documents per term."""
-    return index.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("occurrences"))
-
-
-def write_index(docs: DataFrame, path: str, buckets: int = 64) -> None:
-    """Store the postings by a hash of the term, so a search reads a few folders.
-
-    The rebalance hint splits the bucket of a very common word over several files.
-    """
-    rows = postings(docs).withColumn("bucket", F.pmod(F.hash("term"), F.lit(buckets)))
-    rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
-    corpus_size(docs).write.mode("overwrite").parquet(f"{path}/size")
-
-
-def corpus_size(docs: DataFrame) -> DataFrame:
-    """One row: number of documents and their mean length in words."""
-    length = F.size(tokens("text"))
-    return docs.agg(F.count("*").cast("double").alias("n"), (F.sum(length).cast("double") / F.count("*")).alias("avg_length"))
-
-
 def words_of(query: str) -> list[str]:
     import re
 
     return list(dict.fromkeys(w for w in re.split(r"[^\w]+", query.lower()) if w))
 
 
-def _asked(queries: Sequence[tuple[str, str]]) -> tuple[list[tuple[str, list[str]]], list[str]]:
+def asked_words(queries: Sequence[tuple[str, str]]) -> tuple[list[tuple[str, list[str]]], list[str]]:
     split = [(q, words_of(text)) for q, text in queries]
     return split, sorted({w for _, words in split for w in words})
 
 
-def _best(found: DataFrame, size: DataFrame, asked: Sequence[tuple[str, list[str]]], k: int) -> DataFrame:
+def best(found: DataFrame, size: DataFrame, asked: Sequence[tuple[str, list[str]]], k: int) -> DataFrame:
     """BM25 over the counts of the asked words; ties by document id.
 
     Each task keeps its own best k per query before the final ranking.
@@ -115,20 +86,11 @@ def search_topk(docs: DataFrame, queries: Sequence[tuple[str, str]], k: int = 5)
     once: the counts of the asked words go to the shared folder, and corpus
     size, document frequencies and scores all come from there.
     """
-    asked, terms = _asked(queries)
+    asked, terms = asked_words(queries)
     shared_dir(docs.sparkSession)
     found = counted(docs, terms).checkpoint()
     size = found.where("term = ''").agg(F.count("*").cast("double").alias("n"), (F.sum("length").cast("double") / F.count("*")).alias("avg_length"))
-    return _best(found.where("term <> ''"), size, asked, k)
-
-
-def search_index(spark, path: str, queries: Sequence[tuple[str, str]], k: int = 5, buckets: int = 64) -> DataFrame:
-    """The same from a stored index: only the folders of the asked words are read."""
-    asked, terms = _asked(queries)
-    folders = [F.pmod(F.hash(F.lit(t)), F.lit(buckets)) for t in terms]
-    index = spark.read.parquet(f"{path}/postings")
-    found = index.where(F.col("bucket").isin(*folders) & F.col("term").isin(*terms)).drop("bucket")
-    return _best(found, spark.read.parquet(f"{path}/size"), asked, k)
+    return best(found.where("term <> ''"), size, asked, k)
 
 
 def results_json(ranked: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -137,12 +99,6 @@ def results_json(ranked: DataFrame, columns: Sequence[str]) -> DataFrame:
     return ranked.groupBy("query_id").agg(F.to_json(items).alias("results"))
 
 
-def refresh_index(index: DataFrame, changed: DataFrame) -> DataFrame:
-    """Replace the postings of changed documents only."""
-    kept = index.join(changed.select("doc_id").distinct(), "doc_id", "left_anti")
-    return kept.unionByName(postings(changed))
-
-
 def cosine(a, b):
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
@@ -158,12 +114,28 @@ def centroids(df: DataFrame, label: str, vector: str) -> DataFrame:
     return at.groupBy(label).agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias("centroid"))
 
 
-def vector_topk(df: DataFrame, vec_id: str, vector: str, queries: DataFrame, k: int) -> DataFrame:
-    """The k most similar vectors per query vector.
+def vector_topk(df: DataFrame, vec_id: str, vector: str, queries: DataFrame, k: int, block: int = QUERIES) -> DataFrame:
+    """The k most similar vectors per query vector (query_id, query), exactly.
 
-    ``queries`` (query_id, query) is a bounded set; it is attached to every row
-    during the scan and each task keeps its best k.
+    Every row is scored where it is read against ``block`` queries at a time, which stand beside it as one array; only ids and scores
+    leave the row. A larger set of queries takes one scan per block, so no row ever carries more than a block.
     """
-    rows = with_each(df.select(vec_id, F.col(vector).cast("array<double>").alias("v")), queries.select("query_id", "query"), "q")
-    scored = rows.select(F.col("q.query_id").alias("query_id"), vec_id, F.round(cosine(F.col("v"), F.col("q.query")), 9).alias("score"))
-    return top_per_key(scored, ["query_id"], [F.desc("score"), F.asc(vec_id)], k, rank="rank")
+    rows = df.select(vec_id, F.col(vector).cast("array<double>").alias("_v"))
+    asked = queries.select("query_id", "query")
+    n = asked.count()
+    blocks = -(-n // block) or 1
+    number = F.row_number().over(Window.partitionBy("_part").orderBy("query_id")) - 1
+    best_of = None
+    parts = [asked] if blocks == 1 else None
+    if parts is None:
+        # hashed parts of about half a block, checked below, so that no single task numbers all queries
+        spread = asked.withColumn("_part", F.pmod(F.xxhash64("query_id"), F.lit(2 * blocks)))
+        spread = spread.withColumn("_block", F.floor(number / block)).checkpoint()
+        keys = spread.select("_part", "_block").distinct().orderBy("_part", "_block").collect()
+        parts = [spread.where((F.col("_part") == r._part) & (F.col("_block") == r._block)).drop("_part", "_block") for r in keys]
+    for part in parts:
+        near = with_row(rows, part.agg(F.collect_list(F.struct("query_id", "query")).alias("qs")), "_q")
+        scores = F.transform("_q.qs", lambda q: F.struct(q["query_id"].alias("query_id"), F.round(cosine(F.col("_v"), q["query"]), 9).alias("score")))
+        scored = near.select(vec_id, F.explode(scores).alias("s")).select("s.query_id", vec_id, "s.score")
+        best_of = scored if best_of is None else best_of.unionByName(scored)
+    return top_per_key(best_of, ["query_id"], [F.desc("score"), F.asc(vec_id)], k, rank="rank")

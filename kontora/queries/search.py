@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kontora.plans import retrieval as r
+from kontora.plans.text_index import TextIndex
+from kontora.plans.vector_index import VectorIndex, recall
 from kontora.queries.base import query
+from kontora.session import scratch_path
 
 # What a caller asks; the words are those of the supplied texts.
 ASKED = [("q1", "heed worthless thand"), ("q2", "there would the nter"), ("q3", "die schst zueinen entstöung")]
@@ -52,11 +55,13 @@ def assemble_transcripts(b):
 
 @query("build_search_index", f"WITH {_DOCS}, {_POST} SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS occurrences FROM post GROUP BY 1")
 def build_search_index(b):
-    from kontora.session import scratch_path
+    return indexed(b).terms()
 
-    path = scratch_path(b.spark, "index")
-    r.write_index(docs(b), path)
-    return r.index_terms(b.spark.read.parquet(f"{path}/postings"))
+
+def indexed(b):
+    index = TextIndex(b.spark, scratch_path(b.spark, "index"))
+    index.build(docs(b))
+    return index
 
 
 _ASK = "ask(query_id, term) AS (VALUES " + ", ".join(f"('{q}', '{w}')" for q, t in ASKED for w in r.words_of(t)) + ")"
@@ -74,11 +79,7 @@ def search_topk(b):
 
 @query("search_index_topk", f"WITH {_RANKED} SELECT query_id, doc_id, score, rank FROM ranked")
 def search_index_topk(b):
-    from kontora.session import scratch_path
-
-    path = scratch_path(b.spark, "index")
-    r.write_index(docs(b), path)
-    return r.search_index(b.spark, path, ASKED, 5)
+    return indexed(b).search(ASKED, 5)
 
 
 _ENGLISH = _tok(where="lang = 'en' AND ")
@@ -108,11 +109,30 @@ def vector_topk(b):
     return r.vector_topk(e, "vec_id", "embedding", queries, 5)
 
 
+@query("vector_index_topk")
+def vector_index_topk(b):
+    """Ten neighbours of every hundredth vector, by the index."""
+    index = VectorIndex(b.spark, scratch_path(b.spark, "vectors"))
+    index.build(b.raw("embeddings"), "vec_id", "embedding")
+    return index.search(_hundredth(b), 10)
+
+
+@query("vector_index_recall", "SELECT count(*) AS queries, true AS enough FROM embeddings WHERE vec_id % 100 = 0")
+def vector_index_recall(b):
+    """Whether the index finds nine tenths of what the exact search finds."""
+    exact = r.vector_topk(b.raw("embeddings"), "vec_id", "embedding", _hundredth(b), 10)
+    return recall(vector_index_topk(b), exact).select("queries", (F.col("recall") >= 0.9).alias("enough"))
+
+
+def _hundredth(b):
+    return b.raw("embeddings").where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+
+
 _AFTER = r"""CASE WHEN lang = 'fr' THEN concat(text, ' revised edition') ELSE text END"""
 
 
 @query("index_refresh", f"WITH {_tok(_AFTER)}, {_POST} SELECT doc_id, count(*) AS terms, CAST(sum(tf) AS BIGINT) AS words FROM post GROUP BY 1")
 def index_refresh(b):
-    changed = docs(b).where("lang = 'fr'").withColumn("text", F.concat("text", F.lit(" revised edition")))
-    index = r.refresh_index(r.postings(docs(b)), changed)
-    return index.groupBy("doc_id").agg(F.count("*").alias("terms"), F.sum("tf").alias("words"))
+    index = indexed(b)
+    index.refresh(docs(b).where("lang = 'fr'").withColumn("text", F.concat("text", F.lit(" revised edition"))))
+    return index.postings().groupBy("doc_id").agg(F.count("*").alias("terms"), F.sum("tf").alias("words"))

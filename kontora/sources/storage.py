@@ -88,6 +88,20 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence | None = None) -> None:
+    """Replace the folders of the partitions that ``df`` has rows of; other folders stay.
+
+    If values are named, just those are replaced, and one that has no rows becomes empty. ``df`` must not read the path.
+    """
+    rows = df if values is None else df.where(F.col(column).isin(*values))
+    rows.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    if values is not None:  # a partition without rows is not overwritten by itself
+        left = {r[0] for r in rows.select(column).distinct().collect()}  # at most the values asked for
+        for v in values:
+            if v not in left:
+                remove_folder(df.sparkSession, f"{path}/{column}={v}")
+
+
 class Versions:
     """A table kept as numbered versions with a pointer to the current one, for one writer at a time."""
 

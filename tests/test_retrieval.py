@@ -1,6 +1,13 @@
 import math
 
+import os
+import random
+
+from pyspark.sql import functions as F
+
 from kontora.plans import retrieval as r
+from kontora.plans.text_index import TextIndex
+from kontora.plans.vector_index import VectorIndex, recall
 from kontora.session import scratch_path
 
 
@@ -33,9 +40,9 @@ def test_search_matches_hand_computed_scores(spark):
     want = bm25(texts, query)
     got = [(x.doc_id, x.score) for x in r.search_topk(c, [("q", query)], 5).orderBy("rank").collect()]
     assert got == want
-    path = scratch_path(spark, "ix")
-    r.write_index(c, path)
-    stored = r.search_index(spark, path, [("q", query), ("none", "absent words")], 2)
+    index = TextIndex(spark, scratch_path(spark, "ix"))
+    index.build(c)
+    stored = index.search([("q", query), ("none", "absent words")], 2)
     assert [(x.query_id, x.doc_id) for x in stored.orderBy("rank").collect()] == [("q", i) for i, _ in want[:2]]
     plan = stored._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [bucket#" in plan  # only the folders of the asked words are read
@@ -53,3 +60,59 @@ def test_cosine_and_empty_vectors(spark):
     q = spark.createDataFrame([("a", [1.0, 0.0])], "query_id string, query array<double>")
     got = {x.id: x.score for x in r.vector_topk(df, "id", "v", q, 5).collect()}
     assert got[1] == 1.0 and round(got[2], 4) == 0.7071 and got[3] is None
+
+
+def test_blocks_of_queries_change_nothing(spark):
+    rng = random.Random(1)
+    df = spark.createDataFrame([(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(60)], "id int, v array<double>")
+    q = df.select(F.col("id").alias("query_id"), F.col("v").alias("query"))
+    whole = r.vector_topk(df, "id", "v", q, 3)
+    assert whole.count() == 180 and sorted(whole.collect()) == sorted(r.vector_topk(df, "id", "v", q, 3, block=7).collect())
+    assert r.vector_topk(df, "id", "v", q.limit(0), 3).count() == 0
+
+
+def files(path):
+    return {f"{at}/{n}" for at, _, names in os.walk(path) for n in names if n.startswith("part-")}
+
+
+def test_a_refreshed_index_equals_a_rebuilt_one(spark):
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(400)]
+    texts = {i: " ".join(rng.choices(words, k=12)) for i in range(120)}
+    schema = "doc_id int, text string"
+    index, other = (TextIndex(spark, scratch_path(spark, "ix"), buckets=64) for _ in range(2))
+    index.build(spark.createDataFrame([*texts.items(), (500, None), (501, "")], schema))
+    before = files(index.root.removeprefix("file:"))
+    changes = {3: "w1 w1 novel", 7: None, 900: "w2 brand new", 901: "", 902: None, 501: "now words"}
+    done = index.refresh(spark.createDataFrame(list(changes.items()), schema))
+    after = files(index.root.removeprefix("file:"))
+    assert 0 < len(done["postings"]) < 64 and 0 < len(done["documents"]) <= 6
+    kept = {f for f in before if not any(f"/{t}/bucket={b}/" in f for t in done for b in done[t])}
+    assert kept and kept <= after  # files of untouched buckets keep their names
+    other.build(spark.createDataFrame([(k, v) for k, v in (texts | {501: ""} | changes).items()], schema))
+    for a, b in ((index.postings(), other.postings()), (index.documents(), other.documents())):
+        assert sorted(map(str, a.select(*sorted(a.columns)).collect())) == sorted(map(str, b.select(*sorted(b.columns)).collect()))
+    ask = [("q", "w1 novel brand"), ("p", "w5 w9")]
+    assert sorted(index.search(ask).collect()) == sorted(other.search(ask).collect())
+    assert index.refresh(spark.createDataFrame([], schema)) == {"postings": [], "documents": []}
+
+
+def test_the_vector_index_finds_most(spark):
+    rng = random.Random(3)
+    centres = [[rng.gauss(0, 1) for _ in range(16)] for _ in range(12)]
+    rows = [(i, [x + rng.gauss(0, 0.6) for x in centres[i % 12]]) for i in range(1500)] + [(5000 + i, centres[0]) for i in range(700)]
+    odd = [(9000, None), (9001, []), (9002, [0.0] * 16), (9003, [float("nan")] * 16)]
+    df = spark.createDataFrame(rows + odd, "id int, v array<double>")
+    index = VectorIndex(spark, scratch_path(spark, "vectors"))
+    cells = index.build(df.where("id < 1400 OR id >= 5000"), "id", "v")
+    assert 30 < cells <= 47
+    index.add(df.where("id >= 1400 AND id < 5000"), "id", "v")
+    q = df.where("id < 1500 AND id % 20 = 0").select(F.col("id").alias("query_id"), F.col("v").alias("query"))
+    found, exact = index.search(q, 10), r.vector_topk(df.where("id < 9000").withColumnRenamed("id", "vec_id"), "vec_id", "v", q, 10)
+    got = recall(found, exact).first()
+    assert got.queries == 75 and got.recall >= 0.9
+    every = index.search(q, 10, probes=cells)
+    assert sorted((x.query_id, x.rank, x.score) for x in every.collect()) == sorted((x.query_id, x.rank, x.score) for x in exact.collect())
+    assert found.where("vec_id >= 9000").isEmpty()
+    empty = VectorIndex(spark, scratch_path(spark, "vectors"))
+    assert empty.build(df.where("id >= 9000"), "id", "v") == 0 and empty.search(q, 3).count() == 0
