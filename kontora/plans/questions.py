@@ -245,13 +245,15 @@ def attribution(b) -> DataFrame:
     """First-touch, last-touch and linear credit of every conversion.
 
     A conversion's path is the customer's touches up to and with it. A touch's linear credit is 1 / n for each conversion
-    from it on, n being that conversion's place: the customer's total less what ran up before the touch.
+    from it on, n being that conversion's place: the customer's total less what ran up before the touch. A busy customer's touches are
+    numbered and added up by day; only a row per day meets in one task.
     """
+    days = slice_of(F.to_date("sent_at"))
     order = ["sent_at", "customer_campaign_id"]
     t = b.customer_campaigns.select("customer_id", "campaign_id", "customer_campaign_id", "sent_at", "converted", "conversion_value")
-    t = numbered(t, ["customer_id"], order, slice_of("sent_at"), "place")
+    t = numbered(t, ["customer_id"], order, days, "place")
     t = t.withColumn("share", F.when(F.col("converted"), F.lit(1.0) / F.col("place")).otherwise(0.0))
-    t = running(t, ["customer_id"], order, slice_of("sent_at"), {"so_far": "share"})
+    t = running(t, ["customer_id"], order, days, {"so_far": "share"})
     path = over_key(t, ["customer_id"], {
         "shares": F.sum("share"), "first_at": F.min("sent_at"), "first_campaign": F.min_by("campaign_id", F.struct(*order)),
     })
