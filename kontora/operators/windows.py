@@ -11,11 +11,15 @@ may hold a third of the table, so ordered windows here are cut into slices:
 
 A slice is made of the leading order column alone (or a coarser form of it), so
 it never falls along the ordering, whatever the types of the columns behind it.
+* ``range_sums`` and ``ranged`` are frames of time over raw rows, by differences
+  of running sums and by slices with a halo.
+
 Results equal the plain window.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -173,3 +177,64 @@ def over_key(
         *[c.alias(n) for n, c in aggregates.items()]
     )
     return df.withColumn("__k", _key(keys)).join(grouped, "__k").select(*df.columns, *aggregates)
+
+
+def _micros(time: ColumnLike) -> Column:
+    return F.unix_micros(col(time).cast("timestamp"))
+
+
+def range_sums(
+    df: DataFrame, keys: Sequence[ColumnLike], time: str, ids: Sequence[str], reach: dt.timedelta, sums: Mapping[str, ColumnLike], slice_width: str = "minute"
+) -> DataFrame:
+    """Sums over the rows of the key from ``reach`` before a row's time up to it, rows of the same time included.
+
+    Equals RANGE BETWEEN reach PRECEDING AND CURRENT ROW, but a sum over no value is 0. ``ids`` tell the rows of the table apart.
+    Every row sends one empty row to the moment before its frame; the frame is the difference of two running sums, so
+    a task holds a slice of a key and never a frame, however many rows a frame has. Use integers or decimals: differences of
+    doubles lose digits. Rows without a time are peers of each other and of no other row.
+    """
+    names = list(sums)
+    values = [col(sums[n]) for n in names]
+    work = df.select(F.struct(*df.columns).alias("__row"), _key(ids).alias("__id"), _key(keys).alias("__k"), _micros(time).alias("__t"), *[
+        v.alias(f"__v{i}") for i, v in enumerate(values)
+    ])
+    span = F.lit(reach // dt.timedelta(microseconds=1)).cast("long")
+    ends = F.array(F.struct(F.lit(True).alias("last"), F.col("__t").alias("at")), F.struct(F.lit(False).alias("last"), (F.col("__t") - span - 1).alias("at")))
+    marks = work.select("*", F.inline(ends)).select(
+        F.when(F.col("last"), F.col("__row")).alias("__row"), "__id", "__k", "last", "at",
+        slice_of(F.date_trunc(slice_width, F.timestamp_micros("at"))).alias("__s"),
+        *[F.when(F.col("last"), F.col(f"__v{i}")).alias(f"__v{i}") for i in range(len(names))],
+    )
+    held = marks.where("last").groupBy("__k", "__s").agg(*[F.sum(f"__v{i}").alias(f"__t{i}") for i in range(len(names))])
+    spots = held.unionByName(marks.select("__k", "__s").distinct(), allowMissingColumns=True).groupBy("__k", "__s").agg(
+        *[F.sum(f"__t{i}").alias(f"__t{i}") for i in range(len(names))]
+    )
+    earlier = Window.partitionBy("__k").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
+    shift = spots.select("__k", "__s", *[F.sum(f"__t{i}").over(earlier).alias(f"__b{i}") for i in range(len(names))])
+    inside = Window.partitionBy("__k", "__s").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+    local = marks.select("__row", "__id", "__k", "last", "at", "__s", *[F.sum(f"__v{i}").over(inside).alias(f"__l{i}") for i in range(len(names))])
+    reached = local.join(shift, ["__k", "__s"]).select(
+        "__row", "__id", "__k", "last", "at",
+        *[(F.coalesce(f"__l{i}", F.lit(0)) + F.when(F.col("at").isNull(), 0).otherwise(F.coalesce(f"__b{i}", F.lit(0)))).alias(f"__a{i}") for i in range(len(names))],
+    )
+    # a row without a time sends its empty row to its own peers, which must not be taken off again
+    taken = [F.when(F.col("last"), F.col(f"__a{i}")).otherwise(F.when(F.col("at").isNull(), 0).otherwise(-F.col(f"__a{i}"))) for i in range(len(names))]
+    out = reached.groupBy("__id").agg(F.first("__row", ignorenulls=True).alias("__row"), *[F.sum(t).alias(f"__a{i}") for i, t in enumerate(taken)])
+    return out.select(*[F.col(f"__row.`{c}`").alias(c) for c in df.columns], *[F.col(f"__a{i}").alias(n) for i, n in enumerate(names)])
+
+
+def ranged(
+    df: DataFrame, keys: Sequence[ColumnLike], time: str, reach: dt.timedelta, build: Callable[[Window], Mapping[str, Column]]
+) -> DataFrame:
+    """Any window columns over the rows of the key from ``reach`` before a row's time up to it.
+
+    ``build`` gets the window with its frame, e.g. ``lambda w: {"top": F.max("amount").over(w)}``. A key is cut into slices of
+    time as wide as the frame, and a row goes to its own slice and, as a halo, to the next one; so a task holds at most twice
+    the rows of one reach. Where single frames are too many rows for a task, use ``range_sums``. Rows without a time are peers.
+    """
+    span = reach // dt.timedelta(microseconds=1)
+    own = F.floor(F.col("__t") / F.lit(span + 1)).cast("long")
+    work = df.withColumn("__k", _key(keys)).withColumn("__t", _micros(time)).withColumn("__o", own)
+    placed = work.withColumn("__s", F.explode(F.when(F.col("__o").isNull(), F.array("__o")).otherwise(F.array("__o", F.col("__o") + 1))))
+    columns = build(Window.partitionBy("__k", "__s").orderBy("__t").rangeBetween(-span, 0))
+    return placed.select("*", *[c.alias(n) for n, c in columns.items()]).where(F.col("__s").eqNullSafe(F.col("__o"))).select(*df.columns, *columns)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Window, functions as F
 
 from kontora.functions import scalars as S
 from kontora.operators.ranking import latest_per_key, sample_per_key, top_per_key
-from kontora.operators.windows import framed, numbered, over_key, positioned, running, slice_of
+from kontora.operators.windows import framed, numbered, over_key, positioned, range_sums, ranged, running, slice_of
 from kontora.queries.base import NOW, TODAY, avg, query, total
 
 _TXN_ORDER = ["transaction_timestamp", "transaction_id"]
@@ -167,6 +169,26 @@ def win_calendar_rolling(b):
     return daily.select("customer_id", "transaction_date", F.sum("n").over(w).alias("n_7d"), F.sum("v").over(w).alias("v_7d"))
 
 
+_RAW = "(PARTITION BY customer_id ORDER BY transaction_timestamp RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW)"
+
+
+@query("win_range_rolling", f"""
+SELECT transaction_id, customer_id, count(*) OVER w AS n_7d, CAST(sum(abs(amount)) OVER w AS DOUBLE) AS v_7d FROM transactions WINDOW w AS {_RAW}""")
+def win_range_rolling(b):
+    """Counts and volume of the seven days before each transaction, to the microsecond."""
+    return range_sums(
+        _txn(b, "amount"), ["customer_id"], "transaction_timestamp", ["transaction_id"], dt.timedelta(days=7), {"n_7d": F.lit(1).cast("long"), "v_7d": F.abs("amount")}, "hour"
+    ).select("transaction_id", "customer_id", "n_7d", "v_7d")
+
+
+@query("win_range_extremes", f"""
+SELECT transaction_id, CAST(max(amount) OVER w AS DOUBLE) AS top_7d, CAST(min(amount) OVER w AS DOUBLE) AS low_7d FROM transactions WINDOW w AS {_RAW}""")
+def win_range_extremes(b):
+    return ranged(
+        _txn(b, "amount"), ["customer_id"], "transaction_timestamp", dt.timedelta(days=7), lambda w: {"top_7d": F.max("amount").over(w), "low_7d": F.min("amount").over(w)}
+    ).select("transaction_id", "top_7d", "low_7d")
+
+
 # ---------------------------------------------------------------- order, limit, top-k
 
 

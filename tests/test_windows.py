@@ -1,11 +1,12 @@
 """The sliced windows against the plain ones, with one key holding most rows."""
 
+import datetime as dt
 import random
 
 import pytest
 from pyspark.sql import Window, functions as F
 
-from kontora.operators.windows import carried, framed, numbered, over_key, positioned, running, slice_of
+from kontora.operators.windows import carried, framed, numbered, over_key, positioned, range_sums, ranged, running, slice_of
 
 
 @pytest.fixture(scope="module")
@@ -101,3 +102,23 @@ def test_positions_in_the_whole_table(spark):
     want = df.select("a", F.row_number().over(Window.orderBy("a")).alias("n"))
     assert sorted(positioned(df, ["a"], "n").collect(), key=str) == sorted(want.collect(), key=str)
     assert positioned(df.limit(0), ["a"]).collect() == []
+
+
+@pytest.mark.parametrize("width", ["minute", "hour"])
+def test_frames_of_time_over_a_busy_key(spark, width):
+    """A third of the rows and more in one key, ties in time, no key, no time, values that are not there."""
+    rng = random.Random(11)
+    data = [
+        ("hot" if rng.random() < 0.4 else rng.choice(["a", "b", None]), rng.randrange(90_000) if rng.random() < 0.96 else None, k, rng.choice([None, 1, 5, -3]))
+        for k in range(900)
+    ]
+    df = spark.createDataFrame(data + [("one", 5, 900, 7)], "k string, s int, id long, v long").withColumn("t", F.timestamp_seconds(F.floor(F.col("s") / 40) * 40)).drop("s")
+    reach = dt.timedelta(minutes=47)
+    w = Window.partitionBy("k").orderBy(F.unix_micros("t")).rangeBetween(-47 * 60 * 1_000_000, 0)
+    want = df.select("id", F.count("*").over(w).alias("n"), F.coalesce(F.sum("v").over(w), F.lit(0)).alias("s"), F.max("v").over(w).alias("m"))
+    sums = range_sums(df, ["k"], "t", ["id"], reach, {"n": F.lit(1).cast("long"), "s": "v"}, width)
+    assert sums.columns == ["k", "id", "v", "t", "n", "s"]
+    assert collected(sums, "n", "s") == collected(want, "n", "s")
+    tops = ranged(df, ["k"], "t", reach, lambda x: {"m": F.max("v").over(x)})
+    assert sorted(tops.select("id", "m").collect(), key=str) == sorted(want.select("id", "m").collect(), key=str)
+    assert range_sums(df.limit(0), ["k"], "t", ["id"], reach, {"s": "v"}).collect() == ranged(df.limit(0), ["k"], "t", reach, lambda x: {}).collect() == []
