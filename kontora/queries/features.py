@@ -11,6 +11,7 @@ from kontora.operators.ranking import latest_per_key
 from kontora.plans import feature_store as fs
 from kontora.plans import registry
 from kontora.plans.feature_history import History, within
+from kontora.plans.feature_sketches import DISTINCT_BOUND, RANK_BOUND, Sketches, held_against
 from kontora.queries.base import NOW, NOW_ORDERS, TODAY, avg, query, total
 from kontora.session import scratch_path
 from kontora.sources import storage
@@ -162,6 +163,25 @@ def feature_stats_refresh(b):
     return history.statistics()
 
 
+@query("feature_stats_sketched", f"""
+SELECT feature_id, count(*) AS total_count, count(*) - count(feature_value) AS null_count, round(avg(feature_value), 6) AS mean_value,
+  round(stddev_samp(feature_value), 6) AS std_deviation, min(feature_value) AS min_value, max(feature_value) AS max_value,
+  true AS ranks_in_bound, true AS distinct_in_bound
+FROM feature_values WHERE CAST(feature_timestamp AS DATE) BETWEEN DATE '{_DAYS[0]}' - 20 AND DATE '{_DAYS[-1]}' GROUP BY 1""")
+def feature_stats_sketched(b):
+    """Statistics of four weeks from stored daily states, one day of which is computed twice; answers within bounds are held against the values."""
+    start, end = _DAYS[0] - dt.timedelta(days=20), _DAYS[-1]
+    sketches = Sketches(b.spark, scratch_path(b.spark, "feature-sketches"))
+    sketches.refresh(b.feature_values)
+    sketches.refresh(b.feature_values, [_DAYS[2]])
+    stats = sketches.statistics(start, end)
+    values = b.feature_values.where(F.to_date("feature_timestamp").between(F.lit(start), F.lit(end)))
+    return stats.join(held_against(stats, values), "feature_id").select(
+        "feature_id", "total_count", "null_count", F.round("mean_value", 6).alias("mean_value"), F.round("std_deviation", 6).alias("std_deviation"),
+        "min_value", "max_value", (F.col("rank_error") <= RANK_BOUND).alias("ranks_in_bound"), (F.col("distinct_error") <= DISTINCT_BOUND).alias("distinct_in_bound"),
+    )
+
+
 _LABELS_SQL = "lab AS (SELECT event_id AS label_id, CAST(user_id AS VARCHAR) AS entity_id, ts AS label_ts, value > 50 AS label FROM events WHERE event_type = 'purchase')"
 
 
