@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from kontora.queries.base import query
 from kontora.session import scratch_path
 from kontora.sources import storage
-from kontora.streaming import jobs
+from kontora.streaming import jobs, stateful
 
 
 def _ntz(df, *names):
@@ -99,3 +101,26 @@ SELECT * FROM (SELECT user_id AS customer_id, min(ts) AS session_start, max(ts)
 WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
 def stream_session(b):
     return _ntz(_files(b, jobs.sessions(jobs.transactions(b.spark, b.folder)), "sessions"), "session_start", "session_end")
+
+
+@query("stream_velocity_timers", """
+WITH r AS (SELECT transaction_id, customer_id, transaction_timestamp, merchant_city,
+  lag(transaction_timestamp) OVER (PARTITION BY customer_id ORDER BY transaction_timestamp, transaction_id) AS prev_time,
+  lag(merchant_city) OVER (PARTITION BY customer_id ORDER BY transaction_timestamp, transaction_id) AS prev_city FROM transactions)
+SELECT transaction_id, customer_id, prev_time, prev_city, CASE WHEN date_diff('minute', prev_time, transaction_timestamp) < 5 AND merchant_city <> prev_city THEN 1 ELSE 0 END AS impossible_travel
+FROM r WHERE date_trunc('millisecond', transaction_timestamp) < (SELECT date_trunc('millisecond', max(transaction_timestamp)) FROM transactions) - INTERVAL 10 MINUTE""")
+def stream_velocity_timers(b):
+    """Each flag once and for good, when the watermark has passed its row; the last ten minutes still wait."""
+    flags = stateful.flag_velocity(jobs.transactions(b.spark, b.folder), idle=dt.timedelta(days=3650))
+    return _ntz(_files(b, flags, "velocity-timers"), "prev_time").select("transaction_id", "customer_id", "prev_time", "prev_city", "impossible_travel")
+
+
+@query("stream_delivered_twice", "SELECT transaction_id, customer_id, transaction_timestamp, CAST(amount AS DOUBLE) AS amount FROM transactions")
+def stream_delivered_twice(b):
+    """The whole feed comes a second time to a restarted query, and nothing changes."""
+    folder, out, checkpoint = (scratch_path(b.spark, f"twice-{x}") for x in ("feed", "rows", "checkpoint"))
+    for copy in (1, 2):
+        b.raw("events").write.parquet(f"{folder}/events-{copy}.parquet")
+        feed = jobs.transactions(b.spark, folder).select("transaction_id", "customer_id", "transaction_timestamp", "amount")
+        jobs.drain(jobs.to_files(stateful.delivered_once(feed, "3650 days"), out, checkpoint))
+    return _ntz(b.spark.read.parquet(out), "transaction_timestamp")
