@@ -1,9 +1,10 @@
 """Line runs against their SQL and by hand."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from kontora.llm import line_runs
-from kontora.llm.common import documents
+from kontora.llm.common import documents, keyed
 from tests.oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -42,3 +43,15 @@ def test_by_hand(spark):
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert line_runs.report(docs).collect() == [] and line_runs.deduplicated(docs).collect() == []
+
+
+def test_repeated_rows_are_combined_before_the_shuffle(spark):
+    text = "\n".join(" ".join(f"w{k}{x}" for x in range(9)) for k in range(12))
+    docs = spark.range(20_000).select(F.lit(7).alias("doc_id"), F.lit(text).alias("text")).unionByName(spark.createDataFrame([(8, text), (9, "other")], "doc_id int, text string"))
+    rows = line_runs.lines(keyed(docs))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("Exchange hashpartitioning"):]
+    assert "HashAggregate" in below and "h#" in below  # the copies of a row are combined before they are sent
+    assert rows.count() == 12 + 12 + 1
+    got = {r.doc_id: r for r in line_runs.report(docs).drop("runs").distinct().collect()}
+    assert set(got) == {7, 8, 9} and got[7].n_removed == 0 and got[8].n_removed == 12
