@@ -334,6 +334,34 @@ def cash_flow(b) -> DataFrame:
     )
 
 
+def seasonal_cash_flow(b, smoothing: float = 0.3) -> DataFrame:
+    """A seasonal estimate of each customer's next month of deposits.
+
+    A calendar month's factor is its mean month over the mean of all months, over all customers. Each customer's months, from the first to
+    the last with a deposit and empty ones between them as zero, are divided by their factors and folded in order into a level
+    that moves by ``smoothing`` towards each; the estimate is that level times the next month's factor (1 for a month never seen or
+    without deposits). Months per customer are few, so the fold runs over one short array where its row is.
+    """
+    months = b.direct_deposits.where("deposit_date IS NOT NULL").groupBy("customer_id", F.trunc("deposit_date", "month").alias("month")).agg(F.sum("amount").alias("total"))
+    spans = months.groupBy("customer_id").agg(F.map_from_entries(F.collect_list(F.struct("month", F.col("total").cast("double").alias("v")))).alias("paid"),
+                                              F.min("month").alias("low"), F.max("month").alias("high"))
+    each = spans.select("customer_id", "high", "paid", F.sequence("low", "high", F.expr("INTERVAL 1 MONTH")).alias("months"))
+    filled = each.select(F.explode("months").alias("month"), "paid").select(F.month("month").alias("m"), F.coalesce(F.col("paid")[F.col("month")], F.lit(0.0)).cast("decimal(18,2)").alias("v"))
+    sums = filled.groupBy("m").agg(F.sum("v").cast("double").alias("s"), F.count("*").alias("n"))  # at most twelve rows
+    overall = sums.agg((F.sum("s") / F.sum("n")).alias("mean"))
+    pairs = F.map_from_entries(F.collect_list(F.struct("m", F.try_divide(F.col("s") / F.col("n"), F.col("mean")).alias("f"))))
+    factors = sums.join(overall).agg(pairs.alias("factors")).scalar()
+    known = each.withColumn("factors", factors)
+    factor = lambda d: F.coalesce(F.when(F.col("factors")[F.month(d)] > 0, F.col("factors")[F.month(d)]), F.lit(1.0))
+    series = F.transform("months", lambda d: F.coalesce(F.col("paid")[d], F.lit(0.0)) / factor(d))
+    level = F.aggregate(F.slice("x", 2, F.greatest(F.size("x") - 1, F.lit(0))), F.element_at("x", 1), lambda a, v: a + (v - a) * F.lit(smoothing))
+    upcoming = F.add_months("high", 1)
+    return known.withColumn("x", series).select(
+        "customer_id", F.size("months").cast("long").alias("months"), F.round(level, 4).alias("level"), upcoming.alias("next_month"),
+        F.round(level * factor(upcoming), 4).alias("expected"),
+    )
+
+
 def compliance_score(b) -> DataFrame:
     c = activity.compliance_risk(b)
     points = (

@@ -149,6 +149,15 @@ l AS (SELECT customer_id, {avg("amount")} AS expected_next FROM (SELECT * FROM d
 SELECT customer_id, deposits, avg_deposit, round({_CV}, 6) AS variation, expected_next, CASE WHEN {_CV} IS NULL THEN 'UNKNOWN' WHEN {_CV} < 0.4 THEN 'STABLE' ELSE 'VARIABLE' END AS income,
   CAST(least(500, round(tot * 0.1, 2)) AS DOUBLE) AS advance_limit FROM p JOIN l USING (customer_id)""")
 
+ask("q_cash_flow_seasonal", q.seasonal_cash_flow, """
+WITH m AS (SELECT customer_id, CAST(date_trunc('month', deposit_date) AS DATE) AS month, CAST(sum(amount) AS DOUBLE) AS v FROM direct_deposits GROUP BY 1, 2),
+g AS (SELECT customer_id, CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE) AS month FROM m GROUP BY 1),
+z AS (SELECT g.customer_id, g.month, coalesce(v, 0) AS v FROM g LEFT JOIN m USING (customer_id, month)),
+f AS (SELECT month(month) AS mm, avg(v) / (SELECT avg(v) FROM z) AS f FROM z GROUP BY 1 HAVING avg(v) > 0),
+d AS (SELECT z.customer_id, z.month, v / coalesce(f, 1) AS x, row_number() OVER (PARTITION BY z.customer_id ORDER BY z.month) AS k, count(*) OVER (PARTITION BY z.customer_id) AS n FROM z LEFT JOIN f ON f.mm = month(z.month)),
+l AS (SELECT customer_id, max(n) AS months, sum(x * power(0.7, n - k) * CASE WHEN k = 1 THEN 1 ELSE 0.3 END) AS level, CAST(max(month) + INTERVAL 1 MONTH AS DATE) AS next_month FROM d GROUP BY 1)
+SELECT customer_id, months, round(level, 4) AS level, next_month, round(level * coalesce(f, 1), 4) AS expected FROM l LEFT JOIN f ON f.mm = month(next_month)""")
+
 ask("q_compliance_score", q.compliance_score, f"""
 WITH e AS (SELECT customer_id, count(CASE WHEN event_type = 'SAR' THEN 1 END) AS s, count(CASE WHEN event_type = 'CTR' THEN 1 END) AS t FROM compliance_events GROUP BY 1),
 x AS (SELECT customer_id, count(CASE WHEN high_risk_category THEN 1 END) AS r, count(CASE WHEN is_international THEN 1 END) AS i FROM transactions LEFT JOIN merchant_categories ON merchant_category = mcc_code
