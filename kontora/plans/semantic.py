@@ -16,6 +16,26 @@ from pyspark.sql import DataFrame, functions as F
 from kontora.functions.scalars import month_earlier
 from kontora.operators.joins import full_stitch
 
+#: SQL of the aggregates a metric may be made of.
+AGGREGATES = {"sum": "SUM({})", "count": "COUNT({})", "min": "MIN({})", "max": "MAX({})", "distinct": "COUNT(DISTINCT {})"}
+
+
+@dataclass(frozen=True)
+class Metric:
+    """A formula over aggregates: ``{0}``, ``{1}`` .. stand for ``states``, each a kind of aggregate and its input.
+
+    States of ever finer groups add up, so such a metric can be answered from stored rollups (``rollups.py``).
+    """
+
+    formula: str
+    states: tuple[tuple[str, str], ...]
+
+    def bound(self, month_ago: str) -> Metric:
+        return Metric(self.formula, tuple((kind, x.format(month_ago=month_ago)) for kind, x in self.states))
+
+    def sql(self) -> str:
+        return self.formula.format(*[AGGREGATES[kind].format(x) for kind, x in self.states])
+
 
 @dataclass(frozen=True)
 class SemanticView:
@@ -23,11 +43,11 @@ class SemanticView:
     keys: dict[str, str]  # table -> primary key
     links: list[tuple[str, str, str]]  # child, foreign key column, parent
     dimensions: dict[str, str]  # name -> table holding the column
-    metrics: dict[str, str]  # "table.name" -> aggregate expression
+    metrics: dict[str, Metric | str]  # "table.name" -> metric, or an aggregate expression that is always taken from the rows
     synonyms: dict[str, list[str]] = field(default_factory=dict)  # table -> names
 
-    def metric(self, name: str) -> tuple[str, str]:
-        """(table, expression) of a metric given as name or table.name."""
+    def metric(self, name: str) -> tuple[str, Metric | str]:
+        """(table, definition) of a metric given as name or table.name."""
         hits = [m for m in self.metrics if m == name or m.split(".")[1] == name]
         if len(hits) != 1:
             raise KeyError(f"{name}: {'unknown' if not hits else 'say which of ' + ', '.join(hits)}")
@@ -53,7 +73,7 @@ class SemanticView:
         return [d for d, t in self.dimensions.items() if self.path(table, t) is not None]
 
 
-def _with_dimensions(b, view: SemanticView, table: str, dims: Sequence[str]) -> DataFrame:
+def with_dimensions(b, view: SemanticView, table: str, dims: Sequence[str]) -> DataFrame:
     """The table with the dimension columns ``d_<name>`` it can reach."""
     df = getattr(b, table)
     wanted: dict[str, list[str]] = {}
@@ -86,29 +106,39 @@ def _with_dimensions(b, view: SemanticView, table: str, dims: Sequence[str]) ->
     return df
 
 
+def bound_metric(b, metric: Metric | str) -> Metric | str:
+    """The metric as of the bank's day."""
+    month = f"DATE '{month_earlier(b.as_of)}'"
+    return metric.bound(month) if isinstance(metric, Metric) else metric.format(month_ago=month)
+
+
 def semantic_query(
     b, view: SemanticView, metrics: Sequence[str], dimensions: Sequence[str] = (), where: str | None = None,
-    where_dimensions: Sequence[str] = (),
+    where_dimensions: Sequence[str] = (), rollups=None,
 ) -> DataFrame:
     """Metrics split by dimensions.
 
     ``where`` is a condition over dimension names; those it uses are listed in
-    ``where_dimensions``. One grouped pass per metric table.
+    ``where_dimensions``. One grouped pass per metric table. With ``rollups`` a table whose
+    metrics a stored level covers is answered from the smallest such level, the others from their rows.
     """
-    month = month_earlier(b.as_of)
-    by_table: dict[str, list[tuple[str, str]]] = {}
+    by_table: dict[str, dict[str, Metric | str]] = {}
     for m in metrics:
-        table, expr = view.metric(m)
-        by_table.setdefault(table, []).append((m.replace(".", "_"), expr.format(month_ago=f"DATE '{month}'")))
+        table, definition = view.metric(m)
+        by_table.setdefault(table, {})[m.replace(".", "_")] = bound_metric(b, definition)
+    condition = where
+    for d in where_dimensions:
+        condition = condition and condition.replace("{" + d + "}", f"d_{d}")
+    used = list(dict.fromkeys([*dimensions, *where_dimensions]))
     out = None
     for table, wanted in by_table.items():
-        rows = _with_dimensions(b, view, table, list(dict.fromkeys([*dimensions, *where_dimensions])))
-        if where:
-            text = where
-            for d in where_dimensions:
-                text = text.replace("{" + d + "}", f"d_{d}")
-            rows = rows.where(text)
-        part = rows.groupBy(*[F.col(f"d_{d}").alias(d) for d in dimensions]).agg(*[F.expr(e).alias(n) for n, e in wanted])
+        part = rollups.answer(view, table, wanted, dimensions, used, condition) if rollups is not None else None
+        if part is None:
+            rows = with_dimensions(b, view, table, used)
+            if condition:
+                rows = rows.where(condition)
+            exprs = [F.expr(m.sql() if isinstance(m, Metric) else m).alias(n) for n, m in wanted.items()]
+            part = rows.groupBy(*[F.col(f"d_{d}").alias(d) for d in dimensions]).agg(*exprs)
         out = part if out is None else full_stitch(out, part, list(dimensions))
     return out
 
@@ -121,13 +151,31 @@ def synonym_rows(view: SemanticView) -> list[tuple[str, str, str]]:
     return rows
 
 
-def _avg(x: str) -> str:
-    return f"CAST(SUM({x}) AS DOUBLE) / NULLIF(COUNT({x}), 0)"
+def _sum(x: str) -> Metric:
+    return Metric("{0}", (("sum", x),))
+
+
+def _avg(x: str) -> Metric:
+    return Metric("CAST({0} AS DOUBLE) / NULLIF({1}, 0)", (("sum", x), ("count", x)))
+
+
+def _share(part: str, whole: tuple[str, str]) -> Metric:
+    """Of the inputs named by ``whole``, those of ``part``; both counted or both summed."""
+    kind, x = whole
+    return Metric("CAST({0} AS DOUBLE) / NULLIF(CAST({1} AS DOUBLE), 0)", ((kind, part), (kind, x)))
 
 
-def _count(test: str, key: str) -> str:
+def _all(key: str) -> Metric:
+    return Metric("{0}", (("count", key),))
+
+
+def _count(test: str, key: str) -> Metric:
     # keys are unique, so counting them needs no distinct
-    return f"COUNT(CASE WHEN {test} THEN {key} END)"
+    return Metric("{0}", (("count", f"CASE WHEN {test} THEN {key} END"),))
+
+
+def _distinct(x: str) -> Metric:
+    return Metric("{0}", (("distinct", x),))
 
 
 CUSTOMER_BANKING = SemanticView(
@@ -150,26 +198,26 @@ CUSTOMER_BANKING = SemanticView(
         **dict.fromkeys(["interaction_type", "category"], "support_interactions"),
     },
     {
-        "customers.total_customers": "COUNT(customer_id)",
+        "customers.total_customers": _all("customer_id"),
         "customers.active_customers": _count("customer_status = 'ACTIVE'", "customer_id"),
         "customers.avg_credit_score": _avg("credit_score"),
         "customers.avg_income": _avg("income_verified"),
-        "accounts.total_accounts": "COUNT(account_id)",
+        "accounts.total_accounts": _all("account_id"),
         "accounts.checking_accounts": _count("account_type = 'CHECKING'", "account_id"),
         "accounts.savings_accounts": _count("account_type = 'SAVINGS'", "account_id"),
         "accounts.credit_accounts": _count("account_type IN ('BELIEVE_CARD', 'LINE_OF_CREDIT')", "account_id"),
         "accounts.avg_checking_balance": _avg("CASE WHEN account_type = 'CHECKING' THEN current_balance END"),
         "accounts.avg_savings_balance": _avg("CASE WHEN account_type = 'SAVINGS' THEN current_balance END"),
-        "accounts.total_deposits": "SUM(CASE WHEN account_type IN ('CHECKING', 'SAVINGS') THEN current_balance ELSE 0 END)",
+        "accounts.total_deposits": _sum("CASE WHEN account_type IN ('CHECKING', 'SAVINGS') THEN current_balance ELSE 0 END"),
         "cards.active_cards": _count("card_status = 'ACTIVE'", "card_id"),
-        "direct_deposits.total_deposits": "COUNT(deposit_id)",
+        "direct_deposits.total_deposits": _all("deposit_id"),
         "direct_deposits.avg_deposit_amount": _avg("amount"),
-        "direct_deposits.monthly_deposit_volume": "SUM(CASE WHEN deposit_date >= {month_ago} THEN amount END)",
-        "cash_advances.total_advances": "COUNT(advance_id)",
+        "direct_deposits.monthly_deposit_volume": _sum("CASE WHEN deposit_date >= {month_ago} THEN amount END"),
+        "cash_advances.total_advances": _all("advance_id"),
         "cash_advances.active_advances": _count("advance_status = 'ACTIVE'", "advance_id"),
         "cash_advances.avg_advance_amount": _avg("advance_amount"),
-        "cash_advances.default_rate": f"CAST({_count('''advance_status = 'DEFAULTED' ''', 'advance_id')} AS DOUBLE) / NULLIF(COUNT(advance_id), 0)",
-        "support_interactions.total_interactions": "COUNT(interaction_id)",
+        "cash_advances.default_rate": _share("CASE WHEN advance_status = 'DEFAULTED' THEN advance_id END", ("count", "advance_id")),
+        "support_interactions.total_interactions": _all("interaction_id"),
         "support_interactions.avg_satisfaction": _avg("satisfaction_score"),
     },
     {  # fixed values
@@ -198,22 +246,22 @@ TRANSACTION_PAYMENT = SemanticView(
         "account_type": "accounts", "customer_status": "customers",
     },
     {
-        "transactions.total_transactions": "COUNT(transaction_id)",
-        "transactions.transaction_volume": "SUM(ABS(amount))",
+        "transactions.total_transactions": _all("transaction_id"),
+        "transactions.transaction_volume": _sum("ABS(amount)"),
         "transactions.avg_transaction_amount": _avg("ABS(amount)"),
-        "transactions.debit_volume": "SUM(CASE WHEN transaction_type = 'DEBIT' THEN ABS(amount) ELSE 0 END)",
-        "transactions.credit_volume": "SUM(CASE WHEN transaction_type = 'CREDIT' THEN amount ELSE 0 END)",
-        "transactions.atm_volume": "SUM(CASE WHEN transaction_category = 'ATM' THEN ABS(amount) ELSE 0 END)",
+        "transactions.debit_volume": _sum("CASE WHEN transaction_type = 'DEBIT' THEN ABS(amount) ELSE 0 END"),
+        "transactions.credit_volume": _sum("CASE WHEN transaction_type = 'CREDIT' THEN amount ELSE 0 END"),
+        "transactions.atm_volume": _sum("CASE WHEN transaction_category = 'ATM' THEN ABS(amount) ELSE 0 END"),
         "transactions.pos_transactions": _count("transaction_category = 'POS'", "transaction_id"),
         "transactions.online_transactions": _count("transaction_category = 'ONLINE'", "transaction_id"),
         "transactions.recurring_count": _count("is_recurring", "transaction_id"),
         "transactions.international_count": _count("is_international", "transaction_id"),
         "transactions.declined_count": _count("status = 'DECLINED'", "transaction_id"),
-        "transactions.unique_merchants": "COUNT(DISTINCT merchant_name)",
-        "transactions.unique_categories": "COUNT(DISTINCT merchant_category)",
+        "transactions.unique_merchants": _distinct("merchant_name"),
+        "transactions.unique_categories": _distinct("merchant_category"),
         # filtered by the category dimensions, not here
-        "transactions.cashback_eligible_volume": "SUM(ABS(amount))",
-        "transactions.high_risk_volume": "SUM(ABS(amount))",
+        "transactions.cashback_eligible_volume": _sum("ABS(amount)"),
+        "transactions.high_risk_volume": _sum("ABS(amount)"),
         "transactions.avg_fraud_score": _avg("fraud_score"),
     },
     {  # fixed values
@@ -243,20 +291,20 @@ CREDIT_RISK = SemanticView(
         **dict.fromkeys(["event_type", "severity"], "compliance_events"),
     },
     {
-        "credit_applications.total_applications": "COUNT(application_id)",
+        "credit_applications.total_applications": _all("application_id"),
         "credit_applications.approved_applications": _count("application_status = 'APPROVED'", "application_id"),
-        "credit_applications.approval_rate": f"CAST({_count('''application_status = 'APPROVED' ''', 'application_id')} AS DOUBLE) / NULLIF(COUNT(application_id), 0)",
+        "credit_applications.approval_rate": _share("CASE WHEN application_status = 'APPROVED' THEN application_id END", ("count", "application_id")),
         "credit_applications.avg_approved_amount": _avg("approved_amount"),
-        "cash_advances.total_advance_volume": "SUM(advance_amount)",
-        "cash_advances.outstanding_balance": "SUM(CASE WHEN advance_status = 'ACTIVE' THEN advance_amount + fee_amount ELSE 0 END)",
-        "cash_advances.default_volume": "SUM(CASE WHEN advance_status = 'DEFAULTED' THEN advance_amount ELSE 0 END)",
-        "cash_advances.collection_rate": "CAST(SUM(CASE WHEN advance_status = 'REPAID' THEN repayment_amount ELSE 0 END) AS DOUBLE) / NULLIF(CAST(SUM(advance_amount + fee_amount) AS DOUBLE), 0)",
+        "cash_advances.total_advance_volume": _sum("advance_amount"),
+        "cash_advances.outstanding_balance": _sum("CASE WHEN advance_status = 'ACTIVE' THEN advance_amount + fee_amount ELSE 0 END"),
+        "cash_advances.default_volume": _sum("CASE WHEN advance_status = 'DEFAULTED' THEN advance_amount ELSE 0 END"),
+        "cash_advances.collection_rate": _share("CASE WHEN advance_status = 'REPAID' THEN repayment_amount ELSE 0 END", ("sum", "advance_amount + fee_amount")),
         "cash_advances.avg_days_to_repay": _avg("CASE WHEN advance_status = 'REPAID' THEN datediff(repayment_date, advance_date) END"),
-        "accounts.total_credit_exposure": "SUM(credit_limit)",
-        "accounts.credit_utilization": "AVG(CASE WHEN credit_limit > 0 THEN CAST(ABS(current_balance) AS DOUBLE) / CAST(credit_limit AS DOUBLE) END)",
+        "accounts.total_credit_exposure": _sum("credit_limit"),
+        "accounts.credit_utilization": _avg("CASE WHEN credit_limit > 0 THEN CAST(ABS(current_balance) AS DOUBLE) / CAST(credit_limit AS DOUBLE) END"),
         "cash_advances.avg_risk_score": _avg("default_risk_score"),
-        "external_data.verified_customers": "COUNT(DISTINCT CASE WHEN data_type = 'INCOME_VERIFICATION' THEN customer_id END)",
-        "compliance_events.total_events": "COUNT(event_id)",
+        "external_data.verified_customers": _distinct("CASE WHEN data_type = 'INCOME_VERIFICATION' THEN customer_id END"),
+        "compliance_events.total_events": _all("event_id"),
         "compliance_events.high_severity_events": _count("severity IN ('HIGH', 'CRITICAL')", "event_id"),
     },
     {  # fixed values

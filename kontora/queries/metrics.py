@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kontora.plans import semantic as sem
-from kontora.queries.base import TODAY, avg, query, total
+from kontora.plans.rollups import Rollups
+from kontora.queries.base import SQL, TODAY, avg, query, total
+from kontora.session import scratch_path
 from kontora.sources.storage import catalog_counts
 
 _CB = [m for m in sem.CUSTOMER_BANKING.metrics]
@@ -88,6 +90,60 @@ def sv_credit_risk(b):
     return out.withColumn("accounts_credit_utilization", F.round("accounts_credit_utilization", 6))
 
 
+#: The levels kept per metric table, widest first; the questions above ask for the narrow ones.
+_LEVELS = {
+    "customers": [("risk_tier", "acquisition_channel", "customer_status"), ("risk_tier",)],
+    "accounts": [("risk_tier", "account_type", "address_state", "customer_status"), ("address_state", "customer_status"), ("risk_tier",)],
+    "cards": [("risk_tier", "card_type"), ("risk_tier",)],
+    "direct_deposits": [("risk_tier", "deposit_type", "address_state", "customer_status"), ("address_state", "customer_status"), ("risk_tier",)],
+    "cash_advances": [("risk_tier", "advance_status"), ("risk_tier",)],
+    "support_interactions": [("risk_tier", "category"), ("risk_tier",)],
+}
+_LEVELS_TP = {"transactions": [("category_group", "cashback_eligible", "transaction_category", "status"), ("category_group", "cashback_eligible")]}
+_LEVELS_CR = {
+    "credit_applications": [("employment_status", "product_type"), ("employment_status",)], "cash_advances": [("employment_status", "advance_status"), ("employment_status",)],
+    "accounts": [("employment_status", "account_type"), ("employment_status",)], "external_data": [("employment_status", "data_type"), ("employment_status",)],
+    "compliance_events": [("employment_status", "severity"), ("employment_status",)],
+}
+
+
+def stored_rollups(b, view: sem.SemanticView, levels) -> Rollups:
+    """The view's rollups, built anew in the shared folder."""
+    rollups = Rollups(b.spark, scratch_path(b.spark, "rollups"))
+    for table, sets in levels.items():
+        rollups.build(b, view, table, sets)
+    return rollups
+
+
+@query("semantic_query_rollup")
+def semantic_query_rollup(b):
+    stored = stored_rollups(b, sem.CUSTOMER_BANKING, {t: _LEVELS[t] for t in ("accounts", "direct_deposits")})
+    return sem.semantic_query(
+        b, sem.CUSTOMER_BANKING, ["accounts.total_deposits", "total_accounts", "avg_deposit_amount"], ["address_state"],
+        "{customer_status} = 'ACTIVE'", ["customer_status"], stored,
+    )
+
+
+@query("sv_customer_banking_rollup")
+def sv_customer_banking_rollup(b):
+    return sem.semantic_query(b, sem.CUSTOMER_BANKING, _CB, ["risk_tier"], rollups=stored_rollups(b, sem.CUSTOMER_BANKING, _LEVELS))
+
+
+@query("sv_transaction_payment_rollup")
+def sv_transaction_payment_rollup(b):
+    stored = stored_rollups(b, sem.TRANSACTION_PAYMENT, _LEVELS_TP)
+    return sem.semantic_query(b, sem.TRANSACTION_PAYMENT, _TP, ["category_group", "cashback_eligible"], rollups=stored)
+
+
+@query("sv_credit_risk_rollup")
+def sv_credit_risk_rollup(b):
+    out = sem.semantic_query(b, sem.CREDIT_RISK, _CR, ["employment_status"], rollups=stored_rollups(b, sem.CREDIT_RISK, _LEVELS_CR))
+    return out.withColumn("accounts_credit_utilization", F.round("accounts_credit_utilization", 6))
+
+
+for _name in ("semantic_query", "sv_customer_banking", "sv_transaction_payment", "sv_credit_risk"):
+    SQL[f"{_name}_rollup"] = SQL[_name]
+
 _SYN = [(s, t) for t, names in sem.TRANSACTION_PAYMENT.synonyms.items() for s in names]
 
 
