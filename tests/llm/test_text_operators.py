@@ -132,42 +132,6 @@ def test_html(spark):
     assert html_text.report(rows.limit(0)).collect() == []
 
 
-def brute_licences(rows):
-    """Own licence of each text, with dictionaries."""
-    sets = [set(licences.terms(t or "")) for _, t in rows]
-    n = len(rows)
-    vocabulary = {w for _, t in licences.TEMPLATES for w in licences.terms(t)}
-    idf = {w: math.log((1 + n) / (1 + sum(w in s for s in sets))) + 1 for w in vocabulary} | {None: math.log(1 + n) + 1}
-
-    def vector(text):
-        v = Counter(w if w in vocabulary else None for w in licences.terms(text))
-        return {w: c * idf[w] for w, c in v.items()}
-
-    goal = [(name, vector(t)) for name, t in licences.TEMPLATES]
-    out = {}
-    for path, text in rows:
-        best = (0, None)
-        for unit in [*(text or "").split("\n"), *([text or ""] if "LICENSE" in path else [])]:
-            v = vector(unit)
-            for name, g in goal:
-                cos = sum(x * g.get(w, 0) for w, x in v.items()) / max(1e-300, math.hypot(*v.values()) * math.hypot(*g.values())) if v else 0
-                if cos >= licences.COSINE and cos > best[0] + 1e-9:
-                    best = (cos, name)
-        out[path] = best
-    return out
-
-
-def test_licences(spark):
-    docs = documents(spark, FOLDER)
-    rows = [(r.path, r.text) for r in licences.shelved(docs).collect()]
-    own = brute_licences(rows)
-    got = licences.licences(licences.shelved(docs)).collect()
-    assert len(got) == len(rows) and sum(r.own is not None for r in got) > 3
-    for r in got:
-        cos, name = own[r.path]
-        assert r.own == name and (name is None or abs(r.cosine - cos) < 1e-6)
-
-
 def test_licences_are_inherited_from_the_nearest_directory(spark):
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
     rows = [
