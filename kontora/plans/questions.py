@@ -4,17 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from kontora.functions.scalars import (
     band, corr, count_if, date_diff, day, days_before, flag, is_weekend, mean, moment, ratio, slope, sum_if,
 )
 from kontora.operators.aggregates import connected_groups, exact_percentiles
-from kontora.operators.joins import Child, join_children, shared_attribute_links
+from kontora.operators.joins import Child, join_children, shared_attribute_links, with_row
 from kontora.operators.ranking import top_per_key
 from kontora.operators.windows import numbered, over_key, running, slice_of
 from kontora.plans import activity, customers, monitoring, semantic
-from kontora.plans.retrieval import corpus, counted
+from kontora.plans.retrieval import corpus, counted, search_topk
 
 SCORE_BANDS = [(750, "EXCELLENT"), (700, "GOOD"), (650, "FAIR")]
 
@@ -447,3 +447,76 @@ def compliance_90d(b) -> DataFrame:
     return b.compliance_events.where(F.col("event_date") >= days_before(b.as_of, 90)).groupBy("event_type", "severity").agg(
         F.count("*").alias("events"), F.count_distinct("customer_id").alias("customers"), count_if(~F.col("resolved")).alias("unresolved")
     )
+
+
+def advance_segments(b) -> DataFrame:
+    """Advances, defaults and profit by risk tier, employment and channel, with each segment's part in all losses."""
+    who = b.customers.select("customer_id", "risk_tier", "employment_status", "acquisition_channel")
+    bad, paid = F.col("advance_status") == "DEFAULTED", F.col("advance_status") == "REPAID"
+    fees, lost = sum_if(paid, "fee_amount"), sum_if(bad, "advance_amount")
+    parts = b.cash_advances.join(who, "customer_id").groupBy("risk_tier", "employment_status", "acquisition_channel").agg(
+        F.count("*").alias("advances"), mean(flag(bad)).alias("default_rate"), lost.alias("default_volume"), (fees - lost).alias("profit")
+    )
+    all_lost = parts.agg(F.sum("default_volume").alias("all_lost"))
+    return with_row(parts, all_lost, "one").select(
+        *parts.columns, F.try_divide(F.col("default_volume").cast("double"), F.col("one.all_lost").cast("double")).alias("share_of_losses")
+    )
+
+
+def advance_trend(b) -> DataFrame:
+    """Advances, default rate and profit by month, against the month before that had any."""
+    bad, paid = F.col("advance_status") == "DEFAULTED", F.col("advance_status") == "REPAID"
+    months = b.cash_advances.groupBy(F.trunc("advance_date", "month").alias("month")).agg(
+        F.count("*").alias("advances"), mean(flag(bad)).alias("default_rate"), (sum_if(paid, "fee_amount") - sum_if(bad, "advance_amount")).alias("profit")
+    )
+    before = F.lag("default_rate").over(Window.orderBy("month"))  # a row per month
+    return months.withColumn("rate_change", F.col("default_rate") - before)
+
+
+def advance_default_times(b) -> DataFrame:
+    """How many defaults fell due in which week after the advance, and the share up to that week, by score band."""
+    bad = b.cash_advances.where("advance_status = 'DEFAULTED' AND repayment_date IS NOT NULL")
+    weeks = bad.join(b.customers.select("customer_id", score_band().alias("score_band")), "customer_id").groupBy(
+        "score_band", F.floor(date_diff("day", "advance_date", "repayment_date") / 7).cast("long").alias("week")
+    ).agg(F.count("*").alias("defaults"))
+    band_rows = Window.partitionBy("score_band")  # a row per week
+    upto = F.sum("defaults").over(band_rows.orderBy("week"))
+    return weeks.withColumn("share_so_far", upto.cast("double") / F.sum("defaults").over(band_rows))
+
+
+def _last_day(b) -> DataFrame:
+    return b.transactions.where(F.col("transaction_timestamp") >= moment(b.now - dt.timedelta(hours=24)))
+
+
+def fraud_international(b) -> DataFrame:
+    """The last day's domestic and international transactions by category: volume, declines and risk."""
+    return _last_day(b).groupBy("is_international", "transaction_category").agg(
+        F.count("*").alias("transactions"), F.sum(F.abs("amount")).alias("volume"), mean(flag(F.col("status") == "DECLINED")).alias("declined_share"),
+        mean("fraud_score").alias("avg_fraud_score"), mean(flag(F.col("fraud_score") > 0.5)).alias("risky_share"),
+    )
+
+
+def fraud_top(b, k: int = 10) -> DataFrame:
+    """The k riskiest transactions of the last day; of equal scores the larger amount, then the lower id comes first."""
+    cols = ["transaction_id", "customer_id", "amount", "merchant_name", "is_international", "fraud_score"]
+    return _last_day(b).select(*cols).orderBy(F.desc_nulls_last("fraud_score"), F.desc_nulls_last(F.abs("amount")), "transaction_id").limit(k)
+
+
+def support_segments(b, cost_per_minute: float = 0.75) -> DataFrame:
+    """Support cost by risk tier and channel of acquisition, and how contacts go with closed accounts, over all customers."""
+    own = b.support_interactions.groupBy("customer_id").agg(F.count("*").alias("contacts"), F.sum("resolution_time_minutes").alias("minutes"))
+    base = b.customers.select("customer_id", "risk_tier", "acquisition_channel", flag(F.col("customer_status") == "CLOSED").alias("closed"))
+    rows = base.join(own, "customer_id", "left").na.fill(0, ["contacts", "minutes"])
+    return rows.groupBy("risk_tier", "acquisition_channel").agg(
+        F.count("*").alias("customers"), F.sum("contacts").alias("contacts"), (F.sum("minutes") * cost_per_minute).alias("cost"),
+        (F.sum("minutes") * cost_per_minute / F.count("*")).alias("cost_per_customer"), F.round(corr("contacts", "closed"), 6).alias("contact_closure_corr"),
+    )
+
+
+def support_resolutions(b, queries, k: int = 5) -> DataFrame:
+    """Transcripts of resolved interactions that answer each query best, with channel, topic and minutes."""
+    solved = b.support_interactions.where("issue_resolved").select("interaction_id", F.col("resolution_time_minutes").alias("minutes"))
+    docs = corpus(b.support_transcripts.join(solved, "interaction_id"), "interaction_id", "transcript_text")
+    found = search_topk(docs, queries, k)
+    about = b.support_interactions.select(F.col("interaction_id").alias("doc_id"), "interaction_type", "category", F.col("resolution_time_minutes").alias("minutes"))
+    return found.join(about, "doc_id").withColumnRenamed("doc_id", "interaction_id")

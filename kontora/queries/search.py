@@ -15,12 +15,12 @@ ASKED = [("q1", "heed worthless thand"), ("q2", "there would the nter"), ("q3",
 
 
 
-def _words(text: str) -> str:
+def words_sql(text: str) -> str:
     return rf"list_filter(regexp_split_to_array(lower({text}), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '')"
 
 
 def _tok(text: str = "text", where: str = "") -> str:
-    return f"tok AS (SELECT doc_id, {_words(text)} AS words FROM documents WHERE {where}text IS NOT NULL)"
+    return f"tok AS (SELECT doc_id, {words_sql(text)} AS words FROM documents WHERE {where}text IS NOT NULL)"
 
 
 _POST = "post AS (SELECT doc_id, term, n AS length, count(*) AS tf FROM (SELECT doc_id, len(words) AS n, unnest(words) AS term FROM tok) GROUP BY 1, 2, 3)"

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from kontora.plans import questions as q
+from kontora.plans.retrieval import words_of
 from kontora.queries.base import NOW, TODAY, avg, corr, query, total
 from kontora.queries.health import DRIFT
+from kontora.queries.search import words_sql
 from kontora.queries.views import _C360, _c360
 
 
@@ -208,3 +210,47 @@ ask("q_avg_by_account_type", q.avg_by_account_type, f"SELECT account_type, {avg(
 
 ask("q_compliance_90d", q.compliance_90d, f"""SELECT event_type, severity, count(*) AS events, count(DISTINCT customer_id) AS customers, count(CASE WHEN NOT resolved THEN 1 END) AS unresolved FROM compliance_events
 WHERE event_date >= {TODAY} - 90 GROUP BY 1, 2""")
+
+
+ask("q_advance_segments", q.advance_segments, f"""
+WITH x AS (SELECT risk_tier, employment_status, acquisition_channel, count(*) AS advances, {avg(_flag("advance_status = 'DEFAULTED'"))} AS default_rate, {total(_LOST)} AS default_volume,
+  CAST(sum({_PAID}) - sum({_LOST}) AS DOUBLE) AS profit FROM cash_advances JOIN customers USING (customer_id) GROUP BY 1, 2, 3)
+SELECT *, default_volume / nullif(sum(default_volume) OVER (), 0) AS share_of_losses FROM x""")
+
+ask("q_advance_trend", q.advance_trend, f"""
+WITH x AS (SELECT CAST(date_trunc('month', advance_date) AS DATE) AS month, count(*) AS advances, {avg(_flag("advance_status = 'DEFAULTED'"))} AS default_rate,
+  CAST(sum({_PAID}) - sum({_LOST}) AS DOUBLE) AS profit FROM cash_advances GROUP BY 1)
+SELECT *, default_rate - lag(default_rate) OVER (ORDER BY month) AS rate_change FROM x""")
+
+ask("q_advance_default_times", q.advance_default_times, f"""
+WITH x AS (SELECT {_band("credit_score")} AS score_band, CAST(floor(date_diff('day', advance_date, repayment_date) / 7) AS BIGINT) AS week, count(*) AS defaults
+  FROM cash_advances JOIN customers USING (customer_id) WHERE advance_status = 'DEFAULTED' AND repayment_date IS NOT NULL GROUP BY 1, 2)
+SELECT *, CAST(sum(defaults) OVER (PARTITION BY score_band ORDER BY week) AS DOUBLE) / sum(defaults) OVER (PARTITION BY score_band) AS share_so_far FROM x""")
+
+_DAY = f"transaction_timestamp >= {NOW} - INTERVAL 24 HOUR"
+ask("q_fraud_international", q.fraud_international, f"""
+SELECT is_international, transaction_category, count(*) AS transactions, {total("abs(amount)")} AS volume, {avg(_flag("status = 'DECLINED'"))} AS declined_share, {avg("fraud_score")} AS avg_fraud_score,
+  {avg(_flag("fraud_score > 0.5"))} AS risky_share FROM transactions WHERE {_DAY} GROUP BY 1, 2""")
+
+ask("q_fraud_top10", q.fraud_top, f"""
+SELECT transaction_id, customer_id, CAST(amount AS DOUBLE) AS amount, merchant_name, is_international, CAST(fraud_score AS DOUBLE) AS fraud_score FROM transactions WHERE {_DAY}
+ORDER BY fraud_score DESC NULLS LAST, abs(transactions.amount) DESC NULLS LAST, transaction_id LIMIT 10""")
+
+ask("q_support_segments", q.support_segments, f"""
+WITH o AS (SELECT customer_id, count(*) AS n, sum(resolution_time_minutes) AS m FROM support_interactions GROUP BY 1),
+x AS (SELECT risk_tier, acquisition_channel, {_flag("customer_status = 'CLOSED'")} AS closed, coalesce(n, 0) AS n, coalesce(m, 0) AS m FROM customers LEFT JOIN o USING (customer_id))
+SELECT risk_tier, acquisition_channel, count(*) AS customers, CAST(sum(n) AS BIGINT) AS contacts, CAST(sum(m) AS DOUBLE) * 0.75 AS cost, CAST(sum(m) AS DOUBLE) * 0.75 / count(*) AS cost_per_customer,
+  round({corr("n", "closed")}, 6) AS contact_closure_corr FROM x GROUP BY 1, 2""")
+
+#: What support asks its transcripts; the words are those of the supplied texts.
+_HOW = [("h1", "ment equen tion"), ("h2", "nicht einach")]
+_HOW_TERMS = ", ".join(f"('{i}', '{w}')" for i, t in _HOW for w in words_of(t))
+ask("q_support_resolutions", lambda b: q.support_resolutions(b, _HOW), f"""
+WITH ask(query_id, term) AS (VALUES {_HOW_TERMS}),
+tok AS (SELECT t.interaction_id, {words_sql("transcript_text")} AS words FROM support_transcripts t JOIN support_interactions s USING (interaction_id) WHERE s.issue_resolved AND transcript_text IS NOT NULL),
+post AS (SELECT interaction_id, term, n AS length, count(*) AS tf FROM (SELECT interaction_id, len(words) AS n, unnest(words) AS term FROM tok) GROUP BY 1, 2, 3),
+dfs AS (SELECT term, count(*) AS df FROM post GROUP BY 1), size AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(len(words)) AS DOUBLE) / count(*) AS al FROM tok),
+scored AS (SELECT query_id, interaction_id, round(sum(ln(1 + (size.n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * length / size.al))), 9) AS score
+  FROM post JOIN ask USING (term) JOIN dfs USING (term), size GROUP BY 1, 2),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, interaction_id) AS INT) AS rank FROM scored QUALIFY rank <= 5)
+SELECT query_id, interaction_id, score, rank, interaction_type, category, resolution_time_minutes AS minutes FROM ranked JOIN support_interactions USING (interaction_id)""")
