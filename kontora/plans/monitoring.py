@@ -11,6 +11,7 @@ from kontora.functions.scalars import (
 )
 from kontora.operators.aggregates import exact_percentiles
 from kontora.operators.ranking import latest_per_key
+from kontora.session import scratch_path
 from kontora.sources.storage import catalog_counts
 
 CURRENT_POOL = "FEATURE_POOL"
@@ -157,8 +158,16 @@ def resource_usage(b, now: dt.datetime | None = None) -> DataFrame:
     return usage.unionByName(stored).orderBy("metric_type", F.desc("time_period"), "resource_name")
 
 
-def data_quality_alerts(b, min_rows: int = 1000) -> DataFrame:
-    """Stale features, drifting features and tables that are too small."""
+def _once(b, df: DataFrame, label: str) -> DataFrame:
+    """A small view that several parts of a report read, written to the shared folder and read back."""
+    path = scratch_path(b.spark, label)
+    df.write.parquet(path)
+    return b.spark.read.schema(df.schema).parquet(path)
+
+
+def data_quality_alerts(b, min_rows: int = 1000, health: DataFrame | None = None) -> DataFrame:
+    """Stale features, drifting features and tables that are too small. ``health`` is the feature store's health, if it is at hand."""
+    health = feature_store_health(b) if health is None else health
     def alert(rows, name_col, kind, severity, text):
         return rows.agg(
             F.count("*").alias("issue_count"), F.array_join(F.sort_array(F.collect_list(name_col)), ", ").alias("affected_items_list")
@@ -167,7 +176,7 @@ def data_quality_alerts(b, min_rows: int = 1000) -> DataFrame:
     small = catalog_counts({t: getattr(b, t) for t in ("customers", "accounts", "transactions")}).where(F.col("row_count") < min_rows)
     parts = [
         alert(
-            feature_store_health(b).where(F.col("health_status").isin("WARNING", "CRITICAL", "ERROR")), "feature_name",
+            health.where(F.col("health_status").isin("WARNING", "CRITICAL", "ERROR")), "feature_name",
             "Stale Features", "WARNING", "Features not updated within expected timeframe",
         ),
         alert(
@@ -218,14 +227,18 @@ def business_metrics(b, as_of: dt.date | None = None, fanout: str = "correct") -
     ).orderBy(F.desc("metric_date"))
 
 
-def health_components(b) -> DataFrame:
-    """The four weighted parts of the health score, one row each."""
+def health_components(b, alerts: DataFrame | None = None, health: DataFrame | None = None) -> DataFrame:
+    """The four weighted parts of the health score, one row each. Views that the caller has at hand are not built again."""
+    if health is None:
+        health = _once(b, feature_store_health(b), "health")
+    if alerts is None:
+        alerts = data_quality_alerts(b, health=health)
     def part(df, name, weight, score):
         return df.agg(score.cast("double").alias("score")).select(F.lit(name).alias("component"), F.lit(weight).alias("weight"), "score")
 
     p, ms = F.col("precision"), F.avg("avg_latency_ms")
     return (
-        part(feature_store_health(b), "Feature Store", 0.4, F.lit(100) - count_if(F.col("health_status") != "HEALTHY") * 5)
+        part(health, "Feature Store", 0.4, F.lit(100) - count_if(F.col("health_status") != "HEALTHY") * 5)
         .unionByName(part(
             model_performance(b).where(F.col("prediction_date") == days_before(b.as_of, 1)), "ML Models", 0.3,
             F.avg(F.when(p > 0.9, 100).when(p > 0.8, 85).when(p > 0.7, 70).otherwise(50)),
@@ -234,13 +247,13 @@ def health_components(b) -> DataFrame:
             serving_metrics(b).where(F.col("serving_hour") >= moment(b.now - dt.timedelta(hours=6))), "System Performance", 0.2,
             F.when(ms < 50, 100).when(ms < 100, 85).when(ms < 200, 70).otherwise(50),
         ))
-        .unionByName(part(data_quality_alerts(b), "Data Quality", 0.1, F.lit(100) - F.count("*") * 10))
+        .unionByName(part(alerts, "Data Quality", 0.1, F.lit(100) - F.count("*") * 10))
     )
 
 
-def system_health_score(b) -> DataFrame:
+def system_health_score(b, alerts: DataFrame | None = None, health: DataFrame | None = None) -> DataFrame:
     """Weighted score. A part without rows is NULL and drops out; no serving rows score 50."""
-    total = health_components(b).agg(
+    total = health_components(b, alerts, health).agg(
         F.round(F.sum(F.round(F.col("score") * F.col("weight"), 6))).alias("overall_health_score"),
         F.to_json(F.sort_array(F.collect_list(F.struct("component", F.round("score").cast("long").alias("score"))))).alias("component_scores"),
     )
@@ -250,9 +263,11 @@ def system_health_score(b) -> DataFrame:
 
 
 def monitor_system_health(b) -> DataFrame:
-    """One alert row with a JSON report."""
-    critical = data_quality_alerts(b).where("severity = 'ERROR'").agg(F.count("*").alias("n"))
-    x = system_health_score(b).select(
+    """One alert row with a JSON report. The store's health and the alerts are built once and read by all parts."""
+    health = _once(b, feature_store_health(b), "health")
+    alerts = _once(b, data_quality_alerts(b, health=health), "alerts")
+    critical = alerts.where("severity = 'ERROR'").agg(F.count("*").alias("n"))
+    x = system_health_score(b, alerts, health).select(
         F.col("overall_health_score").cast("long").alias("health_score"), F.coalesce(critical.scalar(), F.lit(0)).alias("critical_alerts")
     )
     bad = (F.col("health_score") < 70) | (F.col("critical_alerts") > 0)
