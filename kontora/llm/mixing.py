@@ -4,7 +4,8 @@ The words of a source form one stream, cut into blocks of equal length. The mix
 stream length n gets as many slots as bring its words nearest to t. Every slot throws itself into an output shard, so the
 counts of a source per shard are a multinomial draw with an exact total. The slots of a source are numbered, and a keyed
 permutation of its block numbers, another in each epoch, says which block a slot takes: no block is taken again before all
-others were. Blocks and slots meet by an equality join on (source, block).
+others were. Blocks and slots meet by an equality join on (source, block). ``packed_blocks`` gives the blocks' texts, laid out by the
+shard that each slot drew; ``mixed_documents`` gives the same words as documents.
 """
 
 from __future__ import annotations
@@ -109,16 +110,19 @@ def shard_counts(mixed: DataFrame) -> DataFrame:
 
 
 def pieces(rows: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``d, h, copy, s, block, low, words``: the part of every document, from word ``low`` on, in every block it reaches."""
+    """``d, h, copy, s, block, low, words, place``: the part of every document, from its word ``low`` on, in every block it reaches, and
+    that word's place in the stream."""
     first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
     cut = rows.filter("size > 0").withColumn("block", F.explode(F.sequence(first, last)))
     low = F.greatest(F.col("block") * block, F.col("start"))
     high = F.least((F.col("block") + 1) * block, F.col("start") + F.col("size"))
-    return cut.select("d", "h", "copy", "s", "block", (low - F.col("start")).alias("low"), (high - low).alias("words"))
+    return cut.select("d", "h", "copy", "s", "block", (low - F.col("start")).alias("low"), (high - low).alias("words"), low.alias("place"))
 
 
 def report(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` per row of ``docs``; a rerun gives the same rows.
+    """``doc_id, size, source_size, target, taken, first_shard`` per row of ``docs``; a rerun gives the same rows.
+
+    ``first_shard`` is the least output shard with words of the document, null if nothing is taken.
 
     A null or blank text has size 0 and nothing is taken from it. A null source is a source of its own, the last one. A null id
     is the largest. Rows that repeat everything stand in the stream one after another, and any of them may be the first. If no
@@ -127,12 +131,41 @@ def report(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     rows = stored(sized(docs), "sized")
     table = stored(targets(rows), "targets")
     at = stored(placed(rows, table), "placed")
-    uses = mix(table, block, seed).groupBy("s", "block").agg(F.count("*").alias("uses"))
-    taken = pieces(at, block).join(stored(uses, "uses"), ["s", "block"]).groupBy("d", "h", "copy").agg(F.sum(F.col("words") * F.col("uses")).alias("taken"))
+    uses = mix(table, block, seed).groupBy("s", "block").agg(F.count("*").alias("uses"), F.min("shard").alias("shard"))
+    taken = pieces(at, block).join(stored(uses, "uses"), ["s", "block"]).groupBy("d", "h", "copy").agg(
+        F.sum(F.col("words") * F.col("uses")).alias("taken"), F.min("shard").alias("first_shard")
+    )
     out = at.join(stored(taken, "taken"), ["d", "h", "copy"], "left").join(table.drop("source"), "s")
     return out.select(
-        id_of(F.col("d")).alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")
+        id_of(F.col("d")).alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "first_shard"
+    )
+
+
+def packed_blocks(docs: DataFrame, block: int = BLOCK, seed: int = SEED, shard: int = SHARD) -> DataFrame:
+    """The mix as packed blocks: ``shard, source, slot, epoch, block, words, text`` for every slot of every source.
+
+    Rows are partitioned by shard, and a shard's are in keyed order of their slots, so its sources are interleaved as drawn; written as
+    they are, they keep that layout. A block holds the words of the documents that meet in it, each with the white space after
+    it, and a line feed between documents; the last block of a source may be shorter. Null and blank texts, null ids and repeated
+    rows are treated as in ``report``; an empty table gives no rows; a very long text is cut into its blocks where it is read.
+    """
+    rows = stored(sized(docs), "sized")
+    table = stored(targets(rows), "targets")
+    cuts = pieces(stored(placed(rows, table), "placed"), block).groupBy("d", "h", "copy", "s").agg(F.collect_list(F.struct("block", "low", "words", "place")).alias("cuts"))
+    body = docs.select(*row_key(), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
+    body = body.withColumn("copy", F.row_number().over(Window.partitionBy("d", "h").orderBy("source"))).join(cuts.hint("merge"), ["d", "h", "copy"])
+    tokens = F.regexp_extract_all("text", F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), F.lit(0))
+    parts = let(tokens, lambda t: F.transform("cuts", lambda c: F.struct(
+        c["block"].alias("block"), c["words"].alias("words"), c["place"].alias("place"),
+        F.array_join(F.slice(t, (c["low"] + 1).cast("int"), c["words"].cast("int")), "").alias("text"),
+    )))
+    parts = body.select("s", "source", F.explode(parts).alias("c")).select("s", "source", "c.*")
+    texts = parts.groupBy("s", "source", "block").agg(
+        F.sum("words").alias("words"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "text"))), lambda p: p["text"]), "\n").alias("text")
     )
+    drawn = mix(table, block, seed, shard).join(texts, ["s", "block"]).withColumn("order", F.xxhash64(F.lit(seed), F.lit("order"), "s", "slot"))
+    laid = drawn.repartition(partitions(docs.sparkSession), "shard").sortWithinPartitions("shard", "order", "s", "slot")
+    return laid.select("shard", "source", "slot", "epoch", "block", "words", "text")
 
 
 def _chosen(docs: DataFrame, block: int, seed: int) -> DataFrame:

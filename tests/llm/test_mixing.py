@@ -63,6 +63,39 @@ def test_mixed_texts_hold_what_the_report_takes(spark):
     assert words == want
 
 
+def test_packed_blocks_lie_as_drawn(spark):
+    docs = documents(spark, FOLDER).withColumn("order", F.lit(1))
+    blocks = mixing.packed_blocks(docs, shard=64).withColumn("part", F.spark_partition_id()).collect()
+    rows = mixing.stored(mixing.sized(docs), "sized")
+    table = mixing.stored(mixing.targets(rows), "targets")
+    names = {r.s: r.source for r in table.collect()}
+    draw = {(r.shard, names[r.s]): r.slots for r in mixing.shard_counts(mixing.mix(table, shard=64)).collect()}
+    assert Counter((r.shard, r.source) for r in blocks) == draw and len({r.shard for r in blocks}) > 3
+    where = defaultdict(set)
+    for r in blocks:
+        where[r.shard].add(r.part)
+        assert r.words == size(r.text) <= mixing.BLOCK
+    assert all(len(v) == 1 for v in where.values())  # a shard is in one partition
+    shard = [r.source for r in blocks if r.shard == blocks[0].shard]
+    assert sum(a != b for a, b in zip(shard, shard[1:])) > len(set(shard)) - 1  # sources alternate
+    # an epoch that takes all blocks of a source is its stream: every word of every document
+    words, full = Counter(), {}
+    for r in blocks:
+        full.setdefault((r.source, r.epoch), {})[r.block] = r.text
+    for r in docs.collect():
+        words[r.source] += size(r.text)
+    whole = 0
+    for (source, _), parts in full.items():
+        if len(parts) == -(-words[source] // mixing.BLOCK):
+            stream = re.findall(r"[^\x20\x09-\x0D]+", "\n".join(parts[k] for k in sorted(parts)))
+            assert Counter(stream) == Counter(w for r in docs.collect() if r.source == source for w in re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+            whole += 1
+    assert whole
+    report = mixing.report(docs).collect()
+    assert all((r.first_shard is None) == (r.taken == 0) for r in report)
+    assert mixing.packed_blocks(docs.limit(0)).collect() == []
+
+
 def test_slots_are_permutations(spark):
     table = spark.createDataFrame([("a", 0, 64 * 37, 64.0 * 90), ("b", 1, 64, 64.0), ("c", 2, 0, 0.0), ("d", 3, 10, 4.0)], "source string, s long, source_size long, target double")
     slots = mixing.mix(table, shard=16).collect()
@@ -86,3 +119,4 @@ def test_edge_cases(spark):
     assert mixing.report(docs.limit(0)).collect() == []
     assert [r.taken for r in mixing.report(docs.filter("doc_id < 3")).collect()] == [0, 0]
     assert mixing.mixed_documents(docs.limit(0)).collect() == []
+    assert sum(r.words for r in mixing.packed_blocks(docs).collect()) == sum(r.taken for r in got)
