@@ -68,9 +68,11 @@ SELECT customer_id, w AS window_start, w + INTERVAL 1 HOUR AS window_end, count(
 FROM (SELECT *, unnest(generate_series(time_bucket(INTERVAL 5 MINUTE, transaction_timestamp) - INTERVAL 55 MINUTE, time_bucket(INTERVAL 5 MINUTE, transaction_timestamp), INTERVAL 5 MINUTE)) AS w FROM transactions)
 GROUP BY 1, 2, 3""")
 def stream_rolling_hour(b):
+    """Windows of an hour every five minutes; state and table hold five-minute panes, a twelfth of the windows' rows."""
+    stateful.use_timers(b.spark)  # that state store keeps its rows on disk
     table = storage.UpsertLog(b.spark, scratch_path(b.spark, "rolling"), ["customer_id", "window_start"])
-    _batches(b, jobs.tumbling(jobs.transactions(b.spark, b.folder), "1 hour", "5 minutes"), jobs.upsert_windows(table), "rolling", "update")
-    return _ntz(table.read(), "window_start", "window_end", "last_time")
+    _batches(b, jobs.panes(jobs.transactions(b.spark, b.folder)), jobs.upsert_windows(table), "rolling", "update")
+    return _ntz(jobs.rolled(table.read()), "window_start", "window_end", "last_time")
 
 
 @query("stream_online_upsert", """

@@ -72,6 +72,40 @@ def tumbling(stream: DataFrame, size: str = "1 hour", slide: str | None = None,
     )
 
 
+def panes(stream: DataFrame, size_minutes: int = 60, slide_minutes: int = 5, late_minutes: int = 10) -> DataFrame:
+    """What sliding windows are made of: count, largest amount and last time per customer and slide.
+
+    A row is in the state once, not once per window that it is in; ``rolled`` puts the windows together where they are read. A pane takes
+    rows in until the last window that it is in is closed.
+    """
+    return tumbling(stream, f"{slide_minutes} minutes", late=f"{late_minutes + size_minutes - slide_minutes} minutes")
+
+
+def rolled(pane_rows: DataFrame, size_minutes: int = 60, slide_minutes: int = 5) -> DataFrame:
+    """Count, largest amount and last time per customer and sliding window that has a row, from the newest state of ``panes``.
+
+    A pane is in windows that begin in two spans of a window's length. It is shuffled to these two and not to each window, and the windows
+    of a span are made there.
+    """
+    if size_minutes % slide_minutes:
+        raise ValueError("a window must be a whole number of slides")
+    size, slide = (F.lit(m * 60_000_000).cast("long") for m in (size_minutes, slide_minutes))
+    pane = pane_rows.select("customer_id", F.unix_micros("window_start").alias("pane"), "transaction_count", "max_amount", "last_time")
+    own = F.col("pane") - F.pmod("pane", size)
+    # the rows grow after this shuffle, so its parts are not merged by their size
+    parts = int(pane_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spans = pane.withColumn("span", F.explode(F.array(own - size, own))).repartition(parts, "customer_id", "span")
+    first, last = F.greatest("span", F.col("pane") - size + slide), F.least(F.col("span") + size - slide, "pane")
+    begins = F.when(first <= last, F.sequence(first, last, slide))  # the last pane of a span is in no window of the span before
+    at = spans.withColumn("at", F.explode(begins)).groupBy("customer_id", "span", "at").agg(
+        F.sum("transaction_count").alias("transaction_count"), F.max("max_amount").alias("max_amount"), F.max("last_time").alias("last_time")
+    )
+    return at.select(
+        "customer_id", F.timestamp_micros("at").alias("window_start"), F.timestamp_micros(F.col("at") + size).alias("window_end"),
+        "transaction_count", "max_amount", "last_time",
+    )
+
+
 def sessions(stream: DataFrame, gap: str = "30 minutes", late: str = WATERMARK) -> DataFrame:
     """Bursts of activity per customer."""
     return (

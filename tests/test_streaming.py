@@ -57,6 +57,34 @@ def test_windows_upsert_to_the_final_state(spark, batches):
     assert got == {(1, 10): 3, (2, 13): 2, (3, 13): 1}
 
 
+def test_sliding_windows_are_made_of_panes(spark):
+    folder = scratch_path(spark, "feed")
+    minutes = {1: [0, 3, 4, 5, 55, 58, 59, 60, 119], 2: [61, 200], 3: [57]}
+    first, *rest = [(10 * u + i, m, u, 1) for u, ms in minutes.items() for i, m in enumerate(ms)]
+    feed(spark, folder, "1", rest)
+    feed(spark, folder, "2", [(900, 201, 2, 1)])
+    feed(spark, folder, "3", [first[:1] + (140,) + first[2:]])  # 61 minutes late: its last window is open
+    table, held = storage.UpsertLog(spark, scratch_path(spark, "w"), ["customer_id", "window_start"]), []
+    step = jobs.upsert_windows(table)
+
+    def counted(batch, batch_id):
+        held.append(batch.count())
+        step(batch, batch_id)
+
+    run(spark, folder, jobs.panes, counted, "update")
+    assert held == [8, 1, 1]  # panes: no row is held twelve times
+    rows = [(u, m) for u, ms in minutes.items() for m in ms if (u, m) != (1, 0)] + [(1, 140), (2, 201)]
+    want = {}
+    for u, m in rows:
+        for w in range(m // 5 * 5 - 55, m // 5 * 5 + 1, 5):
+            n, last = want.get((u, w), (0, m))
+            want[u, w] = n + 1, max(last, m)
+    at = lambda t: round((t - T0).total_seconds() / 60)
+    got = {(r.customer_id, at(r.window_start)): (r.transaction_count, at(r.last_time)) for r in jobs.rolled(table.read()).collect()}
+    assert got == want
+    assert all(r.window_end - r.window_start == dt.timedelta(hours=1) for r in jobs.rolled(table.read()).collect())
+
+
 def test_late_rows_are_left_out_after_the_watermark(spark, batches):
     out = scratch_path(spark, "closed")
     stream = jobs.tumbling(jobs.transactions(spark, batches, files_per_batch=1), late="10 minutes")
