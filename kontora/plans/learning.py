@@ -11,6 +11,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.stat import Summarizer
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kontora.functions.scalars import (
@@ -21,6 +22,8 @@ from kontora.operators.ranking import latest_per_key
 from kontora.plans.feature_store import split_rows
 from kontora.session import shared_dir
 
+#: Rows of a fit that a task passes over at most, about.
+FIT_ROWS = 200_000
 FRAUD, ADVANCE, LTV = "FRAUD_DETECTION_MODEL", "ADVANCE_ELIGIBILITY_MODEL", "CUSTOMER_LTV_MODEL"
 
 
@@ -218,10 +221,25 @@ def feature_spec(name: str, feature_ids: Sequence[str], label: str = "label") ->
     )
 
 
+def _held(rows: DataFrame, spec: ModelSpec) -> DataFrame:
+    """The inputs of a fit, kept while it runs and dealt over all cores.
+
+    A fit passes over its rows hundreds of times, so the number of their parts bounds how many cores work; adaptive execution merges such
+    small rows to few parts. Sorted, so that the same rows give the same parts.
+    """
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // FIT_ROWS))
+    wanted = dict.fromkeys([spec.row_id, *spec.categories, *spec.scaled, *(f"{c}_num" for c in spec.plain), "label"])
+    return rows.select(*wanted).repartition(parts, spec.row_id).sortWithinPartitions(*wanted).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def fit(spark: SparkSession, spec: ModelSpec, rows: DataFrame) -> tuple[PipelineModel, DataFrame]:
     shared_dir(spark)  # boosting cuts its lineage by checkpoints there
     fit_rows, test_rows = split_rows(rows, spec.row_id)
-    model = pipeline(spec).fit(prepared(fit_rows, spec))
+    held = _held(prepared(fit_rows, spec), spec)
+    try:
+        model = pipeline(spec).fit(held)
+    finally:
+        held.unpersist()
     return model, model.transform(prepared(test_rows, spec))
 
 

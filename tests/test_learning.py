@@ -72,3 +72,12 @@ def test_stored_features(spark):
     spec = L.feature_spec("F", ["useful", "useless"])
     shares = L.importances(*L.fit(spark, spec, rows), spec)
     assert list(shares) == ["useful", "useless"] and shares["useful"] > 0.9
+
+
+def test_a_fit_uses_all_cores_and_does_not_depend_on_the_parts(spark, rows):
+    held = L._held(L.prepared(rows.coalesce(1), SPEC), SPEC)
+    assert held.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and held.storageLevel.useMemory
+    held.unpersist()
+    small = L.ModelSpec(**{**SPEC.__dict__, "estimator": lambda: L.RandomForestClassifier(numTrees=5, maxDepth=3, seed=1, labelCol="label")})
+    one, other = (L.fit(spark, small, rows.repartition(n, order)) for n, order in ((1, "weak"), (5, "strong")))
+    assert one[0].stages[-1].toDebugString.split("\n")[1:] == other[0].stages[-1].toDebugString.split("\n")[1:]
