@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kontora.operators.joins import with_each
 from kontora.operators.ranking import top_per_key
-from kontora.plans.retrieval import cosine, vector_topk
+from kontora.plans.retrieval import BLOCK, ROWS, block_scores, vector_topk
 from kontora.sources.storage import replace_partitions
 
 #: Cells are fitted on about so many vectors, chosen by a hash of their ids; every vector is indexed.
@@ -23,7 +22,8 @@ ASKED, NEAREST, SHARE = 64, 10, 0.95
 def _unit(v):
     """The vector at length one; null where it has none (no entries, all 0, null or not finite)."""
     size = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
-    return F.when((size > 0) & (size < float("inf")), F.transform(v, lambda x: x / size))
+    # the length as the one entry of an array: it is worked out once, not once per entry of the vector
+    return F.transform(F.array(size), lambda s: F.when((s > 0) & (s < float("inf")), F.transform(v, lambda x: x / s)))[0]
 
 
 class VectorIndex:
@@ -70,14 +70,19 @@ class VectorIndex:
         ranks = sorted(r.at for r in cells.select("at").collect())  # a number for each of at most ASKED * (NEAREST + 1) answers
         return ranks[min(len(ranks) - 1, int(SHARE * len(ranks)))] if ranks else 1
 
-    def _ranked(self, queries: DataFrame) -> DataFrame:
-        """``query_id, q, cell, at``: the cells of every query in order. Centres are as few as the cells and stand beside a query as one array."""
+    def _ranked(self, queries: DataFrame, probes: int | None = None) -> DataFrame:
+        """``query_id, q, cell, at``: the first ``probes`` (or all) cells of every query in order; queries are scored against the centres in blocks.
+
+        A query with another number of entries than the centres has no cells.
+        """
         centres = [(i, [float(x) for x in c]) for i, c in enumerate(KMeansModel.load(f"{self.root}/cells").clusterCenters())]
-        table = self.spark.createDataFrame(centres, "cell int, centre array<double>")
-        asked = queries.select("query_id", _unit(F.col("query").cast("array<double>")).alias("q")).where("q IS NOT NULL")
-        near = with_each(asked, table, "c").select("query_id", "q", F.col("c.cell").alias("cell"), cosine(F.col("q"), F.col("c.centre")).alias("near"))
-        order = Window.partitionBy("query_id").orderBy(F.desc("near"), "cell")
-        return near.withColumn("at", F.row_number().over(order)).drop("near")
+        asked = queries.select("query_id", _unit(F.col("query").cast("array<double>")).alias("q")).where(F.size("q") == len(centres[0][1])).checkpoint()
+        parts = -(-asked.count() // BLOCK) or 1
+        spread = asked.withColumn("part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).cast("int"))
+        table = self.spark.createDataFrame(centres, "vec_id int, v array<double>").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        k = min(probes or len(centres), len(centres))
+        near = block_scores(table, spread.withColumn("query_id", F.struct("query_id", "q")), ["part"], k)
+        return top_per_key(near, ["query_id"], [F.desc("score"), F.asc("vec_id")], k, rank="at").select("query_id.*", F.col("vec_id").alias("cell"), "at")
 
     def _place(self, known: DataFrame, model: KMeansModel, mode: str | None) -> None:
         placed = model.transform(known).select("vec_id", "v", "cell")
@@ -94,17 +99,22 @@ class VectorIndex:
     def search(self, queries: DataFrame, k: int, probes: int | None = None) -> DataFrame:
         """``query_id, vec_id, score, rank``: the k most similar vectors in the nearest cells of each (query_id, query).
 
-        Queries meet their cells' vectors by the cell's number, so only probed folders are read and a large set of queries is shuffled, not
-        copied to every vector. Without ``probes`` the number found when the index was built is taken; all cells give the exact answer.
+        Queries meet their cells' vectors by the cell's number, a part of a cell at a time, and are scored there in blocks. Without ``probes`` the number found when the index was built is taken; all cells give the exact answer.
         """
         cells, usual = self.settings()
         if not cells:
             nothing = queries.select("query_id", F.lit(None).cast("long").alias("vec_id"), F.lit(0.0).alias("score"), F.lit(0).alias("rank"))
             return nothing.where(F.lit(False))
-        probed = self._ranked(queries).where(F.col("at") <= (probes or usual)).select("query_id", "q", "cell")
-        dot = F.aggregate(F.zip_with("v", "q", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+        probed = self._ranked(queries, probes or usual).select("query_id", "q", "cell")
         vectors = self.spark.read.parquet(f"{self.root}/vectors")
-        scored = vectors.join(probed, "cell").select("query_id", "vec_id", F.round(dot, 9).alias("score"))
+        # a large cell is cut into parts, and a query goes to all parts of its cells
+        held = vectors.groupBy("cell").agg(F.ceil(F.count("*") / ROWS).cast("int").alias("parts"))
+        blocks = -(-queries.count() // (4 * BLOCK)) or 1
+        left = vectors.join(held, "cell").withColumn("part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), "parts").cast("int"))
+        left = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        right = probed.join(held, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        right = right.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+        scored = block_scores(left, right, ["cell", "part", "block"], k, cosines=False)
         return top_per_key(scored, ["query_id"], [F.desc("score"), F.asc("vec_id")], k, rank="rank")
 
 

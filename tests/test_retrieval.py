@@ -116,3 +116,21 @@ def test_the_vector_index_finds_most(spark):
     assert found.where("vec_id >= 9000").isEmpty()
     empty = VectorIndex(spark, scratch_path(spark, "vectors"))
     assert empty.build(df.where("id >= 9000"), "id", "v") == 0 and empty.search(q, 3).count() == 0
+
+
+def test_blocks_keep_copies_and_odd_vectors_in_place(spark, monkeypatch):
+    rng = random.Random(4)
+    vec = lambda: [rng.gauss(0, 1) for _ in range(4)]
+    same, plain = vec(), [(i, vec()) for i in range(50)]
+    rows = plain + [(100 + i, same) for i in range(300)] + [(900, None), (901, [0.0] * 4), (902, [1.0]), (903, [1.0, None, 2.0, 3.0]), (904, [float("nan")] * 4)]
+    df = spark.createDataFrame(rows, "id int, v array<float>")
+    q = spark.createDataFrame([(1, same), (2, plain[0][1]), (3, None), (4, [2.0])], "query_id int, query array<float>")
+    monkeypatch.setattr(r, "ROWS", 64)
+    got = {(x.query_id, x["rank"]): (x.id, x.score) for x in r.vector_topk(df, "id", "v", q, 4, block=2).collect()}
+    assert len(got) == 16 and got[1, 1][0] == 904 and math.isnan(got[1, 1][1])  # not a number ranks above all
+    assert [got[1, k] for k in (2, 3, 4)] == [(100, 1.0), (101, 1.0), (102, 1.0)] and got[2, 2] == (0, 1.0)
+    assert [got[3, k] for k in (1, 2, 3, 4)] == [(i, None) for i in range(4)]
+    assert got[4, 1] == (902, 1.0) and got[4, 2] == (0, None)
+    one = df.where("id between 100 and 399").select(F.lit(0).alias("g"), F.col("id").alias("vec_id"), F.col("v").cast("array<double>").alias("v"))
+    asked = q.where("query_id = 1").select(F.lit(0).alias("g"), "query_id", F.col("query").cast("array<double>").alias("q"))
+    assert sorted(x.vec_id for x in r.block_scores(one, asked, ["g"], 4).collect()) == [100, 101, 102, 103]  # not all copies leave the group
