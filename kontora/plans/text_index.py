@@ -11,6 +11,23 @@ from kontora.session import scratch_path
 from kontora.sources.storage import remove_folder, replace_partitions
 
 
+#: Tasks that may share the postings of a bucket.
+SLOTS = 4
+
+
+def _counts(words: str):
+    """``array<struct<term, tf>>``: how often each word is in an array of words, by the ends of its runs in the sorted array."""
+
+    def runs(w):
+        ends = F.array_compact(F.transform(w, lambda x, i: F.when((i == F.size(w) - 1) | (x != F.get(w, i + 1)), i + 1)))
+        return F.transform(F.array(ends), lambda e: F.transform(
+            e, lambda p, j: F.struct(F.get(w, p - 1).alias("term"), (p - F.coalesce(F.get(e, j - 1), F.lit(0))).cast("long").alias("tf"))
+        ))[0]
+
+    # the only entry of an array, so that the words are sorted once
+    return F.transform(F.array(F.sort_array(words)), runs)[0]
+
+
 class TextIndex:
     """``postings`` (term, doc_id, tf, length) in a folder per hash of the term, ``documents`` (doc_id, length, and the buckets its
     terms are in) in a folder per hash of the id.
@@ -31,42 +48,44 @@ class TextIndex:
     def _bucket(self, key: str):
         return F.pmod(F.hash(key), F.lit(self.buckets))
 
-    def _counted(self, docs: DataFrame, path: str) -> DataFrame:
-        """A row per document and word and one, without a word, per document. Every text is split once; a null text has no rows."""
+    def _parts(self, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows of ``postings`` and ``documents``. A text's words are counted where it is read, so only its distinct words are shuffled, once and
+        to their buckets; a null text has no rows."""
         split = docs.where("text IS NOT NULL").select("doc_id", tokens("text").alias("words"))
         # the outer explode keeps the optimizer from adding a test on the array, which would split every text twice
-        words = split.select("doc_id", F.size("words").alias("length"), F.explode_outer(F.array_append("words", F.lit(""))).alias("term"))
-        words.groupBy("doc_id", "length", "term").agg(F.count("*").alias("tf")).write.parquet(path)
-        return self.spark.read.parquet(path)
-
-    def _parts(self, counted: DataFrame) -> tuple[DataFrame, DataFrame]:
-        worded = counted.withColumn("bucket", F.when(F.col("term") != "", self._bucket("term")))
-        documents = worded.groupBy("doc_id").agg(F.max("length").alias("length"), F.sort_array(F.collect_set("bucket")).alias("term_buckets"))
-        return worded.where("term <> ''").select("term", "doc_id", "tf", "length", "bucket"), documents.withColumn("bucket", self._bucket("doc_id"))
+        words = split.select("doc_id", F.size("words").alias("length"), F.explode_outer(_counts("words")).alias("w")).where("w IS NOT NULL")
+        worded = self._dealt(words.select("w.term", "doc_id", "w.tf", "length").withColumn("bucket", self._bucket("term")))
+        # within a bucket's part already: rows of one id are added up
+        postings = worded.groupBy("bucket", "slot", "term", "doc_id", "length").agg(F.sum("tf").alias("tf"))
+        held = F.array_distinct(F.transform("words", lambda w: F.pmod(F.hash(w), F.lit(self.buckets))))
+        documents = split.select("doc_id", F.size("words").alias("length"), held.alias("held")).groupBy("doc_id").agg(
+            F.max("length").alias("length"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("held")))).alias("term_buckets")
+        )
+        return postings.select("term", "doc_id", "tf", "length", "bucket"), documents.withColumn("bucket", self._bucket("doc_id"))
+
+    @staticmethod
+    def _dealt(rows: DataFrame) -> DataFrame:
+        """Rows of a bucket in at most ``SLOTS`` tasks, since one frequent word can be much of the postings."""
+        return rows.withColumn("slot", F.pmod(F.hash("doc_id"), F.lit(SLOTS))).repartition("bucket", "slot")
 
     def _settle(self, rows: DataFrame, table: str, buckets: Sequence[int] | None) -> None:
         replace_partitions(rows, f"{self.root}/{table}", "bucket", buckets)
 
     def build(self, docs: DataFrame) -> None:
         """Index ``docs`` (doc_id, text) anew."""
-        words = scratch_path(self.spark, "words")
-        counted = self._counted(docs, words)
-        postings, documents = self._parts(counted)
-        for table, rows in (("postings", postings), ("documents", documents)):
-            remove_folder(self.spark, f"{self.root}/{table}")
-            self._settle(rows, table, None)
-        remove_folder(self.spark, words)
+        postings, documents = self._parts(docs)
+        postings.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/postings")
+        remove_folder(self.spark, f"{self.root}/documents")
+        self._settle(documents, "documents", None)
 
     def refresh(self, changed: DataFrame) -> dict[str, list[int]]:
         """Take in ``changed`` (doc_id, text): new and changed documents; a null text removes one. Returns the buckets rewritten."""
         ids = changed.select("doc_id").distinct()
-        words = scratch_path(self.spark, "words")
-        counted = self._counted(changed, words)
-        postings, documents = self._parts(counted)
+        postings, documents = self._parts(changed)
         own = sorted(r.b for r in ids.select(self._bucket("doc_id").alias("b")).distinct().collect())  # at most as many as there are buckets
         known = self.documents().where(F.col("bucket").isin(*own))
         before = known.join(ids, "doc_id", "left_semi").select(F.explode("term_buckets").alias("b"))
-        touched = sorted(r.b for r in before.union(postings.select("bucket")).distinct().collect())
+        touched = sorted(r.b for r in before.union(documents.select(F.explode("term_buckets"))).distinct().collect())
         done = {}
         for table, buckets, old, new in (
             ("postings", touched, self.postings().where(F.col("bucket").isin(*touched)), postings), ("documents", own, known, documents)
@@ -77,7 +96,6 @@ class TextIndex:
                 self._settle(self.spark.read.parquet(staged), table, buckets)
                 remove_folder(self.spark, staged)
             done[table] = buckets
-        remove_folder(self.spark, words)
         return done
 
     def terms(self) -> DataFrame:

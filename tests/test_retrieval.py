@@ -134,3 +134,11 @@ def test_blocks_keep_copies_and_odd_vectors_in_place(spark, monkeypatch):
     one = df.where("id between 100 and 399").select(F.lit(0).alias("g"), F.col("id").alias("vec_id"), F.col("v").cast("array<double>").alias("v"))
     asked = q.where("query_id = 1").select(F.lit(0).alias("g"), "query_id", F.col("query").cast("array<double>").alias("q"))
     assert sorted(x.vec_id for x in r.block_scores(one, asked, ["g"], 4).collect()) == [100, 101, 102, 103]  # not all copies leave the group
+
+
+def test_postings_are_shuffled_once_and_rows_of_an_id_add_up(spark):
+    df = spark.createDataFrame([(1, "b a b"), (1, "b a b"), (2, ""), (3, None), (4, "c")], "doc_id int, text string")
+    postings, documents = TextIndex(spark, scratch_path(spark, "ix"), buckets=8)._parts(df)
+    assert postings._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted((x.term, x.doc_id, x.tf, x.length) for x in postings.collect()) == [("a", 1, 2, 3), ("b", 1, 4, 3), ("c", 4, 1, 1)]
+    assert sorted((x.doc_id, x.length) for x in documents.collect()) == [(1, 3), (2, 0), (4, 1)]
