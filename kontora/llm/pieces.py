@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain, compress, repeat
@@ -28,15 +29,20 @@ DROPOUT = 0.1
 SEED = 20240817
 #: Segmentations with up to so many skips are remembered; those with more are made anew each time.
 VARIANTS = 2
+#: Skips that are drawn for an occurrence at first; more are drawn where they fall within the steps it takes.
+PLANNED = VARIANTS + 4
 #: Segmentations that a worker remembers before it starts anew.
 MEMORY = 1_200_000
 #: Longest stretch, in characters, that is segmented along with others.
 WIDE = 40
 MARK = "▁"
 _SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-_NONE = float("inf")
 _FULL = (1 << 64) - 1
 _NEVER = 1 << 40
+#: What a pair that forms no piece costs.
+_APART = (1 << 31) - 1
+#: Stretches that are segmented at a time, so that their tables stay in a core's cache.
+AT_ONCE = 4096
 
 
 def vocabulary(path: str = MODEL) -> tuple[dict[str, int], list[float], list[int]]:
@@ -66,6 +72,11 @@ def _plan(spots: np.ndarray, skips: int, dropout: float) -> np.ndarray:
     return np.cumsum(np.minimum(gaps, _NEVER).astype(np.int64) + 1, axis=1) - 1
 
 
+def _marks(steps: np.ndarray) -> str:
+    """A character for each step; a step that no short stretch comes to is like any other."""
+    return np.minimum(steps, 4 * WIDE).astype("<u4").tobytes().decode("utf-32-le")
+
+
 class Encoder:
     """Segments stretches; those of up to ``WIDE`` characters many at a time, one step of every agenda per round."""
 
@@ -80,7 +91,9 @@ class Encoder:
         self._forget()
         pieces = {i: p.replace(MARK, " ").encode() for p, i in self.ids.items()} | {i: bytes([b]) for b, i in enumerate(self.bytes)}
         self.piece_bytes = [pieces.get(i, b"") for i in range(len(scores))]
-        self.of_point = np.full(0x110000, -1, np.int32)
+        self.none = len(scores)  # what characters without a piece and the ends of a stretch count as: nothing joins it
+        self.of_point = np.full(0x110000, self.none, np.int32)
+        self.of_point[:128] = self.bytes[:128]  # one byte each, unless there is a piece
         joins = {}
         for p, i in self.ids.items():
             if len(p) == 1:
@@ -88,9 +101,8 @@ class Encoder:
             for k in range(1, len(p)):
                 if p[:k] in self.ids and p[k:] in self.ids:
                     joins[self.ids[p[:k]] << 32 | self.ids[p[k:]]] = i
-        self.joins = np.array(sorted(joins), np.int64)
-        self.joined = np.array([joins[k] for k in sorted(joins)], np.int64)
-        self.cost = np.array([-scores[i] for i in self.joined])
+        cost = np.unique([-scores[i] for i in joins.values()], return_inverse=True)[1]
+        self._hash(np.fromiter(joins, np.int64, len(joins)), cost.astype(np.int64) << 20 | np.fromiter(joins.values(), np.int64, len(joins)))
 
     def _forget(self) -> None:
         for m in self.memory:
@@ -98,11 +110,38 @@ class Encoder:
         self.memory[0][""] = 0
         self.made, self.steps = [self.marks], array("q", [0])
 
+    def _hash(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """A table of the joins by linear probing: the key of a slot, or -1, and its value."""
+        self.shift = np.uint64(64 - max(4, int(4 * len(keys)).bit_length()))
+        size = 1 << (64 - int(self.shift))
+        self.slots, self.values = np.full(size, -1, np.int64), np.full(size, _APART << 20, np.int64)
+        at = self._slot(keys)
+        while len(keys):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = keys[free]
+            left = self.slots[at] != keys
+            self.values[at[~left]] = values[~left]
+            keys, values, at = keys[left], values[left], (at[left] + 1) & (size - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
     def _pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """The join that two symbols make, or -1."""
-        key = (a.astype(np.int64) << 32) | b
-        at = np.minimum(np.searchsorted(self.joins, key), len(self.joins) - 1)
-        return np.where((self.joins[at] == key) & (a >= 0) & (b >= 0), at, -1)
+        """The join that two symbols make: the order of its score and its piece, in 20 bits; or ``_APART`` and none."""
+        keys = a.ravel() << 32 | b.ravel()
+        at = self._slot(keys)
+        got = self.slots.take(at)
+        out = np.where(got == keys, self.values.take(at), _APART << 20)
+        rest = np.flatnonzero((got != keys) & (got >= 0))
+        keys, at = keys[rest], at[rest]
+        while len(rest):
+            at = (at + 1) & (len(self.slots) - 1)
+            got = self.slots.take(at)
+            hit, more = got == keys, (got != keys) & (got >= 0)
+            out[rest[hit]] = self.values.take(at[hit])
+            rest, keys, at = rest[more], keys[more], at[more]
+        return out.reshape(a.shape)
 
     def _skips(self, spots: np.ndarray, length: int) -> np.ndarray:
         """All skips that stretches of ``length`` characters may come to: a pair and each merge's two new ones are a step at most."""
@@ -153,99 +192,130 @@ class Encoder:
         inside = np.arange(wide)[None, :] < sizes[:, None]
         points = np.zeros((n, wide), np.uint32)
         points[inside] = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-        skips = np.concatenate([skips, np.full((n, 1), _NEVER)], axis=1)
-        step, turn = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        symbol = self.of_point[points].astype(np.int64)
-        symbol = np.where(symbol < 0, -1 - points.astype(np.int64), symbol)  # no piece: the character itself
-        symbol[~inside] = -1
-        after = np.broadcast_to(np.arange(1, wide + 1), (n, wide)).copy()
-        before = np.broadcast_to(np.arange(-1, wide - 1), (n, wide)).copy()
-        join = np.full((n, wide), -1)
-        join[:, :-1] = self._pairs(symbol[:, :-1], symbol[:, 1:])
-        cost = np.where(join >= 0, self.cost[join], _NONE)
-        alive, row = inside.copy(), np.arange(n)
-        while len(row):
-            start = cost[row].argmin(axis=1)
-            on = cost[row, start] < _NONE
-            row, start = row[on], start[on]
-            middle = after[row, start]
-            end = after[row, middle]
-            skip = skips[row, turn[row]] == step[row]
-            step[row] += 1
-            turn[row[skip]] += 1
-            cost[row[skip], start[skip]] = _NONE
-            r, start, middle, end = row[~skip], start[~skip], middle[~skip], end[~skip]
-            symbol[r, start] = self.joined[join[r, start]]
-            after[r, start] = end
-            alive[r, middle] = False
-            cost[r, middle] = _NONE
-            more = end < sizes[r]
-            before[r[more], end[more]] = start[more]
-            for rr, left, right, rest in ((r, start, end, ~more), (r, before[r, start], start, before[r, start] < 0)):
-                join[rr[rest & (left >= 0)], left[rest & (left >= 0)]] = -1
-                cost[rr[rest & (left >= 0)], left[rest & (left >= 0)]] = _NONE
-                rr, left, right = rr[~rest], left[~rest], right[~rest]
-                join[rr, left] = found = self._pairs(symbol[rr, left], symbol[rr, right])
-                cost[rr, left] = np.where(found >= 0, self.cost[found], _NONE)
-        ends = np.cumsum(alive.sum(axis=1)).tolist()
-        flat = symbol[alive]
-        odd = set(np.flatnonzero((alive & (symbol < 0)).any(axis=1)).tolist())
-        flat = flat.astype("<i4").tobytes()
-        cuts = [0, *ends]
-        out = [flat[4 * a : 4 * b] for a, b in zip(cuts, ends)]
-        for k in odd:
-            ids = chain.from_iterable([i] if i >= 0 else [self.bytes[b] for b in chr(-1 - i).encode()] for i in np.frombuffer(out[k], "<i4").tolist())
+        # a column per stretch and a row per character, with a row of no symbol before and behind
+        symbols = np.full((wide + 2, n), self.none, np.int64)
+        symbols[1:-1] = np.where(inside, self.of_point[points], self.none).T
+        found = self._pairs(symbols[:-1], symbols[1:])
+        # the order of a pair's score and its row, so that the least is the leftmost of the best
+        bits, rows = (wide + 1).bit_length(), np.arange(wide + 2)[:, None]
+        costs = np.minimum(found >> 20 << bits | rows[:-1], _APART).astype(np.int32)
+        joined, alive = (found & 0xFFFFF).ravel(), np.ones((wide + 2, n), bool)
+        where = rows * n + np.arange(n)
+        after, before, place = (where + n).ravel(), (where - n).ravel(), np.repeat(rows, n)
+        symbol, cost, live = symbols.ravel(), costs.ravel(), alive.ravel()
+        last = skips.shape[1]
+        skips = np.concatenate([skips, np.full((n, 1), _NEVER)], axis=1).ravel()
+        turn, step = np.arange(n) * (last + 1), np.zeros(n, np.int64)
+        next_skip = skips[turn]
+        while True:
+            best = costs.min(axis=0)
+            column = np.flatnonzero(best < _APART)
+            if not len(column):
+                break
+            best = best[column]
+            start = (best & (1 << bits) - 1).astype(np.int64) * n + column
+            cost[start] = _APART
+            now = step[column]
+            step[column] = now + 1
+            skip = next_skip[column] == now
+            if skip.any():
+                on = column[skip]
+                turn[on] += 1
+                next_skip[on] = skips[turn[on]]
+                start = start[~skip]
+            middle = after.take(start)
+            end = after.take(middle)
+            left = before.take(start)
+            piece = joined.take(start)
+            symbol[start] = piece
+            after[start] = end
+            before[end] = start
+            live[middle] = False
+            cost[middle] = _APART
+            firsts = np.concatenate([start, left])
+            found = self._pairs(np.concatenate([piece, symbol.take(left)]), np.concatenate([symbol.take(end), piece]))
+            joined[firsts] = found & 0xFFFFF
+            cost[firsts] = np.minimum(found >> 20 << bits | place.take(firsts), _APART)
+        turn -= np.arange(n) * (last + 1)
+        keep = alive[1:-1].T & inside
+        got = symbols[1:-1].T
+        cuts = [0, *np.cumsum(keep.sum(axis=1)).tolist()]
+        flat = got[keep].astype("<i4").tobytes()
+        out = [flat[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:])]
+        for k in np.flatnonzero((keep & (got == self.none)).any(axis=1)).tolist():
+            ids = chain.from_iterable(
+                [i] if i != self.none else [self.bytes[b] for b in chr(p).encode()] for i, p in zip(got[k, keep[k]].tolist(), points[k, keep[k]].tolist())
+            )
             out[k] = np.array(list(ids), "<i4").tobytes()
         return out, step, turn
 
-    def _learn(self, words: list[str], plan: np.ndarray) -> list[int]:
-        """Places in ``made`` of short stretches, those of about the same length segmented together, each remembered by the skips it took."""
+    def _learn(self, words: list[str], plan: np.ndarray, most: int = VARIANTS) -> np.ndarray:
+        """Places in ``made`` of short stretches, those of about the same length segmented together. Those that took ``most`` skips or
+        fewer are remembered by them."""
         places, group = np.zeros(len(words), np.int64), np.fromiter(map(len, words), np.int64, len(words)) // 4
         for g in np.unique(group).tolist():
             same = np.flatnonzero(group == g)
-            for part in (same[k : k + 20_000] for k in range(0, len(same), 20_000)):
+            for part in (same[k : k + AT_ONCE] for k in range(0, len(same), AT_ONCE)):
                 some, first = [words[k] for k in part], len(self.made)
                 made, steps, used = self._planned(some, plan[part])
                 self.made += made
-                self.steps.extend(steps.tolist())
-                places[part] = first + np.arange(len(part))
-                for place, (word, n, skips) in enumerate(zip(some, used.tolist(), plan[part].tolist()), first):
-                    if n < len(self.memory):
-                        self.memory[n][word + "".join(map(chr, skips[:n])) if n else word] = place
-        return places.tolist()
+                self.steps.frombytes(steps.tobytes())
+                places[part] = np.arange(first, len(self.made))
+                names = some
+                for n, known in enumerate(self.memory[: min(most, plan.shape[1]) + 1]):
+                    names = list(map(add, names, _marks(plan[part, n - 1]))) if n else names
+                    on = (used == n).tolist()
+                    known.update(zip(compress(names, on), compress(range(first, len(self.made)), on)))
+        return places
+
+    def _drawn(self, words: list[str], spots: np.ndarray, plan: np.ndarray, most: int = VARIANTS) -> np.ndarray:
+        """``_learn`` of occurrences, whose draws go on where a plan ends."""
+        places = self._learn(words, plan, most)
+        for n in np.flatnonzero(plan[:, -1] < np.frombuffer(self.steps, np.int64)[places]).tolist():  # more skips than planned
+            places[n] = len(self.made)
+            self.made.append(np.array(self.segment(words[n], int(spots[n])), "<i4").tobytes())
+            self.steps.append(0)
+        return places
 
     def _segmented(self, words: list[str], spots: np.ndarray) -> list[bytes]:
         """Packed ids of every stretch: looked up by its skips as long as these fall within the steps it takes."""
-        long = [k for k, w in enumerate(words) if len(w) > WIDE]
+        long = np.flatnonzero(np.fromiter(map(len, words), np.int64, len(words)) > WIDE).tolist()
         short = words
         if long:
             short = list(words)
             for k in long:
                 short[k] = ""
         known = self.memory[0]
-        new = [*dict.fromkeys(w for w in short if w not in known)]
-        if new:
-            self._learn(new, np.zeros((len(new), 0), np.int64))
-        at = np.fromiter(map(known.__getitem__, short), np.int64, len(short))
-        if self.dropout:
-            plan = _plan(spots, VARIANTS + 4, self.dropout)
-            skipping = np.flatnonzero(plan[:, 0] < np.frombuffer(self.steps, np.int64)[at])
-            some = [short[k] for k in skipping.tolist()]
-            plan, names, open_, found = plan[skipping], some, np.arange(len(some)), np.full(len(some), -1)
+        at = np.fromiter(map(known.get, short, repeat(-1)), np.int64, len(short))
+        skipping = _plan(spots, 1, self.dropout)[:, 0] if self.dropout else np.full(len(short), _NEVER)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            names = list(map(short.__getitem__, new.tolist()))
+            times = Counter(names)
+            # an unknown word that is here once is segmented with its skips alone, and remembered without skips: many never come again
+            once = (np.fromiter(map(times.__getitem__, names), np.int64, len(names)) == 1) & bool(self.dropout)
+            if once.any():
+                alone, here = list(compress(names, once.tolist())), new[once]
+                at[here] = self._drawn(alone, spots[here], _plan(spots[here], PLANNED, self.dropout), 0)
+                skipping[here] = _NEVER
+                new, names = new[~once], list(compress(names, (~once).tolist()))
+            if names:
+                plain = list(dict.fromkeys(names))
+                self._learn(plain, np.zeros((len(plain), 0), np.int64))
+                at[new] = np.fromiter(map(known.__getitem__, names), np.int64, len(names))
+        skipping = np.flatnonzero(skipping < np.frombuffer(self.steps, np.int64)[at])
+        if len(skipping):
+            some, spots_ = list(map(short.__getitem__, skipping.tolist())), spots[skipping]
+            plan = _plan(spots_, PLANNED, self.dropout)
+            names, open_, found = some, np.arange(len(some)), np.full(len(some), -1)
             for skips, known in enumerate(self.memory[1:], 1):
-                names = list(map(add, names, map(chr, np.minimum(plan[open_, skips - 1], 4 * WIDE).tolist())))
+                names = list(map(add, names, _marks(plan[open_, skips - 1])))
                 place = np.fromiter(map(known.get, names, repeat(-1)), np.int64, len(names))
                 hit = (place >= 0) & (np.frombuffer(self.steps, np.int64)[place] <= plan[open_, skips])
                 found[open_[hit]] = place[hit]
                 names, open_ = list(compress(names, (~hit).tolist())), open_[~hit]
             if len(open_):
-                some, plan = [some[k] for k in open_.tolist()], plan[open_]
-                places = self._learn(some, plan)
-                for n in np.flatnonzero(plan[:, -1] < np.frombuffer(self.steps, np.int64)[places]).tolist():  # more skips than planned
-                    places[n] = len(self.made)
-                    self.made.append(np.array(self.segment(some[n], int(spots[skipping[open_[n]]])), "<i4").tobytes())
-                    self.steps.append(0)
-                found[open_] = places
+                found[open_] = self._drawn(list(map(some.__getitem__, open_.tolist())), spots_[open_], plan[open_])
             at[skipping] = found
         got = list(map(self.made.__getitem__, at.tolist()))
         for k in long:

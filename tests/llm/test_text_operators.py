@@ -83,6 +83,24 @@ def test_every_occurrence_has_draws_of_its_own(spark, vocabulary):
     assert len(set(first)) == 3 and first == sorted(r.pieces_sha256 for r in pieces.encoded(docs.repartition(3), copies=True).collect())
 
 
+def test_a_new_word_is_segmented_once(vocabulary):
+    """With its own skips and not first without them, to the result of the plain agenda; a word that is there often is remembered."""
+    rng, coder = random.Random(3), pieces.Encoder(vocabulary)
+    parts = ["th", "ing", "é", "er", "ou", "ß", "ly", ",", "ion", "\n", "鿿"]
+    words = list(dict.fromkeys("▁" + "".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(5000)))
+    spots = pieces._spots([5], [len(words)], pieces.SEED)
+    got = coder._segmented(words, spots)
+    assert len(coder.made) < 1.02 * len(words) and len(coder.memory[0]) > len(words) // 4  # some take more skips than planned
+    for word, spot, ids in zip(words, spots.tolist(), got):
+        assert tuple(np.frombuffer(ids, "<i4")) == coder.segment(word, spot)
+    assert coder._segmented(words * 3, np.tile(spots, 3)) == got * 3
+    before = len(coder.made)
+    assert coder._segmented(words, spots) == got and len(coder.made) < before + len(words) // 4
+    long = ["▁" + w * 30 for w in parts]  # as many rows as a stretch has characters
+    for word, ids in zip(long, coder.segment_all(long, [7] * len(long))):
+        assert tuple(np.frombuffer(ids, "<i4")) == coder.segment(word, 7)
+
+
 def test_token_trees_follow_edits():
     counter = token_counts.Counter(open(token_counts.RANKS, "rb").read())
     rng = random.Random(4)
