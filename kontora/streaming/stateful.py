@@ -1,7 +1,7 @@
 """Keyed state with event-time timers, and repeated deliveries.
 
 ``flag_velocity`` is the append-only form of the velocity job: a row waits until the watermark has passed it, so its predecessor is
-final and each transaction is written once. A customer's rows of a batch meet in one task, as in any keyed state; where one
+final and each transaction is written once. A bucket of customers' rows of a batch meet in one task, as in any keyed state; where one
 customer holds much of the feed, ``jobs.velocity`` cuts customers into slices instead.
 """
 
@@ -20,6 +20,10 @@ from kontora.functions.scalars import date_diff, flag
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+#: Keys that the customers of the velocity job are dealt to. A checkpoint holds for one number.
+BUCKETS = 4096
+#: Rows that an entry of the state, or a frame that is written, holds at most.
+PACK = 10_000
 _ROW = "customer_id long, transaction_id long, at long, merchant_city string, prev_at long, prev_city string"
 
 
@@ -29,64 +33,96 @@ def use_timers(spark: SparkSession) -> None:
 
 
 class _LastSeen(StatefulProcessor):
-    """Per customer: rows that the watermark has not passed, by (time, id), and the last row that it has."""
+    """Per bucket of customers: rows that the watermark has not passed, and the last row of each customer that it has.
+
+    Every call to the state is a message to the JVM and every key a frame each way, so customers share ``BUCKETS`` keys and their rows lie
+    in entries of up to ``PACK`` rows: a bucket takes a few messages a batch, however many customers and rows it holds. Of rows that
+    repeat customer, time and id the last one counts. Customers without an id are one customer, in a bucket of its own.
+    """
 
     def __init__(self, idle: dt.timedelta):
         self.idle = idle // dt.timedelta(milliseconds=1)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "at long, id long", "city string")
-        self.last = handle.getValueState("last", "at long, city string")
+        self.waiting = handle.getListState("waiting", "customer array<long>, at array<long>, id array<long>, city array<string>")
+        self.last = handle.getListState("last", "customer array<long>, at array<long>, city array<string>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        undated = []
+        undated, first = [], None
         for block in rows:
-            for i, at, city in zip(block["transaction_id"], block["at"], block["merchant_city"]):
+            dated = []
+            for c, at, i, city in zip(*(block[x].tolist() for x in ("customer", "at", "transaction_id", "merchant_city"))):
                 city = None if pd.isna(city) else str(city)
                 if pd.isna(at):
-                    undated.append((key[0], int(i), None, city, None, None))
+                    undated.append((None if key[0] < 0 else c, int(i), None, city, None, None))
                 else:
-                    self.waiting.updateValue((int(at), int(i)), (city,))
-        self._wake()
+                    dated.append((c, int(at), int(i), city))
+            for pack in _packs(dated):
+                self.waiting.appendValue(pack)
+            if dated:
+                first = min(r[1] for r in dated) if first is None else min(first, *(r[1] for r in dated))
+        if first is not None:
+            self._wake(first // 1000 + 1)
         if undated:
             yield _frame(undated)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
-        ready = sorted((k, v[0]) for k, v in self.waiting.iterator() if k[0] // 1000 < passed) if self.waiting.exists() else []
-        out, last = [], self.last.get() if self.last.exists() else None
-        for (at, i), city in ready:
-            near = last is not None and (at - last[0]) // 1000 <= self.idle
-            out.append((key[0], i, at, city, *(last if near else (None, None))))
-            last = (at, city)
-            self.waiting.removeKey((at, i))
+        rows, last = {}, {}
+        for *names, cities in self.waiting.get():
+            rows.update(zip(zip(*names), cities))
+        for customers, ats, cities in self.last.get():
+            last.update(zip(customers, zip(ats, cities)))
+        out, moved = [], set()
+        for c, at, i in sorted(k for k in rows if k[1] // 1000 < passed):
+            city, before = rows.pop((c, at, i)), last.get(c)
+            near = before is not None and (at - before[0]) // 1000 <= self.idle
+            out.append((None if key[0] < 0 else c, i, at, city, *(before if near else (None, None))))
+            last[c] = (at, city)
+            moved.add(c)
         if out:
-            self.last.update(last)
-        elif last is not None and last[0] // 1000 + self.idle < passed and not self.waiting.exists():
-            self.last.clear()
+            _replace(self.waiting, [(*k, city) for k, city in rows.items()])
+        held = {c for c, _, _ in rows}
+        gone = [c for c, (at, _) in last.items() if c not in moved and c not in held and at // 1000 + self.idle < passed]
+        for c in gone:
+            del last[c]
+        if out or gone:
+            _replace(self.last, [(c, *v) for c, v in last.items()])
+        due = [at // 1000 + 1 for _, at, _ in rows] + [at // 1000 + self.idle + 1 for c, (at, _) in last.items() if c not in held]
+        if due:  # behind the timer that fired, which goes when this is done
+            self.handle.registerTimer(max(min(due), passed + 1))
+        for k in range(0, len(out), PACK):
+            yield _frame(out[k : k + PACK])
+
+    def _wake(self, at: int) -> None:
+        """One timer per bucket: when its first waiting row can go or a customer is idle for too long."""
+        timers = [t if isinstance(t, int) else t[0] for t in self.handle.listTimers()]
+        if timers and min(timers) <= at:
             return
-        self._wake()
-        if out:
-            yield _frame(out)
-
-    def _wake(self) -> None:
-        """One timer per customer: when its first waiting row can go, else when its last row is idle for too long."""
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t if isinstance(t, int) else t[0])
-        if self.waiting.exists():
-            self.handle.registerTimer(min(k[0] for k in self.waiting.keys()) // 1000 + 1)
-        elif self.last.exists():
-            self.handle.registerTimer(self.last.get()[0] // 1000 + self.idle + 1)
+        for t in timers:
+            self.handle.deleteTimer(t)
+        self.handle.registerTimer(at)
 
     def close(self) -> None:
         pass
 
 
+def _packs(rows: list[tuple]) -> Iterator[tuple[list, ...]]:
+    """Rows as entries of the state, a list per column."""
+    for k in range(0, len(rows), PACK):
+        yield tuple(map(list, zip(*rows[k : k + PACK])))
+
+
+def _replace(state, rows: list[tuple]) -> None:
+    if rows:
+        state.put(list(_packs(rows)))
+    else:
+        state.clear()
+
+
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    names = [c.split()[0] for c in _ROW.split(", ")]
-    out = pd.DataFrame(rows, columns=names, dtype=object)
-    return out.astype({n: "Int64" for n in ("customer_id", "transaction_id", "at", "prev_at")})
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in _ROW.split(", ")], dtype=object)
 
 
 def flag_velocity(stream: DataFrame, late: str = "10 minutes", idle: dt.timedelta = dt.timedelta(days=30)) -> DataFrame:
@@ -98,7 +134,9 @@ def flag_velocity(stream: DataFrame, late: str = "10 minutes", idle: dt.timedelt
     use_timers(stream.sparkSession)
     rows = stream.select("customer_id", "transaction_id", "transaction_timestamp", "merchant_city").withWatermark("transaction_timestamp", late)
     rows = rows.withColumn("at", F.unix_micros("transaction_timestamp"))
-    lined = rows.groupBy("customer_id").transformWithStateInPandas(_LastSeen(idle), _ROW, "append", "eventTime")
+    bucket = F.when(F.col("customer_id").isNull(), -1).otherwise(F.pmod(F.xxhash64("customer_id"), F.lit(BUCKETS))).cast("int")
+    rows = rows.select(bucket.alias("bucket"), F.coalesce("customer_id", F.lit(0)).cast("long").alias("customer"), "transaction_id", "transaction_timestamp", "at", "merchant_city")
+    lined = rows.groupBy("bucket").transformWithStateInPandas(_LastSeen(idle), _ROW, "append", "eventTime")
     timed = lined.withColumns({"time": F.timestamp_micros("at"), "prev_time": F.timestamp_micros("prev_at")})
     travel = (date_diff("minute", "prev_time", "time") < 5) & (F.col("merchant_city") != F.col("prev_city"))
     return timed.select("customer_id", "transaction_id", "prev_time", "prev_city", flag(travel).alias("impossible_travel"))

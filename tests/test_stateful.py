@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,3 +75,63 @@ def test_deliveries_count_once(spark, folders):
     query = run(spark, folder, once, out, checkpoint)
     assert sorted(r.transaction_id for r in spark.read.parquet(out).collect()) == [1, 2, 3]
     assert stateful.deliveries(query) == {"seen": 8, "kept": 3, "late": 1, "repeated": 4}
+
+
+class Counted:
+    """State and timers in memory that count the messages."""
+
+    def __init__(self):
+        self.calls, self.lists, self.timers = 0, {}, set()
+
+    def getListState(self, name, schema):
+        handle, rows = self, self.lists.setdefault(name, [])
+
+        class State:
+            def appendValue(self, row):
+                handle.calls += 1
+                rows.append(row)
+
+            def put(self, new):
+                handle.calls += 1
+                rows[:] = new
+
+            def get(self):
+                handle.calls += 1
+                return iter(list(rows))
+
+            def clear(self):
+                handle.calls += 1
+                rows.clear()
+
+        return State()
+
+    def listTimers(self):
+        self.calls += 1
+        return iter(sorted(self.timers))
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.discard(at)
+
+    def getCurrentWatermarkInMs(self):
+        return 2_000
+
+
+def test_many_rows_take_few_messages():
+    """3,000 rows of 30 customers: a batch, and the rows that become final, are a few messages to the state and not some per row."""
+    state, job = Counted(), stateful._LastSeen(dt.timedelta(days=1))
+    job.init(state)
+    rows = [(c, k * 30 + c, k * 25_000, f"City {k % 7}") for k in range(100) for c in range(30)]
+    block = pd.DataFrame(rows, columns=["customer", "transaction_id", "at", "merchant_city"])
+    assert list(job.handleInputRows((7,), iter([block]), state)) == [] and state.timers == {1}
+    out = pd.concat(job.handleExpiredTimer((7,), state, None))
+    assert state.calls < 12 and len(out) == 30 * 80  # 80 of each customer's rows are before the watermark
+    assert state.timers == {1, 2_001}
+    last = out[out.customer_id == 4].iloc[-1]
+    assert (last.transaction_id, last["at"], last.prev_at, last.prev_city) == (79 * 30 + 4, 79 * 25_000, 78 * 25_000, "City 1")
+    again = pd.concat(job.handleExpiredTimer((7,), type("Late", (), {"getCurrentWatermarkInMs": lambda self: 9_000})(), None))
+    assert len(again) == 30 * 20 and again[again.customer_id == 4].iloc[0].prev_at == 79 * 25_000
