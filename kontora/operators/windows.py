@@ -205,10 +205,10 @@ def range_sums(
         slice_of(F.date_trunc(slice_width, F.timestamp_micros("at"))).alias("__s"),
         *[F.when(F.col("last"), F.col(f"__v{i}")).alias(f"__v{i}") for i in range(len(names))],
     )
-    held = marks.where("last").groupBy("__k", "__s").agg(*[F.sum(f"__v{i}").alias(f"__t{i}") for i in range(len(names))])
-    spots = held.unionByName(marks.select("__k", "__s").distinct(), allowMissingColumns=True).groupBy("__k", "__s").agg(
-        *[F.sum(f"__t{i}").alias(f"__t{i}") for i in range(len(names))]
-    )
+    # the empty rows have no values, so one grouping gives every slice that has a row of either kind; slices are small and compress well,
+    # so their parts are not merged by their size
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spots = marks.groupBy("__k", "__s").agg(*[F.sum(f"__v{i}").alias(f"__t{i}") for i in range(len(names))]).repartition(parts, "__k")
     earlier = Window.partitionBy("__k").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
     shift = spots.select("__k", "__s", *[F.sum(f"__t{i}").over(earlier).alias(f"__b{i}") for i in range(len(names))])
     inside = Window.partitionBy("__k", "__s").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)

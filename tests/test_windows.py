@@ -122,3 +122,12 @@ def test_frames_of_time_over_a_busy_key(spark, width):
     tops = ranged(df, ["k"], "t", reach, lambda x: {"m": F.max("v").over(x)})
     assert sorted(tops.select("id", "m").collect(), key=str) == sorted(want.select("id", "m").collect(), key=str)
     assert range_sums(df.limit(0), ["k"], "t", ["id"], reach, {"s": "v"}).collect() == ranged(df.limit(0), ["k"], "t", reach, lambda x: {}).collect() == []
+
+
+def test_range_sums_group_slices_once_into_all_parts(spark):
+    """Slices are found in one pass over the marks, and the parts their running sums are made in are as many as set, not merged by size."""
+    df = spark.range(1000).select((F.col("id") % 50).alias("k"), "id", F.timestamp_seconds(F.col("id") * 600).alias("t"))
+    sums = range_sums(df, ["k"], "t", ["id"], dt.timedelta(days=1), {"n": F.lit(1).cast("long")})
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate inline") == 2 and plan.count("REPARTITION_BY_NUM") == 1
+    assert all(r.n == min(3, r.id // 50 + 1) for r in sums.collect())  # a key's rows are eight hours and twenty minutes apart
